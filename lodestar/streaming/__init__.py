@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The listing pipeline is a scheduled batch job end to end (no watermarks,
+windows over event time, or state), so every operator here is a batch
+DataFrame plan.  Incremental runs are expressed as batch re-runs keyed by
+``as_of`` over the stored tables.
+"""
