@@ -73,7 +73,7 @@ def fuzzy_edges(batch_keys: DataFrame, pool_keys: DataFrame) -> DataFrame:
             .groupBy("fkey").agg(F.max("is_b").alias("is_b"), F.max("is_p").alias("is_p")))
     allk = (allk.withColumn("len", F.length("fkey"))
             .withColumn("hist", fz.histogram(F.col("fkey")))
-            .withColumn("band", fz.band(F.col("len"))))
+            .withColumn("band", fz.band(F.col("len")))).checkpoint()
     left = (allk.where("is_b").select(F.col("fkey").alias("a"), F.col("len").alias("la"),
                                       F.col("hist").alias("ha"), F.col("is_p").alias("a_is_pool"),
                                       F.explode(fz.probe_bands(F.col("len"))).alias("band")))
@@ -84,7 +84,7 @@ def fuzzy_edges(batch_keys: DataFrame, pool_keys: DataFrame) -> DataFrame:
              .where(fz.length_ok(F.col("la"), F.col("lb")))
              .where(fz.histogram_ok(F.col("ha"), F.col("hb"), F.col("la"), F.col("lb")))
              .select("a", "b", "a_is_pool", "b_is_batch", "b_is_pool"))
-    scored = pairs.withColumn("score", fz.ratio_udf(F.col("a"), F.col("b")))
+    scored = pairs.withColumn("score", fz.match_ratio_udf(F.col("a"), F.col("b")))
     return (scored.where(F.col("score") >= FUZZY_THRESHOLD)
             .select(F.col("a").alias("bkey"), F.col("b").alias("okey"), "score",
                     F.col("a_is_pool").alias("b_pool"), F.col("b_is_batch").alias("other_is_batch"),
