@@ -106,6 +106,8 @@ OPPORTUNITIES = f"""opportunities AS (
     'basic' AS verification_level, 'low' AS scam_risk,
     CAST({completeness()} AS INTEGER) AS completeness_score,
     true AS ai_processed,
+    CAST(NULL AS VARCHAR) AS source_hash, CAST(NULL AS VARCHAR) AS raw_html,
+    CAST(NULL AS VARCHAR) AS deadline_text,
     {as_of()} - to_hours(CAST(doc_id % 240 AS BIGINT)) AS created_at,
     {as_of()} - to_hours(CAST(doc_id % 240 AS BIGINT)) AS updated_at
   FROM items)"""

@@ -95,6 +95,9 @@ def opportunities(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataF
         F.lit("low").alias("scam_risk"),
         completeness().alias("completeness_score"),
         F.lit(True).alias("ai_processed"),
+        F.lit(None).cast("string").alias("source_hash"),
+        F.lit(None).cast("string").alias("raw_html"),
+        F.lit(None).cast("string").alias("deadline_text"),
         created.alias("created_at"),
         created.alias("updated_at"),
     )
