@@ -28,5 +28,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> dict[str, Query]:
     # Importing the modules fills the registry.
-    from lodestar.plans import queries_core, queries_dedup, queries_store, queries_text  # noqa: F401
+    from lodestar.plans import queries_core, queries_dedup, queries_quality, queries_store, queries_text  # noqa: F401
     return REGISTRY
