@@ -29,6 +29,12 @@ def js_spaces(c) -> Column:
     return F.regexp_replace(_col(c), JS_SPACE, " ")
 
 
+def js_trim(c) -> Column:
+    """ECMAScript ``trim()``: strips every ECMAScript whitespace character."""
+    cls = JS_SPACE[:-1] + " ]"
+    return F.regexp_replace(_col(c), f"^{cls}+|{cls}+$", "")
+
+
 def norm_hash(c) -> Column:
     """lower → trim → drop [^\\w\\s] → collapse whitespace."""
     s = F.trim(F.lower(js_spaces(c)))
