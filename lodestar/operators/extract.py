@@ -65,7 +65,9 @@ def _enum_array(v: Column, key: str, allowed: list[str]) -> tuple[Column, Column
 def validate(df: DataFrame, raw: str = "raw_response") -> DataFrame:
     """Adds ``extraction`` (struct or NULL) and ``error`` (or NULL)."""
     text = strip_fence(raw)
-    d = df.withColumn("_raw", js_trim(F.col(raw))).withColumn("_v", F.try_parse_json(text))
+    # The parse is produced by a generator so projections above it cannot
+    # inline (and repeat) it once per field reference.
+    d = df.withColumn("_raw", js_trim(F.col(raw))).select("*", F.explode(F.array(F.try_parse_json(text))).alias("_v"))
     v = F.col("_v")
     is_obj = F.schema_of_variant(v).startswith("OBJECT<")
 
