@@ -38,9 +38,30 @@ def get_session(master: str | None = None, app: str = "lodestar",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lodestar`` importable in Python workers (UDFs and mapInPandas
+    functions are pickled by module reference): zip the package once per
+    driver process and register it with ``addPyFile``, which distributes it
+    through Spark's own file server."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="lodestar-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "lodestar"), "zip", os.path.dirname(pkg), "lodestar")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
