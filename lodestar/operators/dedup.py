@@ -34,6 +34,8 @@ from lodestar.functions import fuzzy as fz
 from lodestar.functions.text import item_hash, norm_title, sort_key
 
 ITEM_COLS = ["item_order", "title", "source_url"]
+# Upper bound for broadcasting the exploded batch-key side of the fuzzy join.
+BROADCAST_LEFT_MAX_BYTES = 64 * 1024 * 1024
 
 
 def active_keys(records: DataFrame, order_col: str = "doc_id") -> DataFrame:
@@ -63,11 +65,10 @@ def hash_match(survivors: DataFrame, pool: DataFrame) -> DataFrame:
     return survivors.join(pf, "hash", "left")
 
 
-def fuzzy_edges(batch_keys: DataFrame, pool_keys: DataFrame) -> DataFrame:
-    """J4 at key level: (bkey, okey, score, b_pool, other_is_batch,
-    other_is_pool) for every batch key and every different key (batch or
-    pool) scoring ≥ 85.  A batch–batch pair appears once, with bkey < okey;
-    the flags say which sides are also stored (pool) keys."""
+def candidate_pairs(batch_keys: DataFrame, pool_keys: DataFrame) -> DataFrame:
+    """Key pairs that survive the lossless length-band, length and histogram
+    bounds: (a, b, a_is_pool, b_is_batch, b_is_pool).  A batch–batch pair
+    appears once (a < b)."""
     allk = (batch_keys.select("fkey", F.lit(True).alias("is_b"), F.lit(False).alias("is_p"))
             .unionByName(pool_keys.select("fkey", F.lit(False).alias("is_b"), F.lit(True).alias("is_p")))
             .groupBy("fkey").agg(F.max("is_b").alias("is_b"), F.max("is_p").alias("is_p")))
@@ -79,11 +80,28 @@ def fuzzy_edges(batch_keys: DataFrame, pool_keys: DataFrame) -> DataFrame:
                                       F.explode(fz.probe_bands(F.col("len"))).alias("band")))
     right = allk.select(F.col("fkey").alias("b"), F.col("len").alias("lb"), F.col("hist").alias("hb"),
                         "band", F.col("is_b").alias("b_is_batch"), F.col("is_p").alias("b_is_pool"))
+    # The batch side is broadcast only when its exploded size is measured to
+    # be small (a run's new items against a large stored pool); otherwise
+    # both sides shuffle on band and AQE splits a hot band.
+    stats = allk.where("is_b").agg(F.count(F.lit(1)).alias("n"), F.sum("len").alias("chars")).first()
+    est_bytes = (stats["n"] or 0) * (200 + 4 * len(fz.ALPHABET)) + (stats["chars"] or 0)
+    est_bytes *= fz.PROBE_BANDS_MAX
+    if est_bytes <= BROADCAST_LEFT_MAX_BYTES:
+        left = F.broadcast(left)
     pairs = (left.join(right, "band")
              .where((F.col("a") != F.col("b")) & (~F.col("b_is_batch") | (F.col("a") < F.col("b"))))
              .where(fz.length_ok(F.col("la"), F.col("lb")))
              .where(fz.histogram_ok(F.col("ha"), F.col("hb"), F.col("la"), F.col("lb")))
              .select("a", "b", "a_is_pool", "b_is_batch", "b_is_pool"))
+    return pairs
+
+
+def fuzzy_edges(batch_keys: DataFrame, pool_keys: DataFrame) -> DataFrame:
+    """J4 at key level: (bkey, okey, score, b_pool, other_is_batch,
+    other_is_pool) for every batch key and every different key (batch or
+    pool) scoring ≥ 85.  A batch–batch pair appears once, with bkey < okey;
+    the flags say which sides are also stored (pool) keys."""
+    pairs = candidate_pairs(batch_keys, pool_keys)
     scored = pairs.withColumn("score", fz.match_ratio_udf(F.col("a"), F.col("b")))
     return (scored.where(F.col("score") >= FUZZY_THRESHOLD)
             .select(F.col("a").alias("bkey"), F.col("b").alias("okey"), "score",
@@ -124,7 +142,7 @@ def greedy_resolve(nodes: DataFrame, edges: DataFrame, max_rounds: int = 10_000)
     return free.unionByName(state)
 
 
-def dedup_batch(batch: DataFrame, pool: DataFrame) -> DataFrame:
+def dedup_batch(batch: DataFrame, pool: DataFrame, parts: dict | None = None) -> DataFrame:
     """Classify every batch item.
 
     batch: (item_order, title, source_url), item_order unique and defining
@@ -179,6 +197,8 @@ def dedup_batch(batch: DataFrame, pool: DataFrame) -> DataFrame:
                .join(live.select(F.col("node").alias("src")), "src", "left_semi")
                .join(live.select(F.col("node").alias("dst")), "dst", "left_semi"))
     resolved = greedy_resolve(live, g_edges)
+    if parts is not None:
+        parts.update(edges=edges, resolved=resolved, reps=reps)
     unique_keys = resolved.where("unique").select(F.col("node").alias("fkey"))
     unique_reps = reps.join(unique_keys, "fkey", "left_semi")
 

@@ -164,6 +164,39 @@ def detail_links(pages: DataFrame) -> DataFrame:
     return cap_links(distinct_links(keep))
 
 
+def _link_pass(it):
+    from lodestar.functions import htmlparse as hp
+    for pdf in it:
+        pids, pos, hrefs = [], [], []
+        for pid, doc, rule, arg in zip(pdf["page_id"], pdf["html"], pdf["link_rule"], pdf["link_arg"]):
+            page = hp.Page(doc or "")
+            if rule == "heading_link":
+                found = hp.heading_links(page, arg)
+            elif rule == "under":
+                found = hp.links_under(page, arg)
+            else:
+                found = [page.els[i]["attrs"]["href"] for i in page.select("a")
+                         if page.els[i]["attrs"].get("href") is not None]
+            for k, h in enumerate(found):
+                pids.append(pid)
+                pos.append(k)
+                hrefs.append(h)
+        yield pd.DataFrame({"page_id": pd.Series(pids, dtype="int64"), "position": pd.Series(pos, dtype="int32"),
+                            "href": pd.Series(hrefs, dtype=object)})
+
+
+def selector_links(pages: DataFrame, profiles: DataFrame) -> DataFrame:
+    """H2 (selector forms): per the page's site profile — ``heading_link``
+    (anchors containing the heading, e.g. ``a:has(h3)``), ``under``
+    (anchors inside a container selector, e.g. ``article.l-post h2``) or
+    ``any`` (every ``a[href]``).  The profile table is one row per site."""
+    prof = profiles.select("source_site", "link_rule",
+                           (F.col("link_arg") if "link_arg" in profiles.columns else F.lit(None).cast("string")).alias("link_arg"))
+    p = pages.select("page_id", "html", host("url").alias("source_site")).join(prof, "source_site", "left")
+    p = p.select("page_id", "html", F.coalesce("link_rule", F.lit("any")).alias("link_rule"), "link_arg")
+    return p.mapInPandas(_link_pass, "page_id long, position int, href string")
+
+
 def _content_pass(it):
     from lodestar.functions import htmlparse as hp
     for pdf in it:

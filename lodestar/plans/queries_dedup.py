@@ -74,3 +74,23 @@ def a2_dedup_stats(spark, sf_dir):
 def w5_union_duplicates(spark, sf_dir):
     b, p = batch_and_pool(spark, sf_dir)
     return dedup.duplicates(dedup.dedup_batch(b, p))
+
+
+@register("f4_token_sort_ratio")
+def f4_token_sort_ratio(spark, sf_dir):
+    """Token-sort ratio of every key pair that the lossless bounds keep."""
+    from lodestar.functions import fuzzy as fz
+    b, p = batch_and_pool(spark, sf_dir)
+    bk = dedup.with_keys(b).where(F.col("fkey") != "").select("fkey").distinct()
+    pk = dedup.with_keys(p).where(F.col("fkey") != "").select("fkey").distinct()
+    return dedup.candidate_pairs(bk, pk).select("a", "b", fz.ratio_udf(F.col("a"), F.col("b")).alias("score"))
+
+
+@register("j5_greedy_resolve")
+def j5_greedy_resolve(spark, sf_dir):
+    """Per key representative: its batch order and whether it stays unique."""
+    b, p = batch_and_pool(spark, sf_dir)
+    parts: dict = {}
+    dedup.dedup_batch(b, p, parts)
+    return (parts["reps"].join(parts["resolved"].withColumnRenamed("node", "fkey"), "fkey", "left")
+            .select("rep_order", "rep_title", F.coalesce("unique", F.lit(False)).alias("unique")))

@@ -123,3 +123,9 @@ def s1_scan_pages(spark, sf_dir):
 @register("h13_scrape_stats")
 def h13_scrape_stats(spark, sf_dir):
     return H.scrape_stats(_pages(spark, sf_dir))
+
+
+@register("h2_selector_links")
+def h2_selector_links(spark, sf_dir):
+    p = _pages(spark, sf_dir)
+    return H.selector_links(p, H.site_profiles(p))
