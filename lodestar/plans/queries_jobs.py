@@ -63,12 +63,29 @@ def s7_run_log(spark, sf_dir):
     return store.close_runs(runs, closing)
 
 
-@register("c3_daily_distribution")
+from lodestar.plans.queries_text import _card_sql, _post_sql  # noqa: E402
+
+_W1_FULL = f"""ranked AS (SELECT *, CAST(row_number() OVER (ORDER BY completeness_score DESC, created_at DESC, id) AS INTEGER) AS rank
+  FROM (SELECT * FROM opportunities o
+    WHERE status = 'active' AND created_at >= {V.as_of()} - INTERVAL 48 HOUR
+      AND (deadline IS NULL OR deadline >= CAST({V.as_of()} AS DATE))
+      AND NOT EXISTS (SELECT 1 FROM distribution_log l WHERE l.channel = 'telegram' AND l.opportunity_id = o.id)
+    ORDER BY completeness_score DESC, created_at DESC, id LIMIT 20))"""
+_HEADER = ("SELECT 'telegram' AS channel, 0 AS seq, CAST(NULL AS VARCHAR) AS opportunity_id, "
+           "'📢 <b>' || CAST(count(*) AS VARCHAR) || ' New Opportunities</b>' || chr(10) || chr(10) || "
+           "'Here are the latest opportunities added to Listings:' AS body FROM ranked HAVING count(*) > 0")
+_OUTBOX_SQL = _post_sql("ranked", ("opportunities", "distribution_log"), [_W1_FULL],
+                        _HEADER + " UNION ALL SELECT 'telegram', rank, id, body FROM bodies")
+
+
+@register("c3_daily_distribution", _OUTBOX_SQL)
 def c3_daily_distribution(spark, sf_dir):
     return jobs.daily_distribution(spark, sf_dir)["outbox"]
 
 
-@register("s8_outbox")
+@register("s8_outbox", _post_sql("ranked", ("opportunities", "distribution_log"), [_W1_FULL],
+                                  "SELECT channel, seq, opportunity_id FROM (" + _HEADER
+                                  + " UNION ALL SELECT 'telegram', rank, id, body FROM bodies)"))
 def s8_outbox(spark, sf_dir):
     return jobs.daily_distribution(spark, sf_dir)["outbox"].select("channel", "seq", "opportunity_id")
 
@@ -102,11 +119,32 @@ def r7_digest_report(spark, sf_dir):
     return jobs.weekly_digest(spark, sf_dir)["report"]
 
 
-@register("r4_digest")
+_W2_FULL = f"""wk AS (SELECT *, row_number() OVER (ORDER BY completeness_score DESC, created_at DESC, id) AS rank
+  FROM (SELECT * FROM opportunities
+    WHERE status = 'active' AND created_at >= {V.as_of()} - INTERVAL 7 DAY
+      AND (deadline IS NULL OR deadline >= CAST({V.as_of()} AS DATE))
+    ORDER BY completeness_score DESC, created_at DESC, id LIMIT 15))"""
+_SUBJ = ("'Listings Weekly: ' || CAST(n AS VARCHAR) || ' New Opportunit' || CASE WHEN n = 1 THEN 'y' ELSE 'ies' END"
+         " || ' This Week'")
+_DIGEST = V.with_views("opportunities", extra=[_W2_FULL, _card_sql("wk"),
+    "agg AS (SELECT count(*) AS n, string_agg(card, chr(10) ORDER BY rank) AS body FROM cards HAVING count(*) > 0)"]) + f"""
+SELECT 'email_digest' AS channel, 0 AS seq, CAST(NULL AS VARCHAR) AS opportunity_id,
+  '<!DOCTYPE html>' || chr(10) || '<html lang="en">' || chr(10) || '<head><meta charset="UTF-8"><title>' ||
+  replace(replace(replace(replace({_SUBJ}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') ||
+  '</title></head>' || chr(10) || '<body>' || chr(10) || '<table class="digest">' || chr(10) ||
+  '<tr><td><h1>Listings</h1><p>Your weekly opportunity digest</p></td></tr>' || chr(10) || '<tr><td><p>Here are the top ' ||
+  CAST(n AS VARCHAR) || CASE WHEN n = 1 THEN ' opportunity' ELSE ' opportunities' END || ' added this week.</p></td></tr>' ||
+  chr(10) || body || chr(10) ||
+  '<tr><td><a href="https://listings.example.org/opportunities">Browse All Opportunities →</a></td></tr>' || chr(10) ||
+  '<tr><td><a href="{{{{ unsubscribe_url }}}}">Unsubscribe</a></td></tr>' || chr(10) || '</table>' || chr(10) || '</body>' ||
+  chr(10) || '</html>' AS body, {_SUBJ} AS subject FROM agg"""
+
+
+@register("r4_digest", "SELECT subject, length(body) AS html_chars FROM (" + _DIGEST + ")")
 def r4_digest(spark, sf_dir):
     return jobs.weekly_digest(spark, sf_dir)["outbox"].select("subject", F.length("body").alias("html_chars"))
 
 
-@register("c4_weekly_digest")
+@register("c4_weekly_digest", _DIGEST)
 def c4_weekly_digest(spark, sf_dir):
     return jobs.weekly_digest(spark, sf_dir)["outbox"]

@@ -99,7 +99,8 @@ def f16_f17_labels(spark, sf_dir):
                     fm.clip_error("text").alias("error_text"))
 
 
-def _post_sql():
+def _post_sql(src: str = "opportunities", views_: tuple = ("opportunities",), pre: list | None = None,
+              final: str | None = None):
     s = "s"
     lines = ", ".join([
         f"{Q.type_emoji()} || ' <b>' || {Q.escape_html('title')} || '</b>'",
@@ -114,14 +115,15 @@ def _post_sql():
         f"'<a href=\"' || {Q.item_url()} || '\">View &amp; Apply →</a>'",
     ])
     keep = f"greatest(0, {MESSAGE_MAX} - ({Q.utf16_length('msg')} - {Q.utf16_length('s')}) - 3)"
-    return V.with_views("opportunities", extra=[
+    body = f"""CASE WHEN {Q.utf16_length('msg')} <= {MESSAGE_MAX} THEN msg
+  ELSE array_to_string(list_transform(lines, lambda x: CASE WHEN x = s THEN substring(s, 1, {keep}) || '...' ELSE x END), chr(10))
+  END"""
+    return V.with_views(*views_, extra=list(pre or []) + [
         f"""b AS (SELECT *, CASE WHEN {Q.present('summary')} THEN {Q.escape_html(Q.truncate('summary', DAILY_SUMMARY_MAX, '...'))}
-                  ELSE '' END AS s FROM opportunities)""",
+                  ELSE '' END AS s FROM {src})""",
         f"l AS (SELECT *, list_filter([{lines}], lambda x: x IS NOT NULL) AS lines FROM b)",
-        "m AS (SELECT *, array_to_string(lines, chr(10)) AS msg FROM l)"]) + f"""
-SELECT id, CASE WHEN {Q.utf16_length('msg')} <= {MESSAGE_MAX} THEN msg
-  ELSE array_to_string(list_transform(lines, lambda x: CASE WHEN x = s THEN substring(s, 1, {keep}) || '...' ELSE x END), chr(10))
-  END AS body FROM m"""
+        "m AS (SELECT *, array_to_string(lines, chr(10)) AS msg FROM l)",
+        f"bodies AS (SELECT *, {body} AS body FROM m)"]) + (final or "SELECT id, body FROM bodies")
 
 
 @register("r1_post_body", _post_sql())
@@ -142,7 +144,7 @@ def r2_post_header(spark, sf_dir):
     return p.agg(render.post_header(F.count(F.lit(1))).alias("header"))
 
 
-def _card_sql(src: str = "opportunities"):
+def _card_sql(src: str = "opportunities"):  # noqa: C901
     bg, fg = Q.badge_colours()
     url = Q.item_url()
     raw = Q.summary_or_description()
