@@ -80,25 +80,34 @@ def terms(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+"), lambda t: t != "")
 
 
+def _tagged(col: str, weight: str) -> Column:
+    return F.transform(terms(F.col(col)), lambda t: F.struct(t.alias("term"), F.lit(weight).alias("weight")))
+
+
+def raw_postings(opps: DataFrame) -> DataFrame:
+    """(id, term, weight) per token occurrence, one explode per row over the
+    concatenated title (A), description (B) and organization (C) tokens."""
+    tagged = F.concat(_tagged("title", "A"), _tagged("description", "B"), _tagged("organization", "C"))
+    p = opps.select("id", F.inline(tagged))
+    return p.where(~F.col("term").isin(*STOP_WORDS))
+
+
 def weighted_postings(opps: DataFrame) -> DataFrame:
     """Q5: (id, term, weight, tf): title = A, description = B, organization = C;
-    a term keeps its best weight; stop words dropped."""
-    stop = opps.sparkSession.createDataFrame([(w,) for w in STOP_WORDS], "term string")
-    parts = [opps.select("id", F.explode(terms(F.col(c))).alias("term"), F.lit(w).alias("weight"))
-             for c, w in (("title", "A"), ("description", "B"), ("organization", "C"))]
-    p = reduce(DataFrame.unionByName, parts)
-    p = p.join(F.broadcast(stop), "term", "left_anti")   # fixed list of 127 words
-    return p.groupBy("id", "term").agg(F.min("weight").alias("weight"), F.count(F.lit(1)).alias("tf"))
+    a term keeps its best weight; stop words dropped (a fixed 127-word list,
+    evaluated as an in-set predicate, no join)."""
+    return (raw_postings(opps).groupBy("id", "term")
+            .agg(F.min("weight").alias("weight"), F.count(F.lit(1)).alias("tf")))
 
 
 def text_search(postings: DataFrame, query: str) -> DataFrame:
-    """Q6: ids whose postings hold every query term (no ranking)."""
-    spark = postings.sparkSession
+    """Q6: ids whose postings hold every query term (no ranking).  The query
+    terms are a literal in-set filter, so it is applied right after the
+    explode, below any aggregation."""
     q = [t for t in dict.fromkeys(_py_terms(query)) if t not in STOP_WORDS]
     if not q:
         return postings.select("id").where(F.lit(False))
-    qdf = spark.createDataFrame([(t,) for t in q], "term string")
-    return (postings.join(F.broadcast(qdf), "term")   # query terms: a handful of rows
+    return (postings.where(F.col("term").isin(*q))
             .groupBy("id").agg(F.count_distinct("term").alias("n"))
             .where(F.col("n") == len(q)).select("id"))
 

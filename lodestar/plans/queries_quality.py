@@ -80,7 +80,7 @@ SEARCH = "src1 ing"
 @register("q6_text_search", V.with_views("opportunities", extra=[_POSTINGS]) + """
 SELECT id FROM postings WHERE term IN ('src1', 'ing') GROUP BY id HAVING count(DISTINCT term) = 2""")
 def q6_text_search(spark, sf_dir):
-    return qa.text_search(qa.weighted_postings(views.opportunities(spark, sf_dir)), SEARCH)
+    return qa.text_search(qa.raw_postings(views.opportunities(spark, sf_dir)), SEARCH)
 
 
 @register("q7_review_queue", V.with_views("flagged_listings") + "SELECT id, flag_reason FROM flagged_listings WHERE NOT reviewed")
