@@ -57,7 +57,8 @@ def site_profiles(pages: DataFrame) -> DataFrame:
             .select("source_site", F.concat("scheme", F.lit("://"), "source_site").alias("base_url"),
                     F.array(*[F.lit(c) for c in GENERIC_CATEGORIES]).alias("categories"),
                     F.lit(GENERIC_INDEX_PAGES).alias("index_pages"),
-                    F.lit("any").alias("link_rule"), F.lit("single_segment").alias("detail_rule")))
+                    F.lit("any").alias("link_rule"), F.lit(None).cast("string").alias("link_arg"),
+                    F.lit("drop_ref").alias("canonical"), F.lit("single_segment").alias("detail_rule")))
 
 
 def seed_urls(profiles: DataFrame) -> DataFrame:
@@ -155,12 +156,44 @@ def cap_links(links: DataFrame, n: int = MAX_LINKS_PER_INDEX, key: str = "page_i
             .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn"))
 
 
-def detail_links(pages: DataFrame) -> DataFrame:
-    """H2→H8 for the generic profile: resolved, canonical (ref dropped),
-    same-site, single-segment detail links, first occurrence, capped."""
-    raw = resolve_url(extract_links(pages.select("page_id", "url", "html")))
-    raw = raw.withColumn("link", canonical_drop_ref("link"))
-    keep = raw.where(same_site("link", host("url")) & detail_single_segment("link"))
+def canonical(u, variant) -> Column:
+    """H4 chosen per row by the profile's ``canonical`` column."""
+    v = F.col(variant) if isinstance(variant, str) else variant
+    return (F.when(v == "drop_query", canonical_drop_query(u))
+            .when(v == "trailing_slash", canonical_trailing_slash(u))
+            .when(v == "drop_ref", canonical_drop_ref(u))
+            .otherwise(F.col(u) if isinstance(u, str) else u))
+
+
+def is_detail(u, rule) -> Column:
+    """H6 chosen per row by the profile's ``detail_rule`` column."""
+    r = F.col(rule) if isinstance(rule, str) else rule
+    return (F.when(r == "date_path", detail_date_path(u))
+            .when(r == "numeric_path", detail_numeric_path(u))
+            .when(r == "single_segment", F.coalesce(detail_single_segment(u), F.lit(False)))
+            .otherwise(F.lit(True)))
+
+
+def detail_links(pages: DataFrame, profiles: DataFrame | None = None) -> DataFrame:
+    """H2→H8 driven by the site profile of each page's host: links of the
+    profile's form (regex ``a[href]`` form natively, selector forms in the
+    parser pass), resolved, canonicalised, kept when same-site and a detail
+    url, first occurrence per index page, capped at 50 with ``found``
+    counted before the cap.  The profile table (one row per site) joins on
+    host; AQE broadcasts it when it is small."""
+    base = pages.select("page_id", "url", "html")
+    if profiles is None:
+        profiles = site_profiles(base)
+    prof = profiles.select("source_site", "link_rule", "link_arg", "canonical", "detail_rule")
+    any_form = profiles.where(F.col("link_rule") == "any").select("source_site")
+    with_host = base.withColumn("source_site", host("url"))
+    native = extract_links(with_host.join(any_form, "source_site", "left_semi")).select("page_id", "position", "href")
+    other = selector_links(with_host.join(any_form, "source_site", "left_anti").drop("source_site"), profiles)
+    links = native.unionByName(other).join(with_host.select("page_id", "url", "source_site"), "page_id")
+    raw = resolve_url(links).join(prof, "source_site", "left")
+    raw = raw.withColumn("link", canonical("link", F.coalesce("canonical", F.lit("drop_ref"))))
+    keep = raw.where(same_site("link", F.col("source_site"))
+                     & is_detail("link", F.coalesce("detail_rule", F.lit("single_segment"))))
     return cap_links(distinct_links(keep))
 
 
@@ -243,7 +276,7 @@ def scrape_stats(pages: DataFrame) -> DataFrame:
     """Per source host — found (detail links), scraped (pages kept),
     errors (pages with no html) and the run status."""
     base = pages.select("page_id", "url", "html", host("url").alias("source_site"))
-    found = (detail_links(base).join(base.select("page_id", "source_site"), "page_id")
+    found = (detail_links(base.drop("source_site")).join(base.select("page_id", "source_site"), "page_id")
              .groupBy("source_site").agg(F.count(F.lit(1)).alias("found")))
     kept = (scraped_pages(base).join(base.select("page_id", "source_site"), "page_id")
             .groupBy("source_site").agg(F.count(F.lit(1)).alias("scraped")))

@@ -51,3 +51,19 @@ def test_url_rules(spark):
     assert [r.r for r in out[:3]] == ["http://h.org/p?page=2#top", "http://h.org/p?a=1", "http://h.org/p"]
     assert out[0].q == "http://h.org/p#top"
     assert out[3].d and not out[3].n and out[4].n and not out[5].s
+
+
+def test_profile_driven_detail_links(spark):
+    html = ('<a href="/2024/01/02/post-one/">a</a><a href="/2024/01/02/post-one/?ref=x">dup</a>'
+            '<a href="/tag/">t</a><a href="https://other.org/2024/01/02/x/">o</a><a href="/123/item">n</a>')
+    pages = spark.createDataFrame([(1, "https://dated.example.org/category/x/", html),
+                                   (2, "https://numeric.example.org/list", html)], "page_id long, url string, html string")
+    prof = spark.createDataFrame([
+        ("dated.example.org", "any", None, "drop_query", "date_path"),
+        ("numeric.example.org", "heading_link", "h3", "drop_ref", "numeric_path")],
+        "source_site string, link_rule string, link_arg string, canonical string, detail_rule string")
+    got = sorted((r.page_id, r.link, r.found) for r in H.detail_links(pages, prof).collect())
+    assert got == [(1, "https://dated.example.org/2024/01/02/post-one/", 1)]
+    prof2 = prof.replace("heading_link", "any", subset=["link_rule"])
+    got2 = sorted((r.page_id, r.link) for r in H.detail_links(pages, prof2).collect())
+    assert (2, "https://numeric.example.org/123/item") in got2
