@@ -86,14 +86,19 @@ def candidate_pairs(batch_keys: DataFrame, pool_keys: DataFrame) -> DataFrame:
     stats = allk.where("is_b").agg(F.count(F.lit(1)).alias("n"), F.sum("len").alias("chars")).first()
     est_bytes = (stats["n"] or 0) * (200 + 4 * len(fz.ALPHABET)) + (stats["chars"] or 0)
     est_bytes *= fz.PROBE_BANDS_MAX
+    # Pair volume is not visible in the key tables' byte size, so AQE would
+    # coalesce them into very few tasks: spread the probe side explicitly.
+    par = max(8, allk.sparkSession.sparkContext.defaultParallelism * 4)
     if est_bytes <= BROADCAST_LEFT_MAX_BYTES:
         left = F.broadcast(left)
+        right = right.repartition(par)
     pairs = (left.join(right, "band")
              .where((F.col("a") != F.col("b")) & (~F.col("b_is_batch") | (F.col("a") < F.col("b"))))
              .where(fz.length_ok(F.col("la"), F.col("lb")))
              .where(fz.histogram_ok(F.col("ha"), F.col("hb"), F.col("la"), F.col("lb")))
              .select("a", "b", "a_is_pool", "b_is_batch", "b_is_pool"))
-    return pairs
+    # Survivors are few but costly (Python LCS): spread them evenly.
+    return pairs.repartition(par)
 
 
 def fuzzy_edges(batch_keys: DataFrame, pool_keys: DataFrame) -> DataFrame:
