@@ -64,7 +64,8 @@ def site_profiles(pages: DataFrame) -> DataFrame:
 def seed_urls(profiles: DataFrame) -> DataFrame:
     """H1: category × page-number start urls; page 1 plain, later pages suffixed."""
     c = profiles.select("source_site", "base_url", "index_pages", F.posexplode("categories").alias("cat_pos", "category"))
-    p = c.select("*", F.explode(F.sequence(F.lit(1), F.col("index_pages"))).alias("page_no"))
+    c = c.withColumn("cat_pos", F.col("cat_pos").cast("bigint"))
+    p = c.select("*", F.explode(F.sequence(F.lit(1), F.col("index_pages").cast("bigint"))).alias("page_no"))
     root = F.concat("base_url", F.lit("/category/"), "category", F.lit("/"))
     return p.select("source_site", "cat_pos", "page_no",
                     F.when(F.col("page_no") == 1, root)
@@ -73,7 +74,8 @@ def seed_urls(profiles: DataFrame) -> DataFrame:
 
 def extract_links(pages: DataFrame) -> DataFrame:
     """H2 (``a[href]`` form): (page_id, position, href) in document order."""
-    return pages.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(HREF_RE), 1)).alias("position", "href"))
+    return (pages.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(HREF_RE), 1)).alias("position", "href"))
+            .withColumn("position", F.col("position").cast("bigint")))
 
 
 def _resolve(base: str, href: str):
@@ -214,7 +216,7 @@ def _link_pass(it):
                 pids.append(pid)
                 pos.append(k)
                 hrefs.append(h)
-        yield pd.DataFrame({"page_id": pd.Series(pids, dtype="int64"), "position": pd.Series(pos, dtype="int32"),
+        yield pd.DataFrame({"page_id": pd.Series(pids, dtype="int64"), "position": pd.Series(pos, dtype="int64"),
                             "href": pd.Series(hrefs, dtype=object)})
 
 
@@ -227,7 +229,7 @@ def selector_links(pages: DataFrame, profiles: DataFrame) -> DataFrame:
                            (F.col("link_arg") if "link_arg" in profiles.columns else F.lit(None).cast("string")).alias("link_arg"))
     p = pages.select("page_id", "html", host("url").alias("source_site")).join(prof, "source_site", "left")
     p = p.select("page_id", "html", F.coalesce("link_rule", F.lit("any")).alias("link_rule"), "link_arg")
-    return p.mapInPandas(_link_pass, "page_id long, position int, href string")
+    return p.mapInPandas(_link_pass, "page_id long, position long, href string")
 
 
 def _content_pass(it):

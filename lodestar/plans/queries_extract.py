@@ -24,7 +24,7 @@ def x1_prompt_rows(spark, sf_dir):
     body = F.when(F.length("html") > X.PROMPT_HTML_MAX,
                   F.concat(F.substring("html", 1, X.PROMPT_HTML_MAX), F.lit("\n[HTML TRUNCATED]"))).otherwise(F.col("html"))
     return p.select("page_id", (F.length("html") > X.PROMPT_HTML_MAX).alias("truncated"),
-                    F.length(body).alias("html_chars"), X.prompt(html="html").alias("_p")).drop("_p")
+                    F.length(body).cast("bigint").alias("html_chars"), X.prompt(html="html").alias("_p")).drop("_p")
 
 
 @register("x2_strip_fence")

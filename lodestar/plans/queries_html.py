@@ -111,7 +111,7 @@ SELECT page_id, length(regexp_replace(regexp_replace(html, '<[^>]*>', '', 'g'),
 FROM pages WHERE length(regexp_replace(regexp_replace(html, '<[^>]*>', '', 'g'), '^{_WS}+|{_WS}+$', '', 'g')) >= 100""")
 def h12_min_text(spark, sf_dir):
     p = _pages(spark, sf_dir)
-    return H.min_text(p, "html").select("page_id", H.text_length("html").alias("text_chars"))
+    return H.min_text(p, "html").select("page_id", H.text_length("html").cast("bigint").alias("text_chars"))
 
 
 @register("s1_scan_pages")

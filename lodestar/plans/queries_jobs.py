@@ -142,7 +142,7 @@ SELECT 'email_digest' AS channel, 0 AS seq, CAST(NULL AS VARCHAR) AS opportunity
 
 @register("r4_digest", "SELECT subject, length(body) AS html_chars FROM (" + _DIGEST + ")")
 def r4_digest(spark, sf_dir):
-    return jobs.weekly_digest(spark, sf_dir)["outbox"].select("subject", F.length("body").alias("html_chars"))
+    return jobs.weekly_digest(spark, sf_dir)["outbox"].select("subject", F.length("body").cast("bigint").alias("html_chars"))
 
 
 @register("c4_weekly_digest", _DIGEST)
