@@ -1,0 +1,24 @@
+"""Size checks that gate explicit broadcasts.
+
+``at_most`` counts at most ``n + 1`` rows (``limit`` stops the scan early),
+so checking a large input stays cheap.  Callers broadcast only key columns
+of an input proven to hold at most ``n`` rows, and fall back to a shuffled
+plan beyond it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Key sets (ids, slugs: < 100 bytes per row) up to this many rows are broadcast.
+BROADCAST_KEYS_MAX = 1_000_000
+
+
+def at_most(df: DataFrame, n: int) -> bool:
+    return df.limit(n + 1).count() <= n
+
+
+def maybe_broadcast(keys: DataFrame, n: int = BROADCAST_KEYS_MAX) -> DataFrame:
+    """``keys`` with a broadcast hint when it holds at most ``n`` rows."""
+    return F.broadcast(keys) if at_most(keys, n) else keys

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lodestar.constants import AS_OF, TYPES
 from lodestar.functions.text import completeness, slug
+from lodestar.operators.sizing import maybe_broadcast
 from lodestar.sources.views import as_of_ts
 
 SUPPLIED = ["title", "slug", "description", "summary", "type", "fields", "regions", "countries",
@@ -70,8 +71,14 @@ def fill_defaults(rows: DataFrame, as_of: str = AS_OF) -> DataFrame:
 
 
 def classify(rows: DataFrame, target: DataFrame) -> DataFrame:
-    """A row is an update iff its source_url already exists (any status)."""
-    urls = target.select(F.col("source_url").alias("_u")).distinct()
+    """A row is an update iff its source_url already exists (any status).
+
+    Only stored urls that occur in the batch are kept (semi-join against the
+    batch's url set, broadcast when small), so the stored table is never
+    shuffled as a whole."""
+    batch_urls = maybe_broadcast(rows.select(F.col("source_url")).where(F.col("source_url").isNotNull()).distinct())
+    urls = (target.select("source_url").join(batch_urls, "source_url", "left_semi")
+            .select(F.col("source_url").alias("_u")).distinct())
     return (rows.join(urls, rows["source_url"] == urls["_u"], "left")
             .withColumn("is_update", F.col("_u").isNotNull()).drop("_u"))
 
@@ -88,21 +95,24 @@ def upsert(target: DataFrame, rows: DataFrame, as_of: str = AS_OF) -> DataFrame:
     good = rows.where(row_errors(rows).isNull())
     last = (good.groupBy("slug").agg(F.max_by(F.struct(*[c for c in SUPPLIED if c != "slug"]),
                                               F.col("item_order")).alias("_r"))
-            .select("slug", "_r.*"))
-    t = target.select(*[F.col(c).alias("t_" + c) for c in SUPPLIED + KEPT])
-    j = t.join(last, t["t_slug"] == last["slug"], "full_outer")
-    matched = F.col("slug").isNotNull()
-    is_new = F.col("t_slug").isNull()
-    cols = []
-    for c in SUPPLIED:
-        cols.append(F.when(matched, F.col(c) if c != "slug" else F.col("slug")).otherwise(F.col("t_" + c)).alias(c))
-    new_id = default_id(F.col("slug"))
-    defaults = {"id": new_id, "verification_level": F.lit("basic"), "scam_risk": F.lit("low"),
-                "source_hash": F.lit(None).cast("string"), "raw_html": F.lit(None).cast("string"),
-                "deadline_text": F.lit(None).cast("string"), "created_at": as_of_ts(as_of)}
-    for c in KEPT:
-        cols.append(F.when(is_new, defaults[c]).otherwise(F.col("t_" + c)).alias(c))
-    return j.select(*cols)
+            .select("slug", "_r.*")).checkpoint()
+    # The batch's slug set is broadcast when small, so the stored table is
+    # split into touched / untouched rows by a map-only pass (no shuffle of
+    # the stored table); beyond the bound the same plan shuffles on slug.
+    keys = maybe_broadcast(last.select("slug"))
+    untouched = target.join(keys, "slug", "left_anti")
+    touched = target.join(keys, "slug", "left_semi")
+    t = touched.select(*[F.col(c).alias("t_" + c) for c in KEPT + ["slug"]])
+    upd = last.join(t, last["slug"] == t["t_slug"], "inner")
+    updated = upd.select(*[F.col(c) for c in SUPPLIED], *[F.col("t_" + c).alias(c) for c in KEPT])
+    new_rows = last.join(touched.select("slug"), "slug", "left_anti")
+    inserted = new_rows.select(
+        *[F.col(c) for c in SUPPLIED], default_id(F.col("slug")).alias("id"),
+        F.lit("basic").alias("verification_level"), F.lit("low").alias("scam_risk"),
+        F.lit(None).cast("string").alias("source_hash"), F.lit(None).cast("string").alias("raw_html"),
+        F.lit(None).cast("string").alias("deadline_text"), as_of_ts(as_of).alias("created_at"))
+    cols = SUPPLIED + KEPT
+    return untouched.select(*cols).unionByName(updated.select(*cols)).unionByName(inserted.select(*cols))
 
 
 def store_summary(rows: DataFrame, target: DataFrame) -> DataFrame:
@@ -129,7 +139,11 @@ def record_distribution(log: DataFrame, new: DataFrame) -> DataFrame:
     first = (new.groupBy("opportunity_id", "channel")
              .agg(F.min(F.struct("posted_at", "external_id")).alias("_f"))
              .select("opportunity_id", "channel", "_f.posted_at", "_f.external_id"))
-    fresh = first.join(log.select("opportunity_id", "channel"), ["opportunity_id", "channel"], "left_anti")
+    # Recorded pairs are looked up only for the new keys (broadcast when
+    # small): the log itself is scanned map-only, never shuffled whole.
+    keys = maybe_broadcast(first.select("opportunity_id", "channel"))
+    seen = log.select("opportunity_id", "channel").join(keys, ["opportunity_id", "channel"], "left_semi")
+    fresh = first.join(seen, ["opportunity_id", "channel"], "left_anti")
     rows = fresh.select(
         F.concat(F.lit("log-"), F.substring(F.sha2(F.concat_ws("|", "opportunity_id", "channel"), 256), 1, 24)).alias("id"),
         "opportunity_id", "channel", F.lit(None).cast("string").alias("channel_detail"),
