@@ -97,8 +97,7 @@ def candidate_pairs(batch_keys: DataFrame, pool_keys: DataFrame) -> DataFrame:
              .where(fz.length_ok(F.col("la"), F.col("lb")))
              .where(fz.histogram_ok(F.col("ha"), F.col("hb"), F.col("la"), F.col("lb")))
              .select("a", "b", "a_is_pool", "b_is_batch", "b_is_pool"))
-    # Survivors are few but costly (Python LCS): spread them evenly.
-    return pairs.repartition(par)
+    return pairs
 
 
 def fuzzy_edges(batch_keys: DataFrame, pool_keys: DataFrame) -> DataFrame:
