@@ -78,16 +78,39 @@ def extract_links(pages: DataFrame) -> DataFrame:
             .withColumn("position", F.col("position").cast("bigint")))
 
 
+_FORBIDDEN_HOST = set(" \t\n\r#%/:<>?@[\\]^|")
+_DEFAULT_PORT = {"http": 80, "https": 443}
+
+
 def _resolve(base: str, href: str):
+    """Absolute url as a WHATWG-style parser would serialise it: scheme and
+    host lower-cased, default port dropped, empty path → '/', spaces and
+    non-ASCII percent-encoded; unparsable input (bad host, bad port,
+    non-http scheme) → None."""
+    from urllib.parse import quote
     if href is None or base is None:
         return None
     try:
-        u = urljoin(base, href.strip())
+        u = urljoin(base, href.strip(" \t\n\r\f"))
         parts = urlsplit(u)
-        if parts.scheme not in ("http", "https") or not parts.hostname:
+        scheme = parts.scheme.lower()
+        host = parts.hostname
+        if scheme not in ("http", "https") or not host or any(c in _FORBIDDEN_HOST for c in host):
             return None
-        netloc = parts.netloc.replace(parts.hostname, parts.hostname.lower(), 1) if parts.hostname else parts.netloc
-        return parts._replace(netloc=netloc).geturl()
+        port = parts.port            # raises ValueError on a bad port
+        netloc = host.lower() if port in (None, _DEFAULT_PORT[scheme]) else f"{host.lower()}:{port}"
+        if parts.username is not None:
+            cred = parts.username + (f":{parts.password}" if parts.password is not None else "")
+            netloc = f"{cred}@{netloc}"
+        path = quote(parts.path or "/", safe="/%:@!$&'()*+,;=-._~")
+        query = quote(parts.query, safe="/%:@!$&'()*+,;=-._~?")
+        frag = quote(parts.fragment, safe="/%:@!$&'()*+,;=-._~?#")
+        out = f"{scheme}://{netloc}{path}"
+        if "?" in u.split("#", 1)[0]:      # an empty query is kept as '?'
+            out += f"?{query}"
+        if "#" in u:
+            out += f"#{frag}"
+        return out
     except ValueError:
         return None
 

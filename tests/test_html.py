@@ -67,3 +67,15 @@ def test_profile_driven_detail_links(spark):
     prof2 = prof.replace("heading_link", "any", subset=["link_rule"])
     got2 = sorted((r.page_id, r.link) for r in H.detail_links(pages, prof2).collect())
     assert (2, "https://numeric.example.org/123/item") in got2
+
+
+def test_resolve_url_rules():
+    r = H._resolve
+    assert r("https://A.Example.org/x/y", "../z") == "https://a.example.org/z"
+    assert r("http://h.org:80/a", "/b c") == "http://h.org/b%20c"
+    assert r("https://h.org", "") == "https://h.org/"
+    assert r("https://h.org/p", "?q=1#top") == "https://h.org/p?q=1#top"
+    assert r("https://h.org/p", "mailto:x@y.org") is None
+    assert r("https://h.org/p", "http://bad host/") is None
+    assert r("https://h.org/p", "https://h.org:99999/") is None
+    assert r("https://h.org/p", "/é") == "https://h.org/%C3%A9"
