@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.constants import (EDUCATION_LEVELS, LOG_STATUSES, SCAM_RISK_LEVELS, STATUSES, TYPES,
-                                VERIFICATION_LEVELS)
+from lodestar.constants import (EDUCATION_LEVELS, LOG_STATUSES, RUN_STATUSES, SCAM_RISK_LEVELS, STATUSES,
+                                TYPES, VERIFICATION_LEVELS)
 from lodestar.operators import quality as qa
 from lodestar.plans import sqlviews as V
 from lodestar.plans.catalog import register
@@ -20,7 +20,7 @@ def _viol(table, key, src, rule, cond):
     return f"SELECT '{table}' AS table_name, '{rule}' AS rule, CAST({key} AS VARCHAR) AS row_key FROM {src} WHERE NOT coalesce({cond}, true)"
 
 
-@register("q1_check_rules", V.with_views("opportunities", "user_profiles", "distribution_log") + " UNION ALL ".join([
+@register("q1_check_rules", V.with_views("opportunities", "user_profiles", "distribution_log", "scrape_runs") + " UNION ALL ".join([
     _viol("opportunities", "id", "opportunities", "type", f"type IN {_in(TYPES)}"),
     _viol("opportunities", "id", "opportunities", "status", f"status IN {_in(STATUSES)}"),
     _viol("opportunities", "id", "opportunities", "verification_level", f"verification_level IN {_in(VERIFICATION_LEVELS)}"),
@@ -28,20 +28,22 @@ def _viol(table, key, src, rule, cond):
     _viol("opportunities", "id", "opportunities", "completeness_score", "completeness_score BETWEEN 0 AND 100"),
     _viol("user_profiles", "id", "user_profiles", "education_level", f"education_level IN {_in(EDUCATION_LEVELS)}"),
     _viol("distribution_log", "id", "distribution_log", "status", f"status IN {_in(LOG_STATUSES)}"),
+    _viol("scrape_runs", "id", "scrape_runs", "status", f"status IN {_in(RUN_STATUSES)}"),
 ]))
 def q1_check_rules(spark, sf_dir):
     return qa.check_rules(views.opportunities(spark, sf_dir), views.user_profiles(spark, sf_dir),
-                          views.distribution_log(spark, sf_dir))
+                          views.distribution_log(spark, sf_dir), views.scrape_runs(spark, sf_dir))
 
 
-@register("q2_not_null_rules", V.with_views("opportunities", "distribution_log", "flagged_listings") + " UNION ALL ".join(
+@register("q2_not_null_rules", V.with_views("opportunities", "distribution_log", "flagged_listings", "scrape_runs") + " UNION ALL ".join(
     [_viol("opportunities", "id", "opportunities", f"{c} not null", f"{c} IS NOT NULL")
      for c in ["title", "slug", "type", "source_url", "source_site"]]
     + [_viol("distribution_log", "id", "distribution_log", "channel not null", "channel IS NOT NULL"),
-       _viol("flagged_listings", "id", "flagged_listings", "flag_reason not null", "flag_reason IS NOT NULL")]))
+       _viol("flagged_listings", "id", "flagged_listings", "flag_reason not null", "flag_reason IS NOT NULL"),
+       _viol("scrape_runs", "id", "scrape_runs", "source_site not null", "source_site IS NOT NULL")]))
 def q2_not_null_rules(spark, sf_dir):
     return qa.not_null_rules(views.opportunities(spark, sf_dir), views.distribution_log(spark, sf_dir),
-                             views.flagged_listings(spark, sf_dir))
+                             views.flagged_listings(spark, sf_dir), views.scrape_runs(spark, sf_dir))
 
 
 def _dup(table, rule, src, cols):
@@ -151,3 +153,10 @@ def j7_cascade_delete(spark, sf_dir):
                      F.concat_ws("|", "user_id", "opportunity_id").alias("row_key"), "opportunity_id")
             .unionByName(fl.select(F.lit("flagged_listings").alias("table_name"), F.col("id").alias("row_key"), "opportunity_id"))
             .unionByName(lg.select(F.lit("distribution_log").alias("table_name"), F.col("id").alias("row_key"), "opportunity_id")))
+
+
+@register("s7_scrape_runs", V.with_views("scrape_runs") + """
+SELECT id, source_site, started_at, completed_at, status, listings_found, listings_new, duration_seconds FROM scrape_runs""")
+def s7_scrape_runs(spark, sf_dir):
+    return views.scrape_runs(spark, sf_dir).select("id", "source_site", "started_at", "completed_at", "status",
+                                                   "listings_found", "listings_new", "duration_seconds")

@@ -158,6 +158,18 @@ SAVED_OPPORTUNITIES = """saved_opportunities AS (
     o_orderdate AS saved_at
   FROM orders)"""
 
+SCRAPE_RUNS = """scrape_runs AS (
+  SELECT 'run-' || source_site || '-' || strftime(day, '%Y%m%d') AS id, source_site, started_at, completed_at,
+    CASE WHEN errors > 0 AND scraped > 0 THEN 'partial' WHEN errors > 0 THEN 'failed' ELSE 'success' END AS status,
+    CAST(listings_found AS INTEGER) AS listings_found, CAST(scraped AS INTEGER) AS listings_new,
+    0 AS listings_duplicate, CAST(NULL AS VARCHAR) AS error_message,
+    CAST(date_diff('second', started_at, completed_at) AS INTEGER) AS duration_seconds
+  FROM (SELECT 'src' || CAST(user_id % 20 AS VARCHAR) AS source_site, CAST(ts AS DATE) AS day,
+          min(ts) AS started_at, max(ts) AS completed_at, count(*) AS listings_found,
+          count(*) FILTER (WHERE event_type <> 'error') AS scraped,
+          count(*) FILTER (WHERE event_type = 'error') AS errors
+        FROM events GROUP BY 1, 2))"""
+
 _DEPS = {
     "items": [],
     "opportunities": ["items"],
@@ -167,11 +179,12 @@ _DEPS = {
     "flagged_listings": [],
     "user_profiles": [],
     "saved_opportunities": [],
+    "scrape_runs": [],
 }
 _SQL = {"items": ITEMS, "opportunities": OPPORTUNITIES, "stored_items": STORED_ITEMS,
         "batch_items": BATCH_ITEMS, "distribution_log": DISTRIBUTION_LOG,
         "flagged_listings": FLAGGED_LISTINGS, "user_profiles": USER_PROFILES,
-        "saved_opportunities": SAVED_OPPORTUNITIES}
+        "saved_opportunities": SAVED_OPPORTUNITIES, "scrape_runs": SCRAPE_RUNS}
 
 
 def with_views(*names: str, extra: list[str] | None = None) -> str:

@@ -179,3 +179,26 @@ def saved_opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("doc-"), _s(F.expr("o_orderkey div 12"))).alias("opportunity_id"),
         F.col("o_orderdate").alias("saved_at"),
     )
+
+
+def scrape_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run records: one per (source, day) of events; errors are error events,
+    scraped the others; status by the run rule (errors with pages → partial,
+    errors only → failed, else success)."""
+    e = read_table(spark, sf_dir, "events", ["ts", "user_id", "event_type"])
+    src = F.concat(F.lit("src"), _s(F.col("user_id") % 20))
+    g = (e.select(src.alias("source_site"), F.to_date("ts").alias("day"), "ts", "event_type")
+         .groupBy("source_site", "day")
+         .agg(F.min("ts").alias("started_at"), F.max("ts").alias("completed_at"),
+              F.count(F.lit(1)).alias("listings_found"),
+              F.count_if(F.col("event_type") != "error").alias("scraped"),
+              F.count_if(F.col("event_type") == "error").alias("errors")))
+    status = (F.when((F.col("errors") > 0) & (F.col("scraped") > 0), "partial")
+              .when(F.col("errors") > 0, "failed").otherwise("success"))
+    return g.select(
+        F.concat(F.lit("run-"), F.col("source_site"), F.lit("-"), F.date_format("day", "yyyyMMdd")).alias("id"),
+        "source_site", "started_at", "completed_at", status.alias("status"),
+        F.col("listings_found").cast("int").alias("listings_found"), F.col("scraped").cast("int").alias("listings_new"),
+        F.lit(0).alias("listings_duplicate"), F.lit(None).cast("string").alias("error_message"),
+        (F.unix_timestamp(F.col("completed_at").cast("timestamp")) - F.unix_timestamp(F.col("started_at").cast("timestamp")))
+        .cast("int").alias("duration_seconds"))
