@@ -286,10 +286,14 @@ def min_text(df: DataFrame, col: str = "content", n: int = MIN_CONTENT_CHARS) ->
     return df.where(text_length(col) >= n)
 
 
-def scraped_pages(pages: DataFrame) -> DataFrame:
-    """S1 + H9–H12: the page records that enter extraction."""
+def scraped_pages(pages: DataFrame, as_of: str | None = None) -> DataFrame:
+    """S1 + H9–H12: the page records that enter extraction (page_id, url,
+    title, content, scraped_at)."""
+    from lodestar.constants import AS_OF
+    from lodestar.sources.views import as_of_ts
     c = page_content(pages)
-    return min_text(c.where(F.col("title").isNotNull() & F.col("content").isNotNull()))
+    c = min_text(c.where(F.col("title").isNotNull() & F.col("content").isNotNull()))
+    return c.withColumn("scraped_at", as_of_ts(as_of or AS_OF))
 
 
 def run_status(found_errors: Column, scraped: Column) -> Column:

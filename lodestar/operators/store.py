@@ -83,7 +83,7 @@ def classify(rows: DataFrame, target: DataFrame) -> DataFrame:
             .withColumn("is_update", F.col("_u").isNotNull()).drop("_u"))
 
 
-def upsert(target: DataFrame, rows: DataFrame, as_of: str = AS_OF) -> DataFrame:
+def upsert(target: DataFrame, rows: DataFrame, as_of: str = AS_OF, protect_status: bool = False) -> DataFrame:
     """Upsert stored rows keyed by slug.
 
     ``rows`` are F7 rows; rows the store would reject are left out (see
@@ -102,9 +102,13 @@ def upsert(target: DataFrame, rows: DataFrame, as_of: str = AS_OF) -> DataFrame:
     keys = maybe_broadcast(last.select("slug"))
     untouched = target.join(keys, "slug", "left_anti")
     touched = target.join(keys, "slug", "left_semi")
-    t = touched.select(*[F.col(c).alias("t_" + c) for c in KEPT + ["slug"]])
+    t = touched.select(*[F.col(c).alias("t_" + c) for c in KEPT + ["slug", "status"]])
     upd = last.join(t, last["slug"] == t["t_slug"], "inner")
-    updated = upd.select(*[F.col(c) for c in SUPPLIED], *[F.col("t_" + c).alias(c) for c in KEPT])
+    status = F.col("status")
+    if protect_status:
+        status = F.when(F.col("t_status").isin("flagged", "removed"), F.col("t_status")).otherwise(status)
+    updated = upd.select(*[status.alias(c) if c == "status" else F.col(c) for c in SUPPLIED],
+                         *[F.col("t_" + c).alias(c) for c in KEPT])
     new_rows = last.join(touched.select("slug"), "slug", "left_anti")
     inserted = new_rows.select(
         *[F.col(c) for c in SUPPLIED], default_id(F.col("slug")).alias("id"),
@@ -116,11 +120,18 @@ def upsert(target: DataFrame, rows: DataFrame, as_of: str = AS_OF) -> DataFrame:
 
 
 def store_summary(rows: DataFrame, target: DataFrame) -> DataFrame:
-    """A3: inserted / updated / failed; failures are rows the store rejects."""
-    c = classify(rows, target).withColumn("error", row_errors(rows))
-    return c.agg(F.count_if(F.col("error").isNull() & ~F.col("is_update")).alias("inserted"),
-                 F.count_if(F.col("error").isNull() & F.col("is_update")).alias("updated"),
-                 F.count_if(F.col("error").isNotNull()).alias("failed"))
+    """A3: inserted / updated / failed as judged by source_url (the reported
+    counts), plus the slug-keyed judgement the write actually follows
+    (``new_slugs`` / ``existing_slugs``); failures are rows the store rejects."""
+    keys = maybe_broadcast(rows.select("slug").where(F.col("slug").isNotNull()).distinct())
+    have = target.select("slug").join(keys, "slug", "left_semi").distinct().withColumn("_has_slug", F.lit(True))
+    c = classify(rows, target).withColumn("error", row_errors(rows)).join(have, "slug", "left")
+    ok = F.col("error").isNull()
+    return c.agg(F.count_if(ok & ~F.col("is_update")).alias("inserted"),
+                 F.count_if(ok & F.col("is_update")).alias("updated"),
+                 F.count_if(~ok).alias("failed"),
+                 F.count_if(ok & F.col("_has_slug").isNull()).alias("new_slugs"),
+                 F.count_if(ok & F.col("_has_slug").isNotNull()).alias("existing_slugs"))
 
 
 def store_errors(rows: DataFrame) -> DataFrame:

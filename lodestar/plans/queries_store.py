@@ -61,10 +61,13 @@ def j2_insert_or_update(spark, sf_dir):
 
 
 @register("a3_store_counts", V.with_views("opportunities", extra=[_ROWS, _TARGET,
-    f"c AS (SELECT source_url IN (SELECT source_url FROM target) AS is_update, {_ERR} AS error FROM rows_)"]) + """
+    f"""c AS (SELECT source_url IN (SELECT source_url FROM target) AS is_update, {_ERR} AS error,
+            slug IN (SELECT slug FROM target) AS has_slug FROM rows_)"""]) + """
 SELECT count(*) FILTER (WHERE error IS NULL AND NOT is_update) AS inserted,
        count(*) FILTER (WHERE error IS NULL AND is_update) AS updated,
-       count(*) FILTER (WHERE error IS NOT NULL) AS failed FROM c""")
+       count(*) FILTER (WHERE error IS NOT NULL) AS failed,
+       count(*) FILTER (WHERE error IS NULL AND NOT has_slug) AS new_slugs,
+       count(*) FILTER (WHERE error IS NULL AND has_slug) AS existing_slugs FROM c""")
 def a3_store_counts(spark, sf_dir):
     return store.store_summary(_rows(spark, sf_dir), _target(spark, sf_dir))
 

@@ -69,3 +69,16 @@ def test_validation_fixture(spark):
     assert out[10].extraction.application_url is None
     assert len(out[11].extraction.summary) == 300
     assert out[12].error is None
+
+
+def test_update_reactivates_unless_protected(spark):
+    rows = store.to_row(_items(spark))
+    t1 = store.upsert(_empty_target(spark, rows), rows)
+    flagged = t1.withColumn("status", F.when(F.col("title").contains("Alpha"), "flagged").otherwise(F.col("status")))
+    plain = {r.title: r.status for r in store.upsert(flagged, rows).collect()}
+    kept = {r.title: r.status for r in store.upsert(flagged, rows, protect_status=True).collect()}
+    assert plain["Test Scholarship Alpha 2026"] == "active"
+    assert kept["Test Scholarship Alpha 2026"] == "flagged"
+    assert kept["Test Scholarship Beta 2026"] == "active"
+    c = store.store_summary(rows, t1).first()
+    assert (c.existing_slugs, c.new_slugs) == (3, 0)
