@@ -53,14 +53,7 @@ def r6_failure_alert(spark, sf_dir):
 
 @register("s7_run_log")
 def s7_run_log(spark, sf_dir):
-    st = H.scrape_stats(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
-    runs = store.open_runs(st.select("source_site"))
-    closing = (runs.select("id", "source_site").join(st, "source_site")
-               .select("id", "status", F.lit(None).cast("timestamp_ntz").alias("completed_at"),
-                       F.lit(0).alias("duration_seconds"), F.col("found").alias("listings_found"),
-                       F.col("scraped").alias("listings_new"), F.lit(0).alias("listings_duplicate"),
-                       F.lit(None).cast("string").alias("error_message")))
-    return store.close_runs(runs, closing)
+    return jobs.ingest(spark, sf_dir)["runs"]
 
 
 from lodestar.plans.queries_text import _card_sql, _post_sql  # noqa: E402
