@@ -301,13 +301,15 @@ def run_status(found_errors: Column, scraped: Column) -> Column:
             .when(found_errors > 0, "failed").otherwise("success"))
 
 
-def scrape_stats(pages: DataFrame) -> DataFrame:
+def scrape_stats(pages: DataFrame, kept: DataFrame | None = None) -> DataFrame:
     """Per source host — found (detail links), scraped (pages kept),
-    errors (pages with no html) and the run status."""
+    errors (pages with no html) and the run status.  ``kept`` may pass the
+    already computed S1 records so pages are parsed once."""
     base = pages.select("page_id", "url", "html", host("url").alias("source_site"))
     found = (detail_links(base.drop("source_site")).join(base.select("page_id", "source_site"), "page_id")
              .groupBy("source_site").agg(F.count(F.lit(1)).alias("found")))
-    kept = (scraped_pages(base).join(base.select("page_id", "source_site"), "page_id")
+    kept = ((kept if kept is not None else scraped_pages(base)).select("page_id")
+            .join(base.select("page_id", "source_site"), "page_id")
             .groupBy("source_site").agg(F.count(F.lit(1)).alias("scraped")))
     errs = base.groupBy("source_site").agg(
         F.count_if(F.col("html").isNull() | (F.length("html") == 0)).alias("errors"))
