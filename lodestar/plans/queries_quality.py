@@ -160,3 +160,17 @@ SELECT id, source_site, started_at, completed_at, status, listings_found, listin
 def s7_scrape_runs(spark, sf_dir):
     return views.scrape_runs(spark, sf_dir).select("id", "source_site", "started_at", "completed_at", "status",
                                                    "listings_found", "listings_new", "duration_seconds")
+
+
+@register("j7_cascade_delete_users", V.with_views("user_profiles", "saved_opportunities",
+                                                   extra=["gone AS (SELECT id FROM user_profiles WHERE education_level = 'unknown')"]) + """
+SELECT 'user_profiles' AS table_name, id AS row_key FROM user_profiles WHERE id NOT IN (SELECT id FROM gone)
+UNION ALL SELECT 'saved_opportunities', user_id || '|' || opportunity_id FROM saved_opportunities
+  WHERE user_id NOT IN (SELECT id FROM gone)""")
+def j7_cascade_delete_users(spark, sf_dir):
+    prof = views.user_profiles(spark, sf_dir)
+    gone = prof.where(F.col("education_level") == "unknown").select("id")
+    p2, s2 = qa.cascade_delete_users(gone, prof, views.saved_opportunities(spark, sf_dir))
+    return (p2.select(F.lit("user_profiles").alias("table_name"), F.col("id").alias("row_key"))
+            .unionByName(s2.select(F.lit("saved_opportunities").alias("table_name"),
+                                   F.concat_ws("|", "user_id", "opportunity_id").alias("row_key"))))
