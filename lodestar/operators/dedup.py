@@ -36,6 +36,7 @@ from lodestar.functions.text import item_hash, norm_title, sort_key
 ITEM_COLS = ["item_order", "title", "source_url"]
 # Upper bound for broadcasting the exploded batch-key side of the fuzzy join.
 BROADCAST_LEFT_MAX_BYTES = 64 * 1024 * 1024
+SALTS = 8
 
 
 def active_keys(records: DataFrame, order_col: str = "doc_id") -> DataFrame:
@@ -92,7 +93,17 @@ def candidate_pairs(batch_keys: DataFrame, pool_keys: DataFrame) -> DataFrame:
     if est_bytes <= BROADCAST_LEFT_MAX_BYTES:
         left = F.broadcast(left)
         right = right.repartition(par)
-    pairs = (left.join(right, "band")
+        on = ["band"]
+    else:
+        # Salted band join: each band's probe keys are spread over SALTS
+        # buckets and the batch side is copied to every bucket, so one hot
+        # band becomes SALTS tasks; explicit partition counts keep AQE from
+        # merging them (pair volume is invisible to its byte estimates).
+        right = right.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
+        left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        left, right = left.repartition(par, "band", "salt"), right.repartition(par, "band", "salt")
+        on = ["band", "salt"]
+    pairs = (left.join(right, on)
              .where((F.col("a") != F.col("b")) & (~F.col("b_is_batch") | (F.col("a") < F.col("b"))))
              .where(fz.length_ok(F.col("la"), F.col("lb")))
              .where(fz.histogram_ok(F.col("ha"), F.col("hb"), F.col("la"), F.col("lb")))

@@ -65,3 +65,15 @@ def test_no_cartesian_product(spark):
     pk = dedup.with_keys(p).select("fkey").distinct()
     plan = dedup.fuzzy_edges(bk, pk)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_shuffled_band_join_matches_rule(spark, monkeypatch):
+    """The salted, shuffled band join (used when the batch is too large to
+    broadcast) gives the same classification."""
+    monkeypatch.setattr(dedup, "BROADCAST_LEFT_MAX_BYTES", 0)
+    b, p = batch_and_pool(spark, SF_SMALL)
+    got = {r.item_order: (r.is_unique, r.match_type, r.matched_title, r.score)
+           for r in dedup.dedup_batch(b, p).collect()}
+    items = sorted((r.item_order, r.title, r.source_url) for r in b.collect())
+    pool = [(r.title, r.source_url) for r in sorted(p.collect(), key=lambda r: r.pool_order)]
+    assert got == seqref.dedup(items, pool)
