@@ -8,6 +8,7 @@ source slice of the chosen element with the stripped descendants cut out.
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
@@ -19,10 +20,7 @@ class _Index(HTMLParser):
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.html = html
-        self.line_starts = [0]
-        for i, ch in enumerate(html):
-            if ch == "\n":
-                self.line_starts.append(i + 1)
+        self.line_starts = [0] + [m.end() for m in re.finditer("\n", html)]
         self.els: list[dict] = []
         self.stack: list[int] = []
         self.text_parts: list[tuple[int, str]] = []   # (innermost open element, text)
