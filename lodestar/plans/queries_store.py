@@ -117,3 +117,13 @@ def s6_append_flags(spark, sf_dir):
     it = views.items(spark, sf_dir).where(completeness() < 50)
     return store.flag_rows(it, "low_completeness", details_col="summary").select(
         "id", "flag_reason", "details", "auto_flagged", "reviewed")
+
+
+@register("f7_to_row", V.with_views("items") + f"""
+SELECT item_order, title, {V.slug('title', 'source_url')} AS slug, source_url, source_site, 'active' AS status,
+       true AS ai_processed, CAST({V.completeness()} AS INTEGER) AS completeness_score, {V.as_of()} AS updated_at
+FROM items""")
+def f7_to_row(spark, sf_dir):
+    return store.to_row(views.items(spark, sf_dir)).select(
+        "item_order", "title", "slug", "source_url", "source_site", "status", "ai_processed",
+        "completeness_score", "updated_at")
