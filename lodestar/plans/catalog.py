@@ -29,5 +29,6 @@ def register(name: str, sql: str | None = None):
 def load_all() -> dict[str, Query]:
     # Importing the modules fills the registry.
     from lodestar.plans import (queries_core, queries_dedup, queries_html, queries_quality,  # noqa: F401
-                                queries_extract, queries_jobs, queries_store, queries_text)
+                                queries_extract, queries_jobs, queries_single, queries_store,
+                                queries_text)
     return REGISTRY
