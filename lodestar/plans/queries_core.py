@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.constants import AS_OF
 from lodestar.operators import picks
 from lodestar.plans import sqlviews as V
 from lodestar.plans.catalog import register

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestar.operators import html as H
-from lodestar.operators import render, store
+from lodestar.operators import render
 from lodestar.plans import jobs
 from lodestar.plans import sqlviews as V
 from lodestar.plans.catalog import register

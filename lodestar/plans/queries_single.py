@@ -12,7 +12,7 @@ from lodestar.operators import picks
 from lodestar.plans import sqlfmt as Q
 from lodestar.plans import sqlviews as V
 from lodestar.plans.catalog import register
-from lodestar.plans.queries_html import _RAW_LINKS, _PATH, _EXCL, _sq
+from lodestar.plans.queries_html import _EXCL, _PATH, _RAW_LINKS
 from lodestar.sources import views
 from lodestar.sources.tables import read_table
 
