@@ -175,10 +175,13 @@ def distinct_links(links: DataFrame, key: str = "page_id", link: str = "link") -
 def cap_links(links: DataFrame, n: int = MAX_LINKS_PER_INDEX, key: str = "page_id") -> DataFrame:
     """H8: first ``n`` links by position per index page, with ``found`` counted
     before the cap."""
+    # ``found`` is a partial-aggregated count per page; the cap is a pure
+    # rank filter, which Spark pre-limits per map partition (WindowGroupLimit),
+    # so even one enormous index page ships at most n rows per partition.
+    found = links.groupBy(key).agg(F.count(F.lit(1)).alias("found"))
     w = Window.partitionBy(key).orderBy("position")
-    wc = Window.partitionBy(key)
-    return (links.withColumn("found", F.count(F.lit(1)).over(wc))
-            .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn"))
+    top = links.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    return top.join(found, key)
 
 
 def canonical(u, variant) -> Column:
