@@ -77,3 +77,22 @@ def test_shuffled_band_join_matches_rule(spark, monkeypatch):
     items = sorted((r.item_order, r.title, r.source_url) for r in b.collect())
     pool = [(r.title, r.source_url) for r in sorted(p.collect(), key=lambda r: r.pool_order)]
     assert got == seqref.dedup(items, pool)
+
+
+def test_fuzzy_edges_equal_brute_force(spark):
+    """Every key pair scoring ≥ 85 (all pairs, by brute force) is an edge, and
+    nothing else is: the band join and both bounds lose nothing."""
+    from lodestar.functions import fuzzy as fz
+    b, p = batch_and_pool(spark, SF_SMALL)
+    bk = [r.fkey for r in dedup.with_keys(b).where(F.col("fkey") != "").select("fkey").distinct().collect()]
+    pk = [r.fkey for r in dedup.with_keys(p).where(F.col("fkey") != "").select("fkey").distinct().collect()]
+    bset, pset = set(bk), set(pk)
+    want = set()
+    for a in bset:
+        for o in bset | pset:
+            if a != o and (o not in bset or a < o) and fz.ratio(a, o) >= 85:
+                want.add((a, o))
+    bdf = spark.createDataFrame([(k,) for k in bk], "fkey string")
+    pdf = spark.createDataFrame([(k,) for k in pk], "fkey string")
+    got = {(r.bkey, r.okey) for r in dedup.fuzzy_edges(bdf, pdf).collect()}
+    assert got == want
