@@ -183,7 +183,8 @@ def dedup_batch(batch: DataFrame, pool: DataFrame, parts: dict | None = None) ->
     blank = s2.where(F.col("fkey") == "").select("item_order", "title")
     keyed = s2.where(F.col("fkey") != "")
     reps = keyed.groupBy("fkey").agg(F.min(F.struct("item_order", "title")).alias("_r")) \
-                .select("fkey", F.col("_r.item_order").alias("rep_order"), F.col("_r.title").alias("rep_title"))
+                .select("fkey", F.col("_r.item_order").alias("rep_order"),
+                        F.col("_r.title").alias("rep_title")).checkpoint()   # read by six later joins
     pool_first = (pool.where(F.col("fkey") != "").groupBy("fkey")
                   .agg(F.min(F.struct("pool_order", "title")).alias("_p"))
                   .select("fkey", F.col("_p.pool_order").alias("p_order"),
