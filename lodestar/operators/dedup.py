@@ -75,11 +75,15 @@ def candidate_pairs(batch_keys: DataFrame, pool_keys: DataFrame) -> DataFrame:
             .groupBy("fkey").agg(F.max("is_b").alias("is_b"), F.max("is_p").alias("is_p")))
     allk = (allk.withColumn("len", F.length("fkey"))
             .withColumn("hist", fz.histogram(F.col("fkey")))
-            .withColumn("band", fz.band(F.col("len")))).checkpoint()
+            .withColumn("band", fz.band(F.col("len"))))
+    allk = allk.select("*", *[g.alias(f"g{i}") for i, g in enumerate(fz.group_counts(F.col("hist")))]).checkpoint()
+    ng = len(fz.GROUPS)
     left = (allk.where("is_b").select(F.col("fkey").alias("a"), F.col("len").alias("la"),
                                       F.col("hist").alias("ha"), F.col("is_p").alias("a_is_pool"),
+                                      *[F.col(f"g{i}").alias(f"ga{i}") for i in range(ng)],
                                       F.explode(fz.probe_bands(F.col("len"))).alias("band")))
     right = allk.select(F.col("fkey").alias("b"), F.col("len").alias("lb"), F.col("hist").alias("hb"),
+                        *[F.col(f"g{i}").alias(f"gb{i}") for i in range(ng)],
                         "band", F.col("is_b").alias("b_is_batch"), F.col("is_p").alias("b_is_pool"))
     # The batch side is broadcast only when its exploded size is measured to
     # be small (a run's new items against a large stored pool); otherwise
@@ -106,6 +110,8 @@ def candidate_pairs(batch_keys: DataFrame, pool_keys: DataFrame) -> DataFrame:
     pairs = (left.join(right, on)
              .where((F.col("a") != F.col("b")) & (~F.col("b_is_batch") | (F.col("a") < F.col("b"))))
              .where(fz.length_ok(F.col("la"), F.col("lb")))
+             .where(fz.groups_ok([F.col(f"ga{i}") for i in range(ng)], [F.col(f"gb{i}") for i in range(ng)],
+                                 F.col("la"), F.col("lb")))
              .where(fz.histogram_ok(F.col("ha"), F.col("hb"), F.col("la"), F.col("lb")))
              .select("a", "b", "a_is_pool", "b_is_batch", "b_is_pool"))
     return pairs
