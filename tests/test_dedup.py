@@ -96,3 +96,25 @@ def test_fuzzy_edges_equal_brute_force(spark):
     pdf = spark.createDataFrame([(k,) for k in pk], "fkey string")
     got = {(r.bkey, r.okey) for r in dedup.fuzzy_edges(bdf, pdf).collect()}
     assert got == want
+
+
+def test_hot_key_batch_matches_rule(spark):
+    """A third of the batch shares one title (and url pattern); another title
+    repeats 50 times; the rest are near-copies: same answer as the loop."""
+    import random as _r
+    rnd = _r.Random(9)
+    words = ["grant", "study", "fund", "award", "prize", "youth", "global", "science", "art", "lab"]
+    items = []
+    for i in range(300):
+        if i % 3 == 0:
+            t, u = "Global Youth Science Award 2026", f"https://a.org/{i % 2}"
+        elif i % 6 == 1:
+            t, u = "Open Arts Fund", "https://b.org/x"
+        else:
+            t = " ".join(rnd.choice(words) for _ in range(rnd.randint(2, 6)))
+            u = f"https://c.org/{i}"
+        items.append((i, t, u))
+    pool = [(0, "global youth science award", "https://p.org/0"), (1, "Art Lab Prize", "https://p.org/1")]
+    out = _run(spark, items, pool)
+    ref = seqref.dedup(items, [(t, u) for _, t, u in pool])
+    assert {k: (v.is_unique, v.match_type, v.matched_title, v.score) for k, v in out.items()} == ref

@@ -82,3 +82,16 @@ def test_update_reactivates_unless_protected(spark):
     assert kept["Test Scholarship Beta 2026"] == "active"
     c = store.store_summary(rows, t1).first()
     assert (c.existing_slugs, c.new_slugs) == (3, 0)
+
+
+def test_visibility_roles(spark):
+    from lodestar.operators import quality as qa
+    opps = spark.createDataFrame([("a", "active"), ("b", "flagged")], "id string, status string")
+    prof = spark.createDataFrame([("u1",), ("u2",)], "id string")
+    log = spark.createDataFrame([("l1",)], "id string")
+    assert [r.id for r in qa.visible_rows(opps, "opportunities", "anon").collect()] == ["a"]
+    assert qa.visible_rows(opps, "opportunities", "service").count() == 2
+    assert [r.id for r in qa.visible_rows(prof, "user_profiles", "user", "u2").collect()] == ["u2"]
+    assert qa.visible_rows(prof, "user_profiles", "anon").count() == 0
+    assert qa.visible_rows(log, "distribution_log", "user", "u1").count() == 0
+    assert qa.visible_rows(log, "distribution_log", "service").count() == 1
