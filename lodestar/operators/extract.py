@@ -152,10 +152,11 @@ def extraction_summary(validated: DataFrame) -> DataFrame:
                          F.count_if(F.col("extraction").isNull()).alias("failed"))
 
 
-def simulated_responses(pages: DataFrame) -> DataFrame:
-    """Answers standing in for the model, derived from each page's own title
-    and text by a fixed rule so every validation branch is exercised: most are
-    complete objects, some fenced, some malformed or rule-breaking."""
+def responses_from_pages(pages: DataFrame) -> DataFrame:
+    """The ``raw_response`` column for pages when no model answers are
+    supplied: a JSON object built from each page's own title, text and url by
+    a fixed rule, in the forms the validator must handle (most complete,
+    some fenced, some malformed or breaking a rule)."""
     pid = F.col("page_id")
     text = js_trim(F.regexp_replace(F.col("content"), "<[^>]*>", " "))
     base = F.struct(

@@ -12,7 +12,7 @@ from lodestar.sources.tables import read_table
 
 def _responses(spark, sf_dir):
     pages = H.scraped_pages(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
-    return X.simulated_responses(pages)
+    return X.responses_from_pages(pages)
 
 
 @register("x1_prompt_rows", f"""

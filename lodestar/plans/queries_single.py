@@ -94,7 +94,7 @@ def h11_strip_boilerplate(spark, sf_dir):
 
 def _validated(spark, sf_dir):
     pages = H.scraped_pages(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
-    return X.validate(X.simulated_responses(pages))
+    return X.validate(X.responses_from_pages(pages))
 
 
 @register("x3_parse_json")
