@@ -110,7 +110,14 @@ class Page:
             p = self.els[p]["parent"]
 
     def select(self, selector: str) -> list[int]:
-        """Indices of elements matching ``selector`` in document order."""
+        """Indices of elements matching ``selector`` in document order; a
+        comma-separated group matches the union of its members."""
+        if "," in selector:
+            hits = set()
+            for part in selector.split(","):
+                if part.strip():
+                    hits.update(self.select(part.strip()))
+            return sorted(hits)
         parts = selector.split()
         out = []
         for i, el in enumerate(self.els):

@@ -30,7 +30,7 @@ HREF_RE = r"(?i)<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"']"
 GENERIC_CATEGORIES = ["scholarships", "fellowships", "internships", "grants"]
 GENERIC_INDEX_PAGES = 2
 EXCLUDED_PREFIXES = ["category", "tag", "page", "author", "about", "contact", "privacy", "search", "feed"]
-TITLE_SELECTORS = ["h1", "h2.entry-title", "article h2"]
+TITLE_SELECTORS = ["h1", "h2.entry-title, h2.post-title, article h2"]
 CONTENT_SELECTORS = [".entry-content", ".post-content", "article .content", "article"]
 STRIP_SELECTORS = ["script", "style", "iframe", ".social-share", ".share-buttons", ".related-posts",
                    ".widget", ".sidebar", ".newsletter-signup", "form", "nav", ".advertisement",

@@ -79,3 +79,9 @@ def test_resolve_url_rules():
     assert r("https://h.org/p", "http://bad host/") is None
     assert r("https://h.org/p", "https://h.org:99999/") is None
     assert r("https://h.org/p", "/é") == "https://h.org/%C3%A9"
+
+
+def test_selector_group_takes_first_in_document_order():
+    page = hp.Page('<article><h2>First</h2></article><h2 class="entry-title">Second</h2>')
+    assert hp.page_title(page, ["h1", "h2.entry-title, h2.post-title, article h2"]) == "First"
+    assert hp.page_title(page, ["h1", "h2.entry-title"]) == "Second"
