@@ -149,6 +149,11 @@ def known_sources(requested: DataFrame, profiles: DataFrame, col: str = "source_
     return requested.join(profiles.select(col).distinct(), col, "left_semi")
 
 
+def unknown_sources(requested: DataFrame, profiles: DataFrame, col: str = "source_site") -> DataFrame:
+    """P5 (warning side): requested names without a profile, to report."""
+    return requested.join(profiles.select(col).distinct(), col, "left_anti")
+
+
 def visible_rows(df: DataFrame, table: str, role: str, uid: str | None = None) -> DataFrame:
     """Row visibility — public sees active listings; a user sees own
     profile and saves (plus active listings); the service role sees all;

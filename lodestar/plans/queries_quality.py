@@ -174,3 +174,10 @@ def j7_cascade_delete_users(spark, sf_dir):
     return (p2.select(F.lit("user_profiles").alias("table_name"), F.col("id").alias("row_key"))
             .unionByName(s2.select(F.lit("saved_opportunities").alias("table_name"),
                                    F.concat_ws("|", "user_id", "opportunity_id").alias("row_key"))))
+
+
+@register("p5_unknown_sources", V.with_views("stored_items", "batch_items") + """
+SELECT DISTINCT source_site FROM batch_items WHERE source_site NOT IN (SELECT source_site FROM stored_items)""")
+def p5_unknown_sources(spark, sf_dir):
+    req = views.batch_items(spark, sf_dir).select("source_site").distinct()
+    return qa.unknown_sources(req, views.stored_items(spark, sf_dir))
