@@ -85,3 +85,15 @@ def test_selector_group_takes_first_in_document_order():
     page = hp.Page('<article><h2>First</h2></article><h2 class="entry-title">Second</h2>')
     assert hp.page_title(page, ["h1", "h2.entry-title, h2.post-title, article h2"]) == "First"
     assert hp.page_title(page, ["h1", "h2.entry-title"]) == "Second"
+
+
+def test_scrape_stats_status_rule(spark):
+    body = "<article><h1>Title</h1><p>" + "word " * 40 + "</p></article>"
+    rows = [(1, "https://ok.example.org/a", body), (2, "https://ok.example.org/b", body),
+            (3, "https://mixed.example.org/a", body), (4, "https://mixed.example.org/b", ""),
+            (5, "https://down.example.org/a", None), (6, "https://down.example.org/b", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    st = {r.source_site: (r.scraped, r.errors, r.status) for r in H.scrape_stats(pages).collect()}
+    assert st["ok.example.org"] == (2, 0, "success")
+    assert st["mixed.example.org"] == (1, 1, "partial")
+    assert st["down.example.org"] == (0, 2, "failed")
