@@ -58,7 +58,8 @@ def _enum_array(v: Column, key: str, allowed: list[str]) -> tuple[Column, Column
     allowed_txt = " | ".join(f"'{a}'" for a in allowed)
     msg = F.when(kind.isNull(), None).when(~ok_type, F.lit(f"{key}: Expected array of {allowed_txt}")) \
            .when(bad_pos > 0, F.concat(F.lit(f"{key}."), (bad_pos - 1).cast("string"),
-                                       F.lit(f": Invalid enum value. Expected {allowed_txt}")))
+                                       F.lit(f": Invalid enum value. Expected {allowed_txt}, received '"),
+                                       F.element_at(vals, bad_pos.cast("int")), F.lit("'")))
     return ok, msg
 
 
@@ -85,9 +86,10 @@ def validate(df: DataFrame, raw: str = "raw_response") -> DataFrame:
     req_string("summary", "Summary is required")
     req_string("organization", "Organization is required")
     tk, ts = _kind(v, "type"), _str(v, "type")
+    expected = "type: Invalid enum value. Expected " + " | ".join(f"'{t}'" for t in TYPES)
     issues.append(F.when(tk.isNull(), F.lit("type: Required"))
-                  .when((tk != "STRING") | ~ts.isin(*TYPES),
-                        F.lit("type: Invalid enum value. Expected " + " | ".join(f"'{t}'" for t in TYPES))))
+                  .when(tk != "STRING", F.concat(F.lit(expected + ", received "), F.lower(tk)))
+                  .when(~ts.isin(*TYPES), F.concat(F.lit(expected + ", received '"), ts, F.lit("'"))))
     for key in ("fields", "countries"):
         k = _kind(v, key)
         issues.append(F.when(k.isNotNull() & ~_str_array_ok(k, v, key), F.lit(f"{key}: Expected array of strings")))

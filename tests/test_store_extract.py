@@ -95,3 +95,9 @@ def test_visibility_roles(spark):
     assert qa.visible_rows(prof, "user_profiles", "anon").count() == 0
     assert qa.visible_rows(log, "distribution_log", "user", "u1").count() == 0
     assert qa.visible_rows(log, "distribution_log", "service").count() == 1
+
+
+def test_enum_messages_name_the_value(spark):
+    out = _validate(spark, [GOOD.replace('"grant"', '"phd"'), GOOD.replace('"type"', '"regions": ["asia", "mars"], "type"')])
+    assert out[0].error.endswith("received 'phd'")
+    assert "regions.1: Invalid enum value." in out[1].error and out[1].error.endswith("received 'mars'")
