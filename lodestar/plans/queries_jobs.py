@@ -46,6 +46,7 @@ def r5_run_summary(spark, sf_dir):
 @register("r6_failure_alert")
 def r6_failure_alert(spark, sf_dir):
     st = H.scrape_stats(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+    st = st.where(F.col("status").isin("failed", "partial"))     # alerts only for runs with errors
     return st.select("source_site", render.failure_alert(
         F.col("source_site"), F.concat(F.lit("status "), F.col("status"), F.lit(": "),
                                        F.col("errors").cast("string"), F.lit(" pages without html"))).alias("message"))
