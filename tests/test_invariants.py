@@ -32,8 +32,8 @@ def test_ingest_results_consistent(spark):
     target = E.queries()["f5_slug"](spark, SF_SMALL).count()
     assert up.count() == target + sum(r.inserted for r in res)
     assert all(r.extracted <= r.scraped and r.unique <= r.extracted for r in res)
-    dry = {r.source: (r.inserted, r.updated, r.failed) for r in q(spark, "s9_dry_run").collect()}
-    assert set(dry.values()) <= {(0, 0, 0)}
+    dry = q(spark, "s9_dry_run").collect()
+    assert all(r.inserted == 0 and r.updated == 0 for r in dry)   # nothing stored; scrape failures still count
 
 
 def test_scores_and_links(spark):
