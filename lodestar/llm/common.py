@@ -21,11 +21,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) ->
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
 
 
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer's file; operators take it as a parameter."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder name below ``spark.checkpoint.dir``."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/lodestar-llm/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back:
     later steps survive a lost executor and never recompute what came before."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/lodestar-llm/{name}-{uuid.uuid4().hex}"
+    path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

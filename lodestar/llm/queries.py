@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import capfilter, oph
-from lodestar.llm.common import read_table
+from lodestar.llm import capfilter, oph, packing, threshold, tokenstore
+from lodestar.llm.common import read_table, shared_path, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -59,3 +59,27 @@ SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, comp.c AS component_id
 FROM s JOIN comp ON comp.a = s.doc_id JOIN same ON same.k = list_sort(s.sh)""")
 def op2(spark, sf_dir):
     return oph.near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+@query("op3_threshold_topk", """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS DOUBLE)) AS x
+           FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+s AS (SELECT q.vec_id AS query_id, r.vec_id, CAST(list_inner_product(q.x, r.x) AS BIGINT) AS score
+      FROM v q JOIN v r ON q.vec_id <> r.vec_id AND len(q.x) = len(r.x) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5""")
+def op3(spark, sf_dir):
+    v = threshold.integer_vectors(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
+    return threshold.top_k(v.where("id % 50 = 0"), v)
+
+
+@query("op4_nnls_packing")
+def op4(spark, sf_dir):
+    return packing.pack(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), tokenizer_file("word_bpe_49k.json"))
+
+
+@query("op10_perfect_hash_store")
+def op10(spark, sf_dir):
+    path = shared_path(spark, "store")
+    tokenstore.store(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), path, tokenizer_file("byte_bpe_50k.json"))
+    return tokenstore.digest(spark, path, tokenstore.entries(spark, path).select("doc_id", "copy"))
