@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import capfilter, oph, packing, threshold, tokenstore
+from lodestar.llm import capfilter, oph, packing, sanitise, threshold, tokenstore
 from lodestar.llm.common import read_table, shared_path, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,8 @@ def op10(spark, sf_dir):
     path = shared_path(spark, "store")
     tokenstore.store(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), path, tokenizer_file("byte_bpe_50k.json"))
     return tokenstore.digest(spark, path, tokenstore.entries(spark, path).select("doc_id", "copy"))
+
+
+@query("op7_disclosure_pii")
+def op7(spark, sf_dir):
+    return sanitise.digest(sanitise.sanitise(read_table(spark, sf_dir, "documents", ["doc_id", "text"])))
