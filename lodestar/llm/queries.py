@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodestar.llm import capfilter, oph, packing, sanitise, threshold, tokenstore
+from lodestar.llm import capfilter, oph, packing, pieces, quality, sanitise, secrets, threshold, tokenstore, toxicity
 from lodestar.llm.common import read_table, shared_path, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +89,31 @@ def op10(spark, sf_dir):
 @query("op7_disclosure_pii")
 def op7(spark, sf_dir):
     return sanitise.digest(sanitise.sanitise(read_table(spark, sf_dir, "documents", ["doc_id", "text"])))
+
+
+@query("op5_prefix_viterbi")
+def op5(spark, sf_dir):
+    model = tokenizer_file("piece_bpe_32k.model")
+    ids = pieces.encode(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), model)
+    return pieces.decode(ids, model).select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids_crc32",
+        F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
+        (F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), pieces.MARK, " ")).alias("same"))
+
+
+@query("op6_secret_forest")
+def op6(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return secrets.scan(docs, secrets.fit(docs))
+
+
+@query("op8_line_crf_quality")
+def op8(spark, sf_dir):
+    return quality.classify(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                            read_table(spark, sf_dir, "labels", ["doc_id", "quality"]))
+
+
+@query("op9_string_kernel_toxicity")
+def op9(spark, sf_dir):
+    return toxicity.classify(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                             read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))

@@ -78,17 +78,12 @@ def _lead_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return s, np.append(s[1:], n)
 
 
-class Encoder:
-    """Ids of texts by one vocabulary file.  ``lead``: pieces keep the space
-    before a word (byte-level BPE); else white space is dropped and ASCII
-    letters are lower-cased (word BPE)."""
+class PieceCache:
+    """Ids of texts from the ids of their distinct pieces; a worker remembers
+    up to ``KNOWN_MAX`` of them.  Subclasses say where texts are cut and how
+    pieces are encoded."""
 
-    def __init__(self, path: str, lead: bool):
-        from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
-        self.lead = lead
-        self.table = str.maketrans({chr(b): c for b, c in enumerate(_byte_letters())})
+    def __init__(self):
         self._forget()
 
     def _forget(self):
@@ -96,18 +91,17 @@ class Encoder:
         self.start, self.size = np.zeros(4096, np.int64), np.zeros(4096, np.int64)
         self.pool, self.used = np.zeros(16384, np.uint32), 0
 
-    def _ids(self, piece: bytes) -> list[int]:
-        text = piece.decode("utf-8")
-        word = text[1:] if self.lead and text[:1] == " " else text
-        if word.isalpha() and max(word) < "Ā":       # one word of plain letters
-            if not self.lead:
-                text = text.lower()
-            return [t.id for t in self.tok.model.tokenize(text.encode().decode("latin-1").translate(self.table))]
-        return self.tok.encode(text, add_special_tokens=False).ids
+    def _prepare(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return raw, off
+
+    def _spans(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raise TypeError("a subclass cuts the texts")
+
+    def _encode(self, pieces: list[bytes]) -> list[list[int]]:
+        raise TypeError("a subclass encodes the pieces")
 
     def _learn(self, hashes: list[int], pieces: list[bytes]):
-        for h, p in zip(hashes, pieces):
-            ids = self._ids(p)
+        for h, ids in zip(hashes, self._encode(pieces)):
             slot = len(self.known)
             if slot == len(self.start):
                 self.start, self.size = np.resize(self.start, 2 * slot), np.resize(self.size, 2 * slot)
@@ -120,9 +114,9 @@ class Encoder:
 
     def runs(self, col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first row, last row + 1, ids, row offsets into ids) for runs of rows."""
-        for lo, hi, raw, off in byte_runs(col):
-            data = raw if self.lead else common._LOWER[raw]
-            s, e = _cut_stops(data, *(_lead_spans(data, off) if self.lead else word_spans(data, off)))
+        for lo, hi, raw, raw_off in byte_runs(col):
+            data, off = self._prepare(raw, raw_off)
+            s, e = self._spans(data, off)
             if not len(s):
                 yield lo, hi, np.zeros(0, np.uint32), np.zeros(hi - lo + 1, np.int64)
                 continue
@@ -136,9 +130,40 @@ class Encoder:
             slot = np.fromiter((self.known[h] for h in keys), np.int64, len(keys))[inv]
             size = self.size[slot]
             end = np.cumsum(size)
-            ids = self.pool[np.repeat(self.start[slot] - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
-            row_at = np.searchsorted(s, off)
-            yield lo, hi, ids, np.concatenate([[0], end])[row_at]
+            ids = self.pool[np.repeat(self.start[slot] - (end - size), size) + np.arange(end[-1])]
+            yield lo, hi, ids, np.concatenate([[0], end])[np.searchsorted(s, off)]
+
+
+class Encoder(PieceCache):
+    """Ids of texts by one vocabulary file.  ``lead``: pieces keep the space
+    before a word (byte-level BPE); else white space is dropped and ASCII
+    letters are lower-cased (word BPE)."""
+
+    def __init__(self, path: str, lead: bool):
+        from tokenizers import Tokenizer
+        super().__init__()
+        self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = True
+        self.lead = lead
+        self.table = str.maketrans({chr(b): c for b, c in enumerate(_byte_letters())})
+
+    def _prepare(self, raw, off):
+        return (raw if self.lead else common._LOWER[raw]), off
+
+    def _spans(self, data, off):
+        return _cut_stops(data, *(_lead_spans(data, off) if self.lead else word_spans(data, off)))
+
+    def _encode(self, pieces):
+        return [self._ids(p) for p in pieces]
+
+    def _ids(self, piece: bytes) -> list[int]:
+        text = piece.decode("utf-8")
+        word = text[1:] if self.lead and text[:1] == " " else text
+        if word.isalpha() and max(word) < "\u0100":       # one word of plain letters
+            if not self.lead:
+                text = text.lower()
+            return [t.id for t in self.tok.model.tokenize(text.encode().decode("latin-1").translate(self.table))]
+        return self.tok.encode(text, add_special_tokens=False).ids
 
 
 _OPEN: dict[tuple[str, bool], Encoder] = {}

@@ -1,0 +1,142 @@
+"""The trained operators: held-out accuracy, brute force, odd rows."""
+
+import numpy as np
+import pytest
+
+from lodestar.llm import pieces, quality, queries, secrets, toxicity
+from lodestar.llm.common import tokenizer_file
+
+SF = "/root/testdata/sf0.01"
+
+
+def held_out_rows(spark, name, label):
+    want = {r.doc_id: r[label] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    rows = queries.QUERIES[name](spark, SF).collect()
+    assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert all(0 <= r.score <= 1 for r in rows)
+    return [(want[r.doc_id], r.predicted, r.score) for r in rows if r.held_out and want.get(r.doc_id) is not None]
+
+
+def test_op8_held_out_accuracy(spark):
+    rows = held_out_rows(spark, "op8_line_crf_quality", "quality")
+    assert np.mean([y == p for y, p, _ in rows]) > 0.95
+    assert all(p == (s >= 0.7) for _, p, s in rows)
+
+
+def test_op9_held_out_accuracy(spark):
+    rows = held_out_rows(spark, "op9_string_kernel_toxicity", "toxic")
+    assert np.mean([y == p for y, p, _ in rows]) > 0.93
+    assert all(p == (s >= 0.3) for _, p, s in rows)
+
+
+def test_marginals_equal_enumeration():
+    rng = np.random.default_rng(2)
+    first, trans = np.array([0, 3, 4, 8]), rng.normal(size=(2, 2))
+    score = rng.normal(size=8)
+    good, pair, logz = quality.marginals(score, first, trans)
+    want_pair, want_z = np.zeros((2, 2)), 0.0
+    for a, b in zip(first[:-1], first[1:]):
+        n, z, g = b - a, 0.0, np.zeros(b - a)
+        p = np.zeros((2, 2))
+        for bits in range(2 ** n):
+            y = [(bits >> k) & 1 for k in range(n)]
+            w = np.exp(sum(score[a + k] * y[k] for k in range(n)) + sum(trans[y[k], y[k + 1]] for k in range(n - 1)))
+            z += w
+            g += w * np.array(y)
+            for k in range(n - 1):
+                p[y[k], y[k + 1]] += w
+        assert np.allclose(good[a:b], g / z)
+        want_pair += p / z
+        want_z += np.log(z)
+    assert np.allclose(pair, want_pair) and np.isclose(logz, want_z)
+
+
+def plain_kernel(s, t):
+    """Sum over common subsequences of three letters, by enumeration."""
+    def phi(x):
+        c, out = toxicity._CLASS[np.frombuffer(x, np.uint8)], {}
+        for i in range(len(c)):
+            for j in range(i + 1, len(c)):
+                for k in range(j + 1, len(c)):
+                    if c[i] and c[j] and c[k]:
+                        key = (c[i], c[j], c[k])
+                        out[key] = out.get(key, 0) + toxicity.DECAY ** (k - i + 1)
+        return out
+    a, b = phi(s), phi(t)
+    return sum(v * b.get(k, 0) for k, v in a.items())
+
+
+def test_string_kernel_equals_enumeration():
+    words = [b"stupid", b"s t u p i d", b"st.upid", b"banana", b"ab", b"", b"x-1-y-2", "é1ñé".encode()]
+    got = toxicity.likeness(words, [b"stupid", b"banana"])
+    for i, w in enumerate(words):
+        for j, m in enumerate([b"stupid", b"banana"]):
+            norm = np.sqrt(plain_kernel(w, w) * plain_kernel(m, m))
+            assert np.isclose(got[i, j], plain_kernel(w, m) / norm if norm else 0, atol=1e-5)
+
+
+def test_toxicity_finds_gapped_insults():
+    bad = [[b"the", b"grumbok", b"and", b"w%d" % i] for i in range(60)]
+    good = [[b"the", b"table", b"and", b"v%dx" % i, b"garden"] for i in range(60)]
+    model = toxicity.train([(1, d) for d in bad] + [(0, d) for d in good], 0.5)
+    def score(t):
+        return toxicity.score_texts(model, np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0]
+    assert min(score(t) for t in (b"the grumbok.", b"a g r u m b o k here", b"g-r-u-m-b-o-k", b"grum.bok")) > 0.3
+    assert max(score(t) for t in (b"the table and garden", b"a b c", b"")) < 0.3
+
+
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_classifiers_take_odd_rows(spark, module):
+    label = "quality" if module is quality else "toxic"
+    docs = spark.createDataFrame([(None, None, 1), (1, "", 2), (1, "x " * 40000, 3), (2, "\n\n\n", 4)], "doc_id long, text string, score int")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (2, None)], f"doc_id long, {label} int")
+    rows = module.classify(docs, labels).collect()
+    assert len(rows) == 4 and all(0 <= r.score <= 1 and r.held_out is not None for r in rows)
+    assert module.classify(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_op5_equals_the_library_and_comes_back(spark):
+    import sentencepiece
+    lib = sentencepiece.SentencePieceProcessor(model_file=tokenizer_file("piece_bpe_32k.model"))
+    odd = [None, "", " ", "a", "hello  world\nfoo\tbar  ", " a  b", "日本 語  テスト", "▁x ▁ y", "x" * 40, "\x00\x01", "😀 ǘ", "  字 字 ", "<s> </s> <0x0A>"]
+    texts = odd + [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, decoded string")
+    model = tokenizer_file("piece_bpe_32k.model")
+    rows = pieces.decode(pieces.encode(df, model), model).collect()
+    for r in rows:
+        text = texts[r.doc_id] or ""
+        assert list(r.ids) == lib.encode(text)
+        assert r.decoded == text.replace(pieces.MARK, " ")
+    assert len(rows) == len(texts) and pieces.encode(df.limit(0), model).count() == 0
+
+
+def test_op5_query_is_whole(spark):
+    rows = queries.QUERIES["op5_prefix_viterbi"](spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == 200 and all(r.same for r in rows)
+
+
+def test_op6_finds_what_a_plain_scan_finds(spark):
+    import re
+    rows = {r.doc_id: r for r in queries.QUERIES["op6_secret_forest"](spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    assert len(rows) == len(docs)
+    for d in docs:
+        text = d.text or ""
+        want = sorted([m.span() for m in re.finditer(r"AKIA[0-9A-Z]{16}", text)]
+                      + [m.span(1) for m in re.finditer(r'password=([0-9a-f]{18})|token = "([0-9a-f]{40})', text) if m.group(1)]
+                      + [m.span(2) for m in re.finditer(r'password=([0-9a-f]{18})|token = "([0-9a-f]{40})', text) if m.group(2)])
+        got = [tuple(map(int, s.split(":"))) for s in rows[d.doc_id].spans.split(",") if s]
+        assert got == want, (d.doc_id, [text[a:b] for a, b in got], [text[a:b] for a, b in want])
+
+
+def test_forest_removes_false_positives_of_labelled_findings(spark):
+    rng = np.random.default_rng(4)
+    hexes = ["".join(rng.choice(list("0123456789abcdef"), 32)) for _ in range(200)]
+    rows = [(h, "token: ", "", 1) for h in hexes[:100]] + [(f"docs/page{i}/section{i}/part{i}", "see ", " for", 0) for i in range(100)]
+    docs = spark.createDataFrame([(1, f"key = {hexes[150]} and docs/page7/section9/part12 é"), (2, None), (None, "")], "doc_id long, text string")
+    model = secrets.fit(docs, spark.createDataFrame(rows, "candidate string, before string, after string, label int"))
+    got = {r.doc_id: r for r in secrets.scan(docs, model).collect()}
+    assert (got[1].n_candidates, got[1].n_secrets, got[1].spans) == (2, 1, "6:38")
+    assert got[2].n_candidates == got[None].n_candidates == 0
+    out = {r.doc_id: r.text for r in secrets.redact(docs, model).collect()}
+    assert out == {1: "key = [SECRET] and docs/page7/section9/part12 é", 2: None, None: ""}
