@@ -9,12 +9,13 @@ comparison pool.  matchedTitle is the best-scoring pool record, ties going to
 the earliest (stored records before batch items).
 
 Spark plan:
-  A1  per-hash first item: partial-aggregated ``min(struct(order,title))``
-      group-by, joined back (AQE splits a hot hash).
+  A1  per-hash first item: a partially aggregated ``min(item_order)``, its
+      title fetched by an equi-join, both joined back.
   J3  survivors left-joined to per-hash first stored record.
   J4  fuzzy edges at the level of distinct token-sorted keys: equal keys need
       no comparison (score 100); different keys are paired by a length-band
-      equi-join, filtered JVM-side by the lossless length and histogram
+      equi-join whose bands are dealt into blocks by their row counts,
+      filtered JVM-side by the lossless length, histogram and Levenshtein
       bounds, and only survivors reach the Arrow LCS kernel.
   J5  items sharing a key are twins: all but the first are duplicates
       whatever happens, so only one representative per key enters the
@@ -34,15 +35,14 @@ from lodestar.functions import fuzzy as fz
 from lodestar.functions.text import item_hash, norm_title, sort_key
 
 ITEM_COLS = ["item_order", "title", "source_url"]
-# Upper bound for broadcasting the exploded batch-key side of the fuzzy join.
-BROADCAST_LEFT_MAX_BYTES = 64 * 1024 * 1024
-SALTS = 8
+BLOCK_KEYS = 1000       # keys of one length band compared in one group
 
 
-def active_keys(records: DataFrame, order_col: str = "doc_id") -> DataFrame:
-    """(pool_order, title, source_url) of active stored records."""
-    return (records.where(F.col("status") == "active")
-            .select(F.col(order_col).alias("pool_order"), "title", "source_url"))
+def active_keys(records: DataFrame, order_col: str | None = None) -> DataFrame:
+    """(pool_order, title, source_url) of active stored records, ordered
+    by one column, or by creation time and then id."""
+    order = F.col(order_col) if order_col else F.struct("created_at", "id")
+    return records.where(F.col("status") == "active").select(order.alias("pool_order"), "title", "source_url")
 
 
 def with_keys(df: DataFrame) -> DataFrame:
@@ -52,18 +52,17 @@ def with_keys(df: DataFrame) -> DataFrame:
 
 def intra_batch_first(items: DataFrame) -> DataFrame:
     """A1: every item with the order/title of the first item of its hash."""
-    firsts = (items.groupBy("hash")
-              .agg(F.min(F.struct("item_order", "title")).alias("_first")))
-    return (items.join(firsts, "hash")
-            .withColumn("first_order", F.col("_first.item_order"))
-            .withColumn("first_title", F.col("_first.title")).drop("_first"))
+    firsts = items.groupBy("hash").agg(F.min("item_order").alias("first_order"))
+    named = firsts.join(items.select("hash", F.col("item_order").alias("first_order"), F.col("title").alias("first_title")),
+                        ["hash", "first_order"])
+    return items.join(named, "hash")
 
 
 def hash_match(survivors: DataFrame, pool: DataFrame) -> DataFrame:
     """Survivors with the title of the first stored record of the same hash (or NULL)."""
-    pf = (pool.groupBy("hash").agg(F.min(F.struct("pool_order", "title")).alias("_p"))
-          .select("hash", F.col("_p.title").alias("pool_title")))
-    return survivors.join(pf, "hash", "left")
+    first = pool.groupBy("hash").agg(F.min("pool_order").alias("pool_order"))
+    named = pool.select("hash", "pool_order", F.col("title").alias("pool_title")).join(first, ["hash", "pool_order"], "left_semi")
+    return survivors.join(named.select("hash", "pool_title"), "hash", "left")
 
 
 def candidate_pairs(batch_keys: DataFrame, pool_keys: DataFrame) -> DataFrame:
@@ -85,36 +84,24 @@ def candidate_pairs(batch_keys: DataFrame, pool_keys: DataFrame) -> DataFrame:
     right = allk.select(F.col("fkey").alias("b"), F.col("len").alias("lb"), F.col("hist").alias("hb"),
                         *[F.col(f"g{i}").alias(f"gb{i}") for i in range(ng)],
                         "band", F.col("is_b").alias("b_is_batch"), F.col("is_p").alias("b_is_pool"))
-    # The batch side is broadcast only when its exploded size is measured to
-    # be small (a run's new items against a large stored pool); otherwise
-    # both sides shuffle on band and AQE splits a hot band.
-    stats = allk.where("is_b").agg(F.count(F.lit(1)).alias("n"), F.sum("len").alias("chars")).first()
-    est_bytes = (stats["n"] or 0) * (200 + 4 * len(fz.ALPHABET)) + (stats["chars"] or 0)
-    est_bytes *= fz.PROBE_BANDS_MAX
-    # Pair volume is not visible in the key tables' byte size, so AQE would
-    # coalesce them into very few tasks: spread the probe side explicitly.
+    # A band is dealt into blocks by its number of keys: every block of the
+    # right side meets a copy of the band's left side, so a hot band is as
+    # many groups as it needs.  One row per band (lengths are at most 2^31:
+    # a few hundred bands), which bounds the broadcast.
+    blocks = F.broadcast(right.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK_KEYS).cast("int").alias("blocks")))
+    right = right.join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")).drop("blocks")
+    left = left.join(blocks, "band").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    # the work grows with pairs, not with the bytes AQE sees: the partition count is given
     par = max(8, allk.sparkSession.sparkContext.defaultParallelism * 4)
-    if est_bytes <= BROADCAST_LEFT_MAX_BYTES:
-        left = F.broadcast(left)
-        right = right.repartition(par)
-        on = ["band"]
-    else:
-        # Salted band join: each band's probe keys are spread over SALTS
-        # buckets and the batch side is copied to every bucket, so one hot
-        # band becomes SALTS tasks; explicit partition counts keep AQE from
-        # merging them (pair volume is invisible to its byte estimates).
-        right = right.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
-        left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        left, right = left.repartition(par, "band", "salt"), right.repartition(par, "band", "salt")
-        on = ["band", "salt"]
-    pairs = (left.join(right, on)
-             .where((F.col("a") != F.col("b")) & (~F.col("b_is_batch") | (F.col("a") < F.col("b"))))
-             .where(fz.length_ok(F.col("la"), F.col("lb")))
-             .where(fz.groups_ok([F.col(f"ga{i}") for i in range(ng)], [F.col(f"gb{i}") for i in range(ng)],
-                                 F.col("la"), F.col("lb")))
-             .where(fz.histogram_ok(F.col("ha"), F.col("hb"), F.col("la"), F.col("lb")))
-             .select("a", "b", "a_is_pool", "b_is_batch", "b_is_pool"))
-    return pairs
+    left, right = left.repartition(par, "band", "block"), right.repartition(par, "band", "block")
+    return (left.join(right, ["band", "block"])
+            .where((F.col("a") != F.col("b")) & (~F.col("b_is_batch") | (F.col("a") < F.col("b"))))
+            .where(fz.length_ok(F.col("la"), F.col("lb")))
+            .where(fz.groups_ok([F.col(f"ga{i}") for i in range(ng)], [F.col(f"gb{i}") for i in range(ng)],
+                                F.col("la"), F.col("lb")))
+            .where(fz.histogram_ok(F.col("ha"), F.col("hb"), F.col("la"), F.col("lb")))
+            .where(fz.edits_ok(F.col("a"), F.col("b"), F.col("la"), F.col("lb")))
+            .select("a", "b", "a_is_pool", "b_is_batch", "b_is_pool"))
 
 
 def fuzzy_edges(batch_keys: DataFrame, pool_keys: DataFrame) -> DataFrame:
@@ -130,7 +117,7 @@ def fuzzy_edges(batch_keys: DataFrame, pool_keys: DataFrame) -> DataFrame:
                     F.col("b_is_pool").alias("other_is_pool")))
 
 
-def greedy_resolve(nodes: DataFrame, edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+def greedy_resolve(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Lexicographically-first maximal independent set.
 
     ``nodes(node, ord)``; ``edges(src, dst)`` with ord(src) < ord(dst).  Returns
@@ -138,19 +125,14 @@ def greedy_resolve(nodes: DataFrame, edges: DataFrame, max_rounds: int = 10_000)
     neighbours are all decided (the earliest undecided node always is), so the
     loop ends; each round's state is checkpointed to the shared folder.
     """
+    edges = edges.checkpoint()
     touched = edges.select(F.col("src").alias("node")).union(edges.select(F.col("dst").alias("node"))).distinct()
     free = nodes.join(touched, "node", "left_anti").select("node", F.lit(True).alias("unique"))
     state = (nodes.join(touched, "node", "left_semi")
              .select("node", F.lit(None).cast("boolean").alias("unique"))).checkpoint()
-    edges = edges.checkpoint()
-    rounds = 0
-    while True:
-        undecided = state.where(F.col("unique").isNull())
-        if undecided.isEmpty():
-            break
-        rounds += 1
-        if rounds > max_rounds:
-            raise RuntimeError("greedy resolution did not converge")
+    while not (undecided := state.where(F.col("unique").isNull()).select(F.col("node").alias("dst"))).isEmpty():
+        # only edges into undecided nodes matter from here on
+        edges = edges.join(undecided, "dst", "left_semi")
         nb = (edges.join(state.select(F.col("node").alias("src"), F.col("unique").alias("su")), "src")
               .groupBy(F.col("dst").alias("node"))
               .agg(F.count_if(F.col("su") == True).alias("n_u"),  # noqa: E712
@@ -163,6 +145,27 @@ def greedy_resolve(nodes: DataFrame, edges: DataFrame, max_rounds: int = 10_000)
     return free.unionByName(state)
 
 
+def best_match(items: DataFrame, pool: DataFrame) -> DataFrame:
+    """Per item (item_order, title) the stored title (pool_order, title)
+    with the best score of at least 85, ties to the earliest record.  Items
+    and records with an empty key match nothing; items without a match give
+    no row."""
+    keyed = lambda d, k: d.withColumn(k, sort_key(norm_title("title"))).where(F.col(k) != "")
+    i, p = keyed(items, "bkey"), keyed(pool, "okey")
+    named = p.join(p.groupBy("okey").agg(F.min("pool_order").alias("pool_order")), ["okey", "pool_order"], "left_semi").select(
+        "okey", "pool_order", F.col("title").alias("matched_title"))
+    keys = i.select(F.col("bkey").alias("fkey")).distinct()
+    edges = fuzzy_edges(keys, named.select(F.col("okey").alias("fkey")))
+    near = (edges.where("other_is_pool").select("bkey", "okey", "score")
+            .unionByName(edges.where(F.col("other_is_batch") & F.col("b_pool"))
+                         .select(F.col("okey").alias("bkey"), F.col("bkey").alias("okey"), "score")))
+    same = keys.join(named, F.col("fkey") == F.col("okey"), "left_semi").select(
+        F.col("fkey").alias("bkey"), F.col("fkey").alias("okey"), F.lit(100).alias("score"))
+    hits = near.unionByName(same).join(named, "okey")
+    best = hits.groupBy("bkey").agg(F.min(F.struct((-F.col("score")).alias("neg"), "pool_order", "matched_title")).alias("_b"))
+    return i.join(best, "bkey").select("item_order", (-F.col("_b.neg")).alias("score"), F.col("_b.matched_title").alias("matched_title"))
+
+
 def dedup_batch(batch: DataFrame, pool: DataFrame, parts: dict | None = None) -> DataFrame:
     """Classify every batch item.
 
@@ -188,13 +191,13 @@ def dedup_batch(batch: DataFrame, pool: DataFrame, parts: dict | None = None) ->
 
     blank = s2.where(F.col("fkey") == "").select("item_order", "title")
     keyed = s2.where(F.col("fkey") != "")
-    reps = keyed.groupBy("fkey").agg(F.min(F.struct("item_order", "title")).alias("_r")) \
-                .select("fkey", F.col("_r.item_order").alias("rep_order"),
-                        F.col("_r.title").alias("rep_title")).checkpoint()   # read by six later joins
-    pool_first = (pool.where(F.col("fkey") != "").groupBy("fkey")
-                  .agg(F.min(F.struct("pool_order", "title")).alias("_p"))
-                  .select("fkey", F.col("_p.pool_order").alias("p_order"),
-                          F.col("_p.title").alias("p_title"))).checkpoint()
+    reps = (keyed.groupBy("fkey").agg(F.min("item_order").alias("item_order"))
+            .join(keyed, ["fkey", "item_order"])
+            .select("fkey", F.col("item_order").alias("rep_order"), F.col("title").alias("rep_title"))).checkpoint()   # read by six later joins
+    filled = pool.where(F.col("fkey") != "").select("fkey", "pool_order", "title")
+    pool_first = (filled.groupBy("fkey").agg(F.min("pool_order").alias("pool_order"))
+                  .join(filled, ["fkey", "pool_order"])
+                  .select("fkey", F.col("pool_order").alias("p_order"), F.col("title").alias("p_title"))).checkpoint()
 
     edges = fuzzy_edges(reps.select("fkey"), pool_first.select("fkey")).checkpoint()
 
@@ -230,19 +233,29 @@ def dedup_batch(batch: DataFrame, pool: DataFrame, parts: dict | None = None) ->
     rep_hits = (sym.unionByName(rep_same)
                 .join(unique_reps.select(F.col("fkey").alias("okey"), F.col("rep_order").alias("c_order"),
                                          F.col("rep_title").alias("c_title")), "okey")
-                .select("bkey", "score", F.lit(1).alias("c_src"), "c_order", "c_title"))
-    pool_cands = (pool_hits.join(pool_first.select(F.col("fkey").alias("okey"), F.col("p_order").alias("c_order"),
+                .select("bkey", "score", F.lit(1).alias("c_src"), "c_order",
+                        F.lit(None).cast(pool.schema["pool_order"].dataType).alias("c_pool"), "c_title"))
+    pool_cands = (pool_hits.join(pool_first.select(F.col("fkey").alias("okey"), F.col("p_order").alias("c_pool"),
                                                    F.col("p_title").alias("c_title")), "okey")
-                  .select("bkey", "score", F.lit(0).alias("c_src"), "c_order", "c_title"))
+                  .select("bkey", "score", F.lit(0).alias("c_src"),
+                          F.lit(None).cast(keyed.schema["item_order"].dataType).alias("c_order"), "c_pool", "c_title"))
     cands = pool_cands.unionByName(rep_hits)
 
     is_unique_rep = (keyed.join(unique_reps.select("fkey", F.col("rep_order").alias("item_order")),
                                 ["fkey", "item_order"], "left_semi"))
     fuzzy_items = keyed.join(is_unique_rep.select("item_order"), "item_order", "left_anti")
-    best = (fuzzy_items.join(cands.withColumnRenamed("bkey", "fkey"), "fkey")
-            .where((F.col("c_src") == 0) | (F.col("c_order") < F.col("item_order")))
-            .groupBy("item_order", "title")
-            .agg(F.min(F.struct((-F.col("score")).alias("neg"), "c_src", "c_order", "c_title", "score")).alias("_b"))
+    # Every item of a key is later than its representative, so the best of
+    # the candidates before the representative is reduced to one row per key;
+    # only candidates after it are tested item by item.
+    order = F.struct((-F.col("score")).alias("neg"), "c_src", "c_order", "c_pool", "c_title", "score")
+    placed = cands.withColumnRenamed("bkey", "fkey").join(ro, "fkey")
+    early = (F.col("c_src") == 0) | (F.col("c_order") <= F.col("rep_order"))
+    once = placed.where(early).withColumn("before", ~((F.col("c_src") == 0) | (F.col("c_order") < F.col("rep_order"))))
+    per_key = once.groupBy("fkey", "before").agg(F.min(order).alias("_b")).select("fkey", "before", "_b.*")
+    late = placed.where(~early).select("fkey", F.lit(True).alias("before"), (-F.col("score")).alias("neg"), "c_src", "c_order", "c_pool", "c_title", "score")
+    best = (fuzzy_items.join(per_key.unionByName(late), "fkey")
+            .where(~F.col("before") | (F.col("c_order") < F.col("item_order")))
+            .groupBy("item_order", "title").agg(F.min(order).alias("_b"))
             .select("item_order", "title", F.lit("fuzzy").alias("match_type"),
                     F.col("_b.c_title").alias("matched_title"), F.col("_b.score").alias("score")))
 

@@ -1,11 +1,11 @@
 """Structured extraction stage.
 
 The model call itself is outside Spark; its text answer arrives as a
-``raw_response`` column.  Parsing uses VARIANT (``try_parse_json``), whose
-type inspection (``schema_of_variant``) keeps an *absent* key (SQL NULL)
-apart from an explicit JSON ``null`` ('VOID') — defaults apply only to the
-former.  Validation is one projection: every rule is a Column, all issues of
-a row are joined into one message, and failing rows stay as data.
+``raw_response`` column.  Parsing uses VARIANT (``try_parse_json``); the
+object is read once into a row of (kind, value) per key, where an *absent*
+key (NULL) stays apart from an explicit JSON ``null`` ('VOID') — defaults
+apply only to the former.  Every rule is a Column over that row, all issues
+of a row are joined into one message, and failing rows stay as data.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.constants import EDUCATION_LEVELS, PROMPT_HTML_MAX, REGIONS, SUMMARY_CAP, TYPES
+from lodestar.constants import AS_OF, EDUCATION_LEVELS, PROMPT_HTML_MAX, REGIONS, SUMMARY_CAP, TYPES
 from lodestar.functions.text import js_trim
 
 FENCE = "```"
@@ -36,114 +36,126 @@ def strip_fence(raw="raw_response") -> Column:
     return F.when(t.startswith(FENCE), inner).otherwise(t)
 
 
-def _kind(v: Column, key: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get(v, f"$.{key}", "variant"))
+STRINGS = ["title", "description", "summary", "type", "organization", "eligibility_text", "deadline", "funding_amount", "application_url"]
+ARRAYS = ["fields", "regions", "countries", "target_audience"]
+FLAGS = ["is_rolling", "is_fully_funded"]
+REQUIRED = {"title": "Title is required", "description": "Description is required", "summary": "Summary is required",
+            "organization": "Organization is required"}
 
 
-def _str(v: Column, key: str) -> Column:
-    return F.try_variant_get(v, f"$.{key}", "string")
+def _fields(m: Column) -> Column:
+    """One read of the object: (kind, s, items) per key; kind is NULL for an
+    absent key and 'VOID' for an explicit null."""
+    kind = lambda x: F.schema_of_variant(x)
+    text = lambda x: F.try_variant_get(x, "$", "string")
+    out = []
+    for k in STRINGS + FLAGS:
+        out.append(F.struct(kind(m[k]).alias("kind"), text(m[k]).alias("s")).alias(k))
+    for k in ARRAYS:
+        items = F.transform(F.try_variant_get(m[k], "$", "array<variant>"),
+                            lambda e: F.struct(kind(e).alias("kind"), text(e).alias("s")))
+        out.append(F.struct(kind(m[k]).alias("kind"), items.alias("items")).alias(k))
+    return F.struct(*out)
 
 
-def _str_array_ok(kind: Column, v: Column, key: str) -> Column:
-    arr = F.try_variant_get(v, f"$.{key}", "array<variant>")
-    return (kind == "ARRAY<STRING>") | ((kind == "ARRAY<VOID>") & (F.size(arr) == 0))
+def _received(kind: Column) -> Column:
+    return (F.when(kind == "VOID", "null").when(kind.startswith("ARRAY"), "array").when(kind.startswith("OBJECT"), "object")
+            .when(kind == "STRING", "string").when(kind == "BOOLEAN", "boolean").otherwise("number"))
 
 
-def _enum_array(v: Column, key: str, allowed: list[str]) -> tuple[Column, Column]:
-    kind = _kind(v, key)
-    vals = F.try_variant_get(v, f"$.{key}", "array<string>")
-    ok_type = _str_array_ok(kind, v, key)
-    bad_pos = F.array_position(F.transform(vals, lambda x: x.isin(*allowed)), F.lit(False))
-    ok = kind.isNull() | (ok_type & (bad_pos == 0))
-    allowed_txt = " | ".join(f"'{a}'" for a in allowed)
-    msg = F.when(kind.isNull(), None).when(~ok_type, F.lit(f"{key}: Expected array of {allowed_txt}")) \
-           .when(bad_pos > 0, F.concat(F.lit(f"{key}."), (bad_pos - 1).cast("string"),
-                                       F.lit(f": Invalid enum value. Expected {allowed_txt}, received '"),
-                                       F.element_at(vals, bad_pos.cast("int")), F.lit("'")))
-    return ok, msg
+def _wrong(key: str, expected: str, kind: Column) -> Column:
+    return F.concat(F.lit(f"{key}: Expected {expected}, received "), _received(kind))
+
+
+def _choice(values: list[str]) -> str:
+    return " | ".join(f"'{x}'" for x in values)
+
+
+def _array_issues(key: str, f: Column, allowed: list[str] | None) -> Column:
+    """All issues of one array: its own kind, then every element's."""
+    expected = _choice(allowed) if allowed else "string"
+
+    def one(e, i):
+        at = F.concat(F.lit(f"{key}."), i.cast("string"), F.lit(": "))
+        bad = F.when(F.coalesce(e["kind"], F.lit("VOID")) != "STRING",
+                     F.concat(at, F.lit(f"Expected {expected}, received "), _received(F.coalesce(e["kind"], F.lit("VOID")))))
+        if allowed:
+            bad = bad.when(~e["s"].isin(*allowed), F.concat(at, F.lit(f"Invalid enum value. Expected {expected}, received '"), e["s"], F.lit("'")))
+        return bad
+    return (F.when(f["kind"].isNull(), F.array().cast("array<string>"))
+            .when(~f["kind"].startswith("ARRAY"), F.array(_wrong(key, "array", f["kind"])))
+            .otherwise(F.array_compact(F.transform(f["items"], one))))
 
 
 def validate(df: DataFrame, raw: str = "raw_response") -> DataFrame:
-    """Adds ``extraction`` (struct or NULL) and ``error`` (or NULL)."""
-    text = strip_fence(raw)
-    # The parse is produced by a generator so projections above it cannot
-    # inline (and repeat) it once per field reference.
-    d = df.withColumn("_raw", js_trim(F.col(raw))).select("*", F.explode(F.array(F.try_parse_json(text))).alias("_v"))
+    """Adds ``extraction`` (struct or NULL) and ``error`` (or NULL).
+
+    Text that is no JSON is a parse failure; JSON that is no object, and an
+    object that breaks a rule, are validation failures that name every issue.
+    """
+    # Each generator is a barrier: what is above reads its one result and
+    # can't repeat the parse or the field reads.
+    d = df.withColumn("_raw", js_trim(F.col(raw)))
+    d = d.select("*", F.explode(F.array(F.try_parse_json(strip_fence(raw)))).alias("_v"))
     v = F.col("_v")
-    is_obj = F.schema_of_variant(v).startswith("OBJECT<")
-
-    issues = []
-
-    def req_string(key, short_msg):
-        k = _kind(v, key)
-        s = _str(v, key)
-        issues.append(F.when(k.isNull(), F.lit(f"{key}: Required"))
-                      .when(k != "STRING", F.concat(F.lit(f"{key}: Expected string, received "), F.lower(k)))
-                      .when(F.length(s) < 1, F.lit(f"{key}: {short_msg}")))
-
-    req_string("title", "Title is required")
-    req_string("description", "Description is required")
-    req_string("summary", "Summary is required")
-    req_string("organization", "Organization is required")
-    tk, ts = _kind(v, "type"), _str(v, "type")
-    expected = "type: Invalid enum value. Expected " + " | ".join(f"'{t}'" for t in TYPES)
-    issues.append(F.when(tk.isNull(), F.lit("type: Required"))
-                  .when(tk != "STRING", F.concat(F.lit(expected + ", received "), F.lower(tk)))
-                  .when(~ts.isin(*TYPES), F.concat(F.lit(expected + ", received '"), ts, F.lit("'"))))
-    for key in ("fields", "countries"):
-        k = _kind(v, key)
-        issues.append(F.when(k.isNotNull() & ~_str_array_ok(k, v, key), F.lit(f"{key}: Expected array of strings")))
-    reg_ok, reg_msg = _enum_array(v, "regions", REGIONS)
-    aud_ok, aud_msg = _enum_array(v, "target_audience", EDUCATION_LEVELS)
-    issues += [reg_msg, aud_msg]
-    ek = _kind(v, "eligibility_text")
-    issues.append(F.when(ek.isNotNull() & (ek != "STRING"), F.lit("eligibility_text: Expected string")))
+    d = d.withColumn("_kind", F.schema_of_variant(v))
+    d = d.select("*", F.explode(F.array(_fields(F.try_variant_get(v, "$", "map<string,variant>")))).alias("_f"))
+    f = lambda k: F.col(f"_f.{k}")
+
+    single = []
+    for key, message in REQUIRED.items():
+        single.append(F.when(f(key)["kind"].isNull(), F.lit(f"{key}: Required"))
+                      .when(f(key)["kind"] != "STRING", _wrong(key, "string", f(key)["kind"]))
+                      .when(F.length(f(key)["s"]) < 1, F.lit(f"{key}: {message}")))
+    t, types = f("type"), _choice(TYPES)
+    single.append(F.when(t["kind"].isNull(), F.lit("type: Required")).when(t["kind"] != "STRING", _wrong("type", types, t["kind"]))
+                  .when(~t["s"].isin(*TYPES), F.concat(F.lit(f"type: Invalid enum value. Expected {types}, received '"), t["s"], F.lit("'"))))
+    k = f("eligibility_text")["kind"]
+    single.append(F.when(k.isNotNull() & (k != "STRING"), _wrong("eligibility_text", "string", k)))
     for key in ("deadline", "funding_amount"):
-        k = _kind(v, key)
-        issues.append(F.when(k.isNotNull() & ~k.isin("STRING", "VOID"), F.concat(F.lit(f"{key}: Expected string, received "), F.lower(k))))
-    for key in ("is_rolling", "is_fully_funded"):
-        k = _kind(v, key)
-        issues.append(F.when(k.isNotNull() & (k != "BOOLEAN"), F.concat(F.lit(f"{key}: Expected boolean, received "), F.lower(k))))
-
-    issue_list = F.array_compact(F.array(*issues))
-    deadline = _str(v, "deadline")
-    deadline_ok = deadline.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & F.try_to_date(deadline, "yyyy-MM-dd").isNotNull()
-    funding = js_trim(_str(v, "funding_amount"))
-    app = _str(v, "application_url")
-    app_ok = (_kind(v, "application_url") == "STRING") & app.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:[^\s]+$")
-    arr = lambda key, default: F.when(_kind(v, key).isNull(), F.array(*[F.lit(x) for x in default]).cast("array<string>")) \
-        .otherwise(F.transform(F.try_variant_get(v, f"$.{key}", "array<string>"), lambda x: js_trim(x)))
+        k = f(key)["kind"]
+        single.append(F.when(k.isNotNull() & ~k.isin("STRING", "VOID"), _wrong(key, "string", k)))
+    for key in FLAGS:
+        k = f(key)["kind"]
+        single.append(F.when(k.isNotNull() & (k != "BOOLEAN"), _wrong(key, "boolean", k)))
+    allowed = {"regions": REGIONS, "target_audience": EDUCATION_LEVELS}
+    issues = F.concat(F.array_compact(F.array(*single)), *[_array_issues(x, f(x), allowed.get(x)) for x in ARRAYS])
+
+    text = lambda key: js_trim(f(key)["s"])
+    items = lambda key: F.transform(f(key)["items"], lambda e: e["s"])
+    trimmed = lambda key: F.transform(f(key)["items"], lambda e: js_trim(e["s"]))
+    arr = lambda key, values, default: F.when(f(key)["kind"].isNull(), F.array(*[F.lit(x) for x in default]).cast("array<string>")).otherwise(values)
+    flag = lambda key: F.coalesce(f(key)["s"] == "true", F.lit(False))
+    day, app, funding = f("deadline")["s"], f("application_url")["s"], text("funding_amount")
+    day_ok = day.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & F.try_to_date(day, "yyyy-MM-dd").isNotNull()
+    app_ok = (f("application_url")["kind"] == "STRING") & app.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:[^\s]+$")
     extraction = F.struct(
-        js_trim(_str(v, "title")).alias("title"),
-        js_trim(_str(v, "description")).alias("description"),
-        F.substring(js_trim(_str(v, "summary")), 1, SUMMARY_CAP).alias("summary"),
-        _str(v, "type").alias("type"),
-        arr("fields", []).alias("fields"),
-        F.coalesce(F.try_variant_get(v, "$.regions", "array<string>"), F.array(F.lit("global"))).alias("regions"),
-        arr("countries", []).alias("countries"),
-        F.coalesce(F.try_variant_get(v, "$.target_audience", "array<string>"), F.array(F.lit("any"))).alias("target_audience"),
-        F.coalesce(js_trim(_str(v, "eligibility_text")), F.lit("")).alias("eligibility_text"),
-        F.when(deadline_ok, F.try_to_date(deadline, "yyyy-MM-dd")).alias("deadline"),
-        F.coalesce(F.try_variant_get(v, "$.is_rolling", "boolean"), F.lit(False)).alias("is_rolling"),
-        F.when(funding != "", funding).alias("funding_amount"),
-        F.coalesce(F.try_variant_get(v, "$.is_fully_funded", "boolean"), F.lit(False)).alias("is_fully_funded"),
-        js_trim(_str(v, "organization")).alias("organization"),
-        F.when(app_ok, app).alias("application_url"),
-    )
-    parse_err = F.concat(F.lit("JSON parse failed: not a JSON object. Raw: "), F.substring("_raw", 1, 200))
-    err = (F.when(v.isNull() | ~is_obj, parse_err)
-           .when(F.size(issue_list) > 0, F.concat(F.lit("Validation failed: "), F.array_join(issue_list, "; "))))
-    return (d.withColumn("error", err)
-            .withColumn("extraction", F.when(F.col("error").isNull(), extraction))
-            .drop("_v", "_raw"))
-
-
-def split_results(validated: DataFrame, url: str = "url") -> tuple[DataFrame, DataFrame]:
+        text("title").alias("title"), text("description").alias("description"),
+        F.substring(text("summary"), 1, SUMMARY_CAP).alias("summary"), t["s"].alias("type"),
+        arr("fields", trimmed("fields"), []).alias("fields"),
+        arr("regions", items("regions"), ["global"]).alias("regions"),
+        arr("countries", trimmed("countries"), []).alias("countries"),
+        arr("target_audience", items("target_audience"), ["any"]).alias("target_audience"),
+        F.coalesce(text("eligibility_text"), F.lit("")).alias("eligibility_text"),
+        F.when(day_ok, F.try_to_date(day, "yyyy-MM-dd")).alias("deadline"),
+        flag("is_rolling").alias("is_rolling"), F.when(funding != "", funding).alias("funding_amount"),
+        flag("is_fully_funded").alias("is_fully_funded"), text("organization").alias("organization"),
+        F.when(app_ok, app).alias("application_url"))
+    failed = lambda m: F.concat(F.lit("Validation failed: "), m)
+    d = d.select("*", F.explode(F.array(issues)).alias("_issues"))
+    err = (F.when(v.isNull(), F.concat(F.lit("JSON parse failed. Raw: "), F.substring(F.coalesce("_raw", F.lit("")), 1, 200)))
+           .when(~F.col("_kind").startswith("OBJECT"), failed(F.concat(F.lit("Expected object, received "), _received(F.col("_kind")))))
+           .when(F.size("_issues") > 0, failed(F.array_join("_issues", "; "))))
+    return (d.withColumn("error", err).withColumn("extraction", F.when(F.col("error").isNull(), extraction))
+            .drop("_v", "_raw", "_kind", "_f", "_issues"))
+
+
+def split_results(validated: DataFrame, url: str = "url", as_of: str = AS_OF) -> tuple[DataFrame, DataFrame]:
     """Successes flattened with source_url; failures as review flags."""
     ok = validated.where(F.col("extraction").isNotNull()).select("extraction.*", F.col(url).alias("source_url"))
     from lodestar.operators.store import flag_rows
     bad = validated.where(F.col("extraction").isNull()).withColumn("_details", F.concat(F.lit("Error: "), F.col("error")))
-    flags = flag_rows(bad.withColumnRenamed(url, "source_url"), "extraction_failed", details_col="_details")
+    flags = flag_rows(bad.withColumnRenamed(url, "source_url"), "extraction_failed", details_col="_details", as_of=as_of)
     return ok, flags
 
 
@@ -154,36 +166,7 @@ def extraction_summary(validated: DataFrame) -> DataFrame:
                          F.count_if(F.col("extraction").isNull()).alias("failed"))
 
 
-def responses_from_pages(pages: DataFrame) -> DataFrame:
-    """The ``raw_response`` column for pages when no model answers are
-    supplied: a JSON object built from each page's own title, text and url by
-    a fixed rule, in the forms the validator must handle (most complete,
-    some fenced, some malformed or breaking a rule)."""
-    pid = F.col("page_id")
-    text = js_trim(F.regexp_replace(F.col("content"), "<[^>]*>", " "))
-    base = F.struct(
-        F.col("title").alias("title"), text.alias("description"), F.substring(text, 1, 400).alias("summary"),
-        F.element_at(F.array(*[F.lit(t) for t in TYPES]), (pid % 8 + 1).cast("int")).alias("type"),
-        F.array(F.lit("STEM")).alias("fields"),
-        F.array(F.element_at(F.array(*[F.lit(r) for r in REGIONS]), (pid % 8 + 1).cast("int"))).alias("regions"),
-        F.array().cast("array<string>").alias("countries"),
-        F.array(F.lit("any")).alias("target_audience"),
-        F.lit(" open to all ").alias("eligibility_text"),
-        F.date_format(F.date_add(F.lit("2024-01-31").cast("date"), (pid % 90).cast("int")), "yyyy-MM-dd").alias("deadline"),
-        (pid % 5 == 0).alias("is_rolling"),
-        F.lit(" USD 1000 ").alias("funding_amount"),
-        (pid % 4 == 0).alias("is_fully_funded"),
-        F.regexp_extract(F.col("url"), r"://([^/?#]+)", 1).alias("organization"),
-        F.col("url").alias("application_url"),
-    )
-    js = F.to_json(base)
-    r = pid % 10
-    raw = (F.when(r == 0, F.concat(F.lit("```json\n"), js, F.lit("\n```")))
-           .when(r == 1, text)
-           .when(r == 2, F.regexp_replace(js, r'"type":"[a-z]+"', '"type":"phd"'))
-           .when(r == 3, F.regexp_replace(js, r'"(fields|regions|target_audience)":\[[^\]]*\],', ""))
-           .when(r == 4, F.regexp_replace(js, r'"deadline":"[0-9-]+"', '"deadline":"2026-02-30"'))
-           .when(r == 5, F.regexp_replace(js, r'"application_url":"[^"]*"', '"application_url":"not a url"'))
-           .when(r == 6, F.regexp_replace(js, r'"is_rolling":(true|false)', '"is_rolling":"true"'))
-           .otherwise(js))
-    return pages.withColumn("raw_response", raw)
+def with_responses(pages: DataFrame, responses: DataFrame) -> DataFrame:
+    """The scraped pages with their answers (page_id, raw_response); a page
+    without an answer has a null one, which is a parse failure."""
+    return pages.join(responses.select("page_id", "raw_response"), "page_id", "left")

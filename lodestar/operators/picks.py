@@ -42,15 +42,10 @@ def posted_ids(log: DataFrame, channel: str) -> DataFrame:
 
 
 def unposted(opps: DataFrame, log: DataFrame, channel: str) -> DataFrame:
-    """Listings not yet in the channel's log.
-
-    The log is probed only for the candidate ids (broadcast when proven
-    small, e.g. a 48 h window), so the whole posting history is scanned
-    map-only instead of being shuffled for a distinct."""
-    from lodestar.operators.sizing import maybe_broadcast
-    cand = maybe_broadcast(opps.select("id"))
+    """Listings not yet in the channel's log (anti-join; AQE chooses the
+    strategy from the measured bytes of both sides)."""
     posted = (log.where((F.col("channel") == channel) & F.col("opportunity_id").isNotNull())
-              .select(F.col("opportunity_id").alias("id")).join(cand, "id", "left_semi"))
+              .select(F.col("opportunity_id").alias("id")))
     return opps.join(posted, "id", "left_anti")
 
 

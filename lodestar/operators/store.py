@@ -2,9 +2,9 @@
 
 Tables are immutable DataFrames: an upsert or append returns the new table,
 and ``write_table`` stores it (no transactional table format is assumed).
-The upsert is one full-outer join on slug, so the stored table is shuffled
-once per batch; stored tables bucketed or partitioned by slug hash keep that
-join co-located on a cluster.
+The upsert is one outer join on slug: the stored table is read once per
+batch, and shuffled once unless the batch is small enough for AQE to
+broadcast it.  Join strategies are left to AQE, which knows the bytes.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from lodestar.constants import AS_OF, TYPES
 from lodestar.functions.text import completeness, slug
-from lodestar.operators.sizing import maybe_broadcast
 from lodestar.sources.views import as_of_ts
 
 SUPPLIED = ["title", "slug", "description", "summary", "type", "fields", "regions", "countries",
@@ -74,9 +73,8 @@ def classify(rows: DataFrame, target: DataFrame) -> DataFrame:
     """A row is an update iff its source_url already exists (any status).
 
     Only stored urls that occur in the batch are kept (semi-join against the
-    batch's url set, broadcast when small), so the stored table is never
-    shuffled as a whole."""
-    batch_urls = maybe_broadcast(rows.select(F.col("source_url")).where(F.col("source_url").isNotNull()).distinct())
+    batch's url set), one row per url."""
+    batch_urls = rows.select(F.col("source_url")).where(F.col("source_url").isNotNull()).distinct()
     urls = (target.select("source_url").join(batch_urls, "source_url", "left_semi")
             .select(F.col("source_url").alias("_u")).distinct())
     return (rows.join(urls, rows["source_url"] == urls["_u"], "left")
@@ -93,37 +91,26 @@ def upsert(target: DataFrame, rows: DataFrame, as_of: str = AS_OF, protect_statu
     status 'active'; a new slug is inserted with defaults.
     """
     good = rows.where(row_errors(rows).isNull())
-    last = (good.groupBy("slug").agg(F.max_by(F.struct(*[c for c in SUPPLIED if c != "slug"]),
-                                              F.col("item_order")).alias("_r"))
-            .select("slug", "_r.*")).checkpoint()
-    # The batch's slug set is broadcast when small, so the stored table is
-    # split into touched / untouched rows by a map-only pass (no shuffle of
-    # the stored table); beyond the bound the same plan shuffles on slug.
-    keys = maybe_broadcast(last.select("slug"))
-    untouched = target.join(keys, "slug", "left_anti")
-    touched = target.join(keys, "slug", "left_semi")
-    t = touched.select(*[F.col(c).alias("t_" + c) for c in KEPT + ["slug", "status"]])
-    upd = last.join(t, last["slug"] == t["t_slug"], "inner")
-    status = F.col("status")
+    newest = good.groupBy("slug").agg(F.max("item_order").alias("item_order"))
+    last = good.join(newest, ["slug", "item_order"], "left_semi").select(*[F.col(c).alias("n_" + c) for c in SUPPLIED])
+    t = target.select(*[F.col(c).alias(c) for c in SUPPLIED + KEPT])
+    j = t.join(last, F.col("slug") == F.col("n_slug"), "full_outer")
+    new, old = F.col("n_slug").isNotNull(), F.col("slug").isNotNull()
+    status = F.col("n_status")
     if protect_status:
-        status = F.when(F.col("t_status").isin("flagged", "removed"), F.col("t_status")).otherwise(status)
-    updated = upd.select(*[status.alias(c) if c == "status" else F.col(c) for c in SUPPLIED],
-                         *[F.col("t_" + c).alias(c) for c in KEPT])
-    new_rows = last.join(touched.select("slug"), "slug", "left_anti")
-    inserted = new_rows.select(
-        *[F.col(c) for c in SUPPLIED], default_id(F.col("slug")).alias("id"),
-        F.lit("basic").alias("verification_level"), F.lit("low").alias("scam_risk"),
-        F.lit(None).cast("string").alias("source_hash"), F.lit(None).cast("string").alias("raw_html"),
-        F.lit(None).cast("string").alias("deadline_text"), as_of_ts(as_of).alias("created_at"))
-    cols = SUPPLIED + KEPT
-    return untouched.select(*cols).unionByName(updated.select(*cols)).unionByName(inserted.select(*cols))
+        status = F.when(old & F.col("status").isin("flagged", "removed"), F.col("status")).otherwise(status)
+    supplied = {c: status if c == "status" else F.col("n_" + c) for c in SUPPLIED}
+    defaults = {"id": default_id(F.col("n_slug")), "verification_level": F.lit("basic"), "scam_risk": F.lit("low"),
+                "created_at": as_of_ts(as_of)}
+    return j.select(*[F.when(new, supplied[c]).otherwise(F.col(c)).alias(c) for c in SUPPLIED],
+                    *[F.when(old, F.col(c)).otherwise(defaults.get(c, F.lit(None))).alias(c) for c in KEPT])
 
 
 def store_summary(rows: DataFrame, target: DataFrame) -> DataFrame:
     """A3: inserted / updated / failed as judged by source_url (the reported
     counts), plus the slug-keyed judgement the write actually follows
     (``new_slugs`` / ``existing_slugs``); failures are rows the store rejects."""
-    keys = maybe_broadcast(rows.select("slug").where(F.col("slug").isNotNull()).distinct())
+    keys = rows.select("slug").where(F.col("slug").isNotNull()).distinct()
     have = target.select("slug").join(keys, "slug", "left_semi").distinct().withColumn("_has_slug", F.lit(True))
     c = classify(rows, target).withColumn("error", row_errors(rows)).join(have, "slug", "left")
     ok = F.col("error").isNull()
@@ -150,10 +137,8 @@ def record_distribution(log: DataFrame, new: DataFrame) -> DataFrame:
     first = (new.groupBy("opportunity_id", "channel")
              .agg(F.min(F.struct("posted_at", "external_id")).alias("_f"))
              .select("opportunity_id", "channel", "_f.posted_at", "_f.external_id"))
-    # Recorded pairs are looked up only for the new keys (broadcast when
-    # small): the log itself is scanned map-only, never shuffled whole.
-    keys = maybe_broadcast(first.select("opportunity_id", "channel"))
-    seen = log.select("opportunity_id", "channel").join(keys, ["opportunity_id", "channel"], "left_semi")
+    seen = log.select("opportunity_id", "channel").join(
+        first.select("opportunity_id", "channel"), ["opportunity_id", "channel"], "left_semi")
     fresh = first.join(seen, ["opportunity_id", "channel"], "left_anti")
     rows = fresh.select(
         F.concat(F.lit("log-"), F.substring(F.sha2(F.concat_ws("|", "opportunity_id", "channel"), 256), 1, 24)).alias("id"),

@@ -13,7 +13,7 @@ from lodestar.sources import views
 
 def batch_and_pool(spark, sf_dir):
     batch = views.batch_items(spark, sf_dir).select("item_order", "title", "source_url")
-    pool = dedup.active_keys(views.stored_items(spark, sf_dir))
+    pool = dedup.active_keys(views.stored_items(spark, sf_dir), "doc_id")
     return batch, pool
 
 
@@ -23,7 +23,7 @@ _H = f"{V.item_hash('title', 'source_url')}"
 @register("s2_scan_active_keys", V.with_views("stored_items") + """
 SELECT doc_id AS pool_order, title, source_url FROM stored_items WHERE status = 'active'""")
 def s2_scan_active_keys(spark, sf_dir):
-    return dedup.active_keys(views.stored_items(spark, sf_dir))
+    return dedup.active_keys(views.stored_items(spark, sf_dir), "doc_id")
 
 
 @register("a1_intra_batch_first", V.with_views("batch_items", extra=[

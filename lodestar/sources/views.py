@@ -202,3 +202,14 @@ def scrape_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).alias("listings_duplicate"), F.lit(None).cast("string").alias("error_message"),
         (F.unix_timestamp(F.col("completed_at").cast("timestamp")) - F.unix_timestamp(F.col("started_at").cast("timestamp")))
         .cast("int").alias("duration_seconds"))
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extraction answers per page: the item of the document with the page's
+    id, as JSON text (the tables hold no model answers).  Keys without a value
+    are absent; items with an empty summary or no organisation break a rule."""
+    it = items(spark, sf_dir)
+    body = F.struct("title", "description", "summary", "type", "fields", "regions", "countries", "target_audience",
+                    "eligibility_text", F.date_format("deadline", "yyyy-MM-dd").alias("deadline"), "is_rolling",
+                    "funding_amount", "is_fully_funded", "organization", "application_url")
+    return it.select(F.col("doc_id").alias("page_id"), F.to_json(body).alias("raw_response"))

@@ -68,9 +68,8 @@ def test_no_cartesian_product(spark):
 
 
 def test_shuffled_band_join_matches_rule(spark, monkeypatch):
-    """The salted, shuffled band join (used when the batch is too large to
-    broadcast) gives the same classification."""
-    monkeypatch.setattr(dedup, "BROADCAST_LEFT_MAX_BYTES", 0)
+    """Bands dealt into many blocks give the same classification."""
+    monkeypatch.setattr(dedup, "BLOCK_KEYS", 3)
     b, p = batch_and_pool(spark, SF_SMALL)
     got = {r.item_order: (r.is_unique, r.match_type, r.matched_title, r.score)
            for r in dedup.dedup_batch(b, p).collect()}

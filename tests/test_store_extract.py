@@ -101,3 +101,15 @@ def test_enum_messages_name_the_value(spark):
     out = _validate(spark, [GOOD.replace('"grant"', '"phd"'), GOOD.replace('"type"', '"regions": ["asia", "mars"], "type"')])
     assert out[0].error.endswith("received 'phd'")
     assert "regions.1: Invalid enum value." in out[1].error and out[1].error.endswith("received 'mars'")
+
+
+def test_every_element_and_every_kind_is_checked(spark):
+    out = _validate(spark, [GOOD.replace('"type"', '"regions": ["global", null], "type"'), GOOD.replace('"type"', '"fields": ["a", null, 3], "type"'),
+                            "[1]", "null", "7", GOOD.replace('"type"', '"regions": "global", "type"'), None, "",
+                            GOOD.replace('"type"', '"fields": [], "regions": [], "type"')])
+    assert out[0].error.startswith("Validation failed: regions.1: Expected 'global'") and out[0].error.endswith("received null")
+    assert out[1].error == "Validation failed: fields.1: Expected string, received null; fields.2: Expected string, received number"
+    assert [out[i].error for i in (2, 3, 4)] == [f"Validation failed: Expected object, received {k}" for k in ("array", "null", "number")]
+    assert out[5].error == "Validation failed: regions: Expected array, received string"
+    assert out[6].error.startswith("JSON parse failed") and out[7].error.startswith("JSON parse failed")
+    assert out[8].error is None and out[8].extraction.regions == []
