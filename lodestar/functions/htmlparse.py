@@ -1,8 +1,9 @@
 """Per-page HTML helper run inside ``mapInPandas`` (standard library only).
 
 Builds a light element index (tag, attributes, source offsets, parent) with
-``html.parser``, then answers simple selectors: ``tag``, ``.class``,
-``tag.class`` and one descendant step ``A B``.  Content is returned as the
+``html.parser``, then answers selectors of a tag with any number of classes
+(``div.a.b``, ``.a``, ``h2``), any number of descendant steps (``A B C``) and
+comma-separated groups.  Content is returned as the
 source slice of the chosen element with the stripped descendants cut out.
 """
 
@@ -73,6 +74,9 @@ class _Index(HTMLParser):
 
     def finish(self):
         self.close()
+        return self.seal()
+
+    def seal(self):
         n = len(self.html)
         while self.stack:
             top = self.stack.pop()
@@ -81,26 +85,24 @@ class _Index(HTMLParser):
 
 
 def _simple_match(el, simple: str) -> bool:
-    if "." in simple:
-        tag, cls = simple.split(".", 1)
-    else:
-        tag, cls = simple, None
+    tag, *classes = simple.split(".")
     if tag and el["tag"] != tag:
         return False
-    if cls is not None and cls not in (el["attrs"].get("class") or "").split():
-        return False
-    return True
+    have = (el["attrs"].get("class") or "").split() if classes else ()
+    return all(c in have for c in classes)
 
 
 class Page:
     def __init__(self, html: str):
         self.html = html or ""
         self.ix = _Index(self.html)
+        self.error: str | None = None
         try:
             self.ix.feed(self.html)
-        except Exception:   # malformed markup: keep what was indexed
-            pass
-        self.ix.finish()
+            self.ix.finish()
+        except (AssertionError, ValueError, IndexError) as e:     # what the parser raises on broken markup
+            self.error = f"{type(e).__name__}: {e}"
+            self.ix.seal()
         self.els = self.ix.els
 
     def _ancestors(self, i):
@@ -118,15 +120,19 @@ class Page:
                 if part.strip():
                     hits.update(self.select(part.strip()))
             return sorted(hits)
-        parts = selector.split()
-        out = []
-        for i, el in enumerate(self.els):
-            if not _simple_match(el, parts[-1]):
-                continue
-            if len(parts) == 2 and not any(_simple_match(self.els[a], parts[0]) for a in self._ancestors(i)):
-                continue
-            out.append(i)
-        return out
+        *outer, last = selector.split()
+        return [i for i, el in enumerate(self.els) if _simple_match(el, last) and self._within(i, outer)]
+
+    def _within(self, i, steps: list[str]) -> bool:
+        """Whether ancestors of ``i``, from the inside out, match the steps
+        (taking the nearest match of each step loses nothing)."""
+        left = len(steps)
+        for a in self._ancestors(i):
+            if not left:
+                break
+            if _simple_match(self.els[a], steps[left - 1]):
+                left -= 1
+        return not left
 
     def _descendant(self, i, root) -> bool:
         return any(a == root for a in self._ancestors(i))
@@ -160,14 +166,17 @@ class Page:
         return None
 
 
-def page_title(page: Page, selectors: list[str]) -> str | None:
-    """First non-empty trimmed text among the selectors, then og:title."""
-    for sel in selectors:
-        hits = page.select(sel)
-        if hits:
-            t = page.text(hits[0]).strip(JS_WS)
-            if t:
-                return t
+def page_title(page: Page, selectors: list[str], scope: str | None = None) -> str | None:
+    """First non-empty trimmed text among the selectors, then og:title.  With
+    a ``scope``, the selectors are first tried inside its first match."""
+    roots = page.select(scope)[:1] if scope else []
+    for root in [*roots, None]:
+        for sel in selectors:
+            hits = [i for i in page.select(sel) if root is None or page._descendant(i, root)]
+            if hits:
+                t = page.text(hits[0]).strip(JS_WS)
+                if t:
+                    return t
     og = page.meta_content("og:title")
     og = og.strip(JS_WS) if og else None
     return og or None
@@ -175,37 +184,32 @@ def page_title(page: Page, selectors: list[str]) -> str | None:
 
 def main_content(page: Page, selectors: list[str], strip: list[str], fallback: list[str],
                  fallback_strip: list[str]) -> str | None:
-    for sel in selectors:
-        hits = page.select(sel)
-        if hits:
-            return page.inner_html(hits[0], strip)
-    for sel in fallback:
-        hits = page.select(sel)
-        if hits:
-            html = page.inner_html(hits[0], fallback_strip)
-            if html:
-                return html
+    """The inside of the first container found; an empty one, or none, hands
+    over to the fallback containers."""
+    for group, cut in ((selectors, strip), (fallback, fallback_strip)):
+        for sel in group:
+            hits = page.select(sel)
+            if hits:
+                html = page.inner_html(hits[0], cut)
+                if html:
+                    return html
+                break
     return None
 
 
+def all_links(page: Page) -> list[str]:
+    """Every ``a[href]``."""
+    return [page.els[i]["attrs"]["href"] for i in page.select("a") if page.els[i]["attrs"].get("href") is not None]
+
+
 def heading_links(page: Page, heading: str) -> list[str]:
     """Links that contain a ``heading`` element (``a:has(h3)`` form)."""
-    out = []
-    for i in page.select("a"):
-        href = page.els[i]["attrs"].get("href")
-        if href is None:
-            continue
-        if any(page._descendant(j, i) for j in page.select(heading)):
-            out.append(href)
-    return out
+    holders = {a for h in page.select(heading) for a in page._ancestors(h)}
+    return [page.els[i]["attrs"]["href"] for i in page.select("a") if i in holders and page.els[i]["attrs"].get("href") is not None]
 
 
 def links_under(page: Page, selector: str) -> list[str]:
     """``selector a`` form: anchors inside the matched elements."""
-    out = []
-    roots = page.select(selector)
-    for i in page.select("a"):
-        href = page.els[i]["attrs"].get("href")
-        if href is not None and any(page._descendant(i, r) for r in roots):
-            out.append(href)
-    return out
+    roots = set(page.select(selector))
+    return [page.els[i]["attrs"]["href"] for i in page.select("a")
+            if page.els[i]["attrs"].get("href") is not None and any(a in roots for a in page._ancestors(i))]

@@ -19,13 +19,16 @@ from lodestar.functions.text import js_trim
 FENCE = "```"
 
 
+PROMPT_HEAD = "Extract the listing fields from this page.\n\nPage title: "
+PROMPT_URL, PROMPT_HTML = "\nSource URL: ", "\n\n<html>\n"
+PROMPT_CUT, PROMPT_END = "\n[HTML TRUNCATED]", "\n</html>\n\nReturn only the JSON object."
+
+
 def prompt(title="title", url="url", html="content", limit: int = PROMPT_HTML_MAX) -> Column:
     """Request text; HTML over 50,000 chars is cut and marked."""
     h = F.col(html)
-    body = F.when(F.length(h) > limit, F.concat(F.substring(h, 1, limit), F.lit("\n[HTML TRUNCATED]"))).otherwise(h)
-    return F.concat(F.lit("Extract the listing fields from this page.\n\nPage title: "), F.col(title),
-                    F.lit("\nSource URL: "), F.col(url), F.lit("\n\n<html>\n"), body,
-                    F.lit("\n</html>\n\nReturn only the JSON object."))
+    body = F.when(F.length(h) > limit, F.concat(F.substring(h, 1, limit), F.lit(PROMPT_CUT))).otherwise(h)
+    return F.concat(F.lit(PROMPT_HEAD), F.col(title), F.lit(PROMPT_URL), F.col(url), F.lit(PROMPT_HTML), body, F.lit(PROMPT_END))
 
 
 def strip_fence(raw="raw_response") -> Column:

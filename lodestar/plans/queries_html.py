@@ -20,8 +20,16 @@ def _sq(s):
 
 HOST = f"lower(regexp_extract(url, '{_sq(H.HOST_RE)}', 1))"
 _CATS = "[" + ", ".join(f"'{c}'" for c in H.GENERIC_CATEGORIES) + "]"
-_RAW_LINKS = f"""raw AS (SELECT page_id, url, unnest(l) AS href, unnest(range(0, len(l))) AS position
-  FROM (SELECT page_id, url, regexp_extract_all(html, '{_sq(H.HREF_RE)}', 1) AS l FROM pages))"""
+def _decoded_sql(x):
+    x = f"regexp_replace({x}, '^[\"'']|[\"'']$', '', 'g')"
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&#x27;", "''"), ("&#38;", "&"), ("&amp;", "&")):
+        x = f"replace({x}, '{entity}', '{char}')"
+    return x
+
+
+_RAW_LINKS = f"""raw AS (SELECT page_id, url, {_decoded_sql('v')} AS href, position FROM (
+  SELECT page_id, url, unnest(l) AS v, unnest(range(0, len(l))) AS position
+  FROM (SELECT page_id, url, regexp_extract_all(regexp_replace(html, '{_sq(H.DEAD_RE)}', ' ', 'g'), '{_sq(H.HREF_RE)}', 1) AS l FROM pages)))"""
 
 
 @register("h1_seed_urls", f"""
@@ -48,7 +56,10 @@ def h3_resolve_url(spark, sf_dir):
 
 @register("h4_canonical_url", """
 SELECT page_id,
-  regexp_replace(regexp_replace(url, '([?&])ref=[^&#]*&', '\\1', 'g'), '[?&]ref=[^&#]*(#.*|)$', '\\1', 'g') AS drop_ref,
+  CASE WHEN NOT contains(split_part(url, '#', 1), '?') THEN url ELSE split_part(url, '?', 1) || (
+    SELECT CASE WHEN len(k) > 0 THEN '?' || array_to_string(k, '&') ELSE '' END FROM (SELECT list_filter(
+      string_split(regexp_extract(split_part(url, '#', 1), '\\?(.*)$', 1), '&'),
+      lambda x: split_part(x, '=', 1) <> 'ref' AND x <> '') AS k)) || regexp_extract(url, '(#.*)$', 1) END AS drop_ref,
   regexp_replace(url, '\\?[^#]*', '', 'g') AS drop_query,
   CASE WHEN ends_with(url, '/') THEN url ELSE url || '/' END AS trailing_slash
 FROM pages""")
@@ -60,7 +71,7 @@ def h4_canonical_url(spark, sf_dir):
 
 
 _PATH = f"regexp_extract(href_abs, '{_sq(H.PATH_RE)}', 1)"
-_EXCL = "(" + ", ".join(f"'{x}'" for x in H.EXCLUDED_PREFIXES) + ")"
+_EXCL = "[" + ", ".join(f"'{x}'" for x in H.EXCLUDED_PREFIXES) + "]"
 
 
 @register("h5_h6_link_rules", V.with_views(extra=[_RAW_LINKS,
@@ -68,9 +79,9 @@ _EXCL = "(" + ", ".join(f"'{x}'" for x in H.EXCLUDED_PREFIXES) + ")"
     f"s AS (SELECT *, list_filter(string_split({_PATH}, '/'), lambda x: x <> '') AS segs FROM a)"]) + f"""
 SELECT page_id, position,
   contains(lower(regexp_extract(href_abs, '{_sq(H.HOST_RE)}', 1)), {HOST}) AS same_site,
-  regexp_matches({_PATH}, '^/[0-9]{{4}}/[0-9]{{2}}/[0-9]{{2}}/[^/]+/?$') AS date_path,
-  regexp_matches({_PATH}, '^/[0-9]+/[^/]+/?$') AS numeric_path,
-  coalesce(len(segs) = 1 AND lower(segs[1]) NOT IN {_EXCL}, false) AS single_segment
+  regexp_matches(href_abs, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/[0-9]{{4}}/[0-9]{{2}}/[0-9]{{2}}/[^/?#]+/?$') AS date_path,
+  regexp_matches(href_abs, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/[0-9]+/[^/?#]+/?$') AS numeric_path,
+  coalesce(len(segs) = 1 AND len(list_filter({_EXCL}, lambda p: starts_with(lower(segs[1]), p))) = 0, false) AS single_segment
 FROM s""")
 def h5_h6_link_rules(spark, sf_dir):
     links = H.extract_links(_pages(spark, sf_dir))

@@ -39,8 +39,11 @@ def s9_dry_run(spark, sf_dir):
 
 @register("r5_run_summary")
 def r5_run_summary(spark, sf_dir):
-    res = jobs.ingest(spark, sf_dir)["results"]
-    return render.run_summary(res, F.lit(754321))
+    from lodestar.sources import views
+    clock = views.fetch_clock(spark, sf_dir)
+    res = jobs.ingest(spark, sf_dir, started=clock)["results"]
+    ms = clock.agg((F.unix_timestamp(F.max("completed_at").cast("timestamp")) - F.unix_timestamp(F.min("started_at").cast("timestamp"))).alias("s")).first()
+    return render.run_summary(res, F.lit((ms["s"] or 0) * 1000))
 
 
 @register("r6_failure_alert")
@@ -54,7 +57,15 @@ def r6_failure_alert(spark, sf_dir):
 
 @register("s7_run_log")
 def s7_run_log(spark, sf_dir):
-    return jobs.ingest(spark, sf_dir)["runs"]
+    from lodestar.sources import views
+    return jobs.ingest(spark, sf_dir, started=views.fetch_clock(spark, sf_dir))["runs"]
+
+
+@register("c2_second_run")
+def c2_second_run(spark, sf_dir):
+    """A second ingest over what the first one stored: nothing is new."""
+    stored = jobs.ingest(spark, sf_dir)["upserted"].checkpoint()
+    return jobs.ingest(spark, sf_dir, target=stored)["results"]
 
 
 from lodestar.plans.queries_text import _card_sql, _post_sql  # noqa: E402
@@ -77,6 +88,20 @@ def c3_daily_distribution(spark, sf_dir):
     return jobs.daily_distribution(spark, sf_dir)["outbox"]
 
 
+_SECOND = f"""SELECT id AS opportunity_id, CAST(row_number() OVER (ORDER BY completeness_score DESC, created_at DESC, id) AS INTEGER) - 8 AS seq
+  FROM opportunities o WHERE status = 'active' AND created_at >= {V.as_of()} - INTERVAL 48 HOUR
+    AND (deadline IS NULL OR deadline >= CAST({V.as_of()} AS DATE))
+    AND NOT EXISTS (SELECT 1 FROM distribution_log l WHERE l.channel = 'telegram' AND l.opportunity_id = o.id)
+  QUALIFY seq BETWEEN 1 AND 8"""
+
+
+@register("c3_second_run", V.with_views("opportunities", "distribution_log") + _SECOND)
+def c3_second_run(spark, sf_dir):
+    """A daily run of 8 posts after another: the next picks, none of the first ones."""
+    log = jobs.daily_distribution(spark, sf_dir, limit=8)["log"].checkpoint()
+    return jobs.daily_distribution(spark, sf_dir, log=log, limit=8)["outbox"].where("seq > 0").select("opportunity_id", "seq")
+
+
 @register("s8_outbox", _post_sql("ranked", ("opportunities", "distribution_log"), [_W1_FULL],
                                   "SELECT channel, seq, opportunity_id FROM (" + _HEADER
                                   + " UNION ALL SELECT 'telegram', rank, id, body FROM bodies)"))
@@ -92,9 +117,11 @@ _W1 = f"""picks_ AS (SELECT id FROM opportunities o
 
 
 @register("a7_distribution_counts", V.with_views("opportunities", "distribution_log", extra=[_W1]) + """
-SELECT count(*) AS posted, 0 AS failed, 0 AS skipped FROM picks_""")
+SELECT count(CASE WHEN e.value <= 400 THEN 1 END) AS posted, count(CASE WHEN e.value > 400 THEN 1 END) AS failed,
+  count(*) - count(e.value) AS skipped FROM picks_ LEFT JOIN events e ON 'doc-' || CAST(e.event_id AS VARCHAR) = picks_.id""")
 def a7_distribution_counts(spark, sf_dir):
-    return jobs.daily_distribution(spark, sf_dir)["counts"]
+    from lodestar.sources import views
+    return jobs.daily_distribution(spark, sf_dir, outcomes=views.send_outcomes(spark, sf_dir))["counts"]
 
 
 _W2 = f"""wk AS (SELECT id FROM opportunities

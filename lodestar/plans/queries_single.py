@@ -61,7 +61,7 @@ def f18_summary_or_description(spark, sf_dir):
 @register("h6_detail_pattern", V.with_views(extra=[_RAW_LINKS,
     "a AS (SELECT page_id, position, CASE WHEN starts_with(href, '/') THEN regexp_extract(url, '^([^/?#]*//[^/?#]*)', 1) || href ELSE href END AS href_abs FROM raw)",
     f"s AS (SELECT *, list_filter(string_split({_PATH}, '/'), lambda x: x <> '') AS segs FROM a)"]) + f"""
-SELECT page_id, position FROM s WHERE coalesce(len(segs) = 1 AND lower(segs[1]) NOT IN {_EXCL}, false)""")
+SELECT page_id, position FROM s WHERE coalesce(len(segs) = 1 AND len(list_filter({_EXCL}, lambda p: starts_with(lower(segs[1]), p))) = 0, false)""")
 def h6_detail_pattern(spark, sf_dir):
     links = H.extract_links(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
     absu = F.when(F.col("href").startswith("/"),
@@ -90,27 +90,3 @@ def h11_strip_boilerplate(spark, sf_dir):
     c = H.page_content(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
     left = F.col("content").rlike(r"(?i)<(script|style|iframe|nav|form)[\s>]|class=\"(ad|advertisement)\"")
     return c.select("page_id", F.coalesce(left, F.lit(False)).alias("boilerplate_left"))
-
-
-def _validated(spark, sf_dir):
-    pages = H.scraped_pages(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
-    return X.validate(X.responses_from_pages(pages))
-
-
-@register("x3_parse_json")
-def x3_parse_json(spark, sf_dir):
-    v = _validated(spark, sf_dir)
-    return v.select("page_id", F.coalesce(F.col("error").startswith("JSON parse failed"), F.lit(False)).alias("parse_failed"))
-
-
-@register("x4_validate")
-def x4_validate(spark, sf_dir):
-    v = _validated(spark, sf_dir)
-    return v.select("page_id", F.col("extraction.type").alias("type"), F.col("extraction.regions").alias("regions"),
-                    F.col("extraction.deadline").alias("deadline"), F.col("extraction.application_url").alias("application_url"))
-
-
-@register("x5_issues")
-def x5_issues(spark, sf_dir):
-    v = _validated(spark, sf_dir)
-    return v.where(F.col("error").startswith("Validation failed")).select("page_id", "error")

@@ -1,35 +1,62 @@
-"""Run the scheduled jobs and write their tables (the sinks).
+"""Run the scheduled jobs over stored tables (the sinks).
 
-Each output is written as parquet under ``out_dir`` (a shared folder on a
-cluster); a dry run (S9) builds every plan but writes nothing.
+Every stored table is a folder of versions, ``out_dir/<table>/v=00000007``.  A
+job reads the newest complete version (the tables of ``sf_dir`` before there
+is one) and writes the next; what was read is never overwritten.  A dry run
+(S9) builds every plan but writes nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.constants import AS_OF
 from lodestar.operators.store import write_table
 from lodestar.plans import jobs
 
 
-def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, as_of: str = AS_OF, dry_run: bool = False) -> dict:
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The complete versions below ``path``, on any store that Spark reads."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return []
+    names = [s.getPath() for s in fs.listStatus(at)]
+    done = [p.getName() for p in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(n[2:]) for n in done if n.startswith("v="))
+
+
+def newest(spark: SparkSession, path: str) -> DataFrame | None:
+    found = versions(spark, path)
+    return spark.read.parquet(f"{path}/v={found[-1]:08d}") if found else None
+
+
+def write_next(df: DataFrame, path: str, dry_run: bool = False) -> bool:
+    """Write the version after the newest; a half-written one is replaced."""
+    found = versions(df.sparkSession, path)
+    return write_table(df, f"{path}/v={(found[-1] + 1 if found else 1):08d}", dry_run)
+
+
+def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, as_of: str, dry_run: bool = False,
+              outcomes: DataFrame | None = None) -> dict:
     """Outbox rows, the appended log and the counts."""
-    out = jobs.daily_distribution(spark, sf_dir, as_of)
-    written = {name: write_table(out[name], f"{out_dir}/daily/{name}", dry_run) for name in ("outbox", "log", "counts")}
+    out = jobs.daily_distribution(spark, sf_dir, as_of, newest(spark, f"{out_dir}/listings"), newest(spark, f"{out_dir}/log"), outcomes)
+    written = {name: write_next(out[name], f"{out_dir}/{table}", dry_run)
+               for name, table in (("outbox", "daily_outbox"), ("counts", "daily_counts"), ("log", "log"))}
     return {"written": written, "report": out["report"]}
 
 
-def run_weekly(spark: SparkSession, sf_dir: str, out_dir: str, as_of: str = AS_OF, dry_run: bool = False) -> dict:
+def run_weekly(spark: SparkSession, sf_dir: str, out_dir: str, as_of: str, dry_run: bool = False) -> dict:
     """C4: digest outbox row and the appended log."""
-    out = jobs.weekly_digest(spark, sf_dir, as_of)
-    written = {name: write_table(out[name], f"{out_dir}/weekly/{name}", dry_run) for name in ("outbox", "log")}
+    out = jobs.weekly_digest(spark, sf_dir, as_of, f"digest-{as_of[:10]}", newest(spark, f"{out_dir}/listings"), newest(spark, f"{out_dir}/log"))
+    written = {name: write_next(out[name], f"{out_dir}/{table}", dry_run) for name, table in (("outbox", "weekly_outbox"), ("log", "log"))}
     return {"written": written, "report": out["report"]}
 
 
-def run_ingest(spark: SparkSession, sf_dir: str, out_dir: str, as_of: str = AS_OF, dry_run: bool = False) -> dict:
-    """The upserted listings table, run records and review flags."""
-    out = jobs.ingest(spark, sf_dir, as_of=as_of, dry_run=dry_run)
-    written = {name: write_table(out[name], f"{out_dir}/ingest/{name}", dry_run)
-               for name in ("upserted", "runs", "flags")}
+def run_ingest(spark: SparkSession, sf_dir: str, out_dir: str, as_of: str, dry_run: bool = False, **options) -> dict:
+    """The upserted listings table, run records and review flags.
+    ``options`` are those of ``jobs.ingest`` (responses, sources, ...)."""
+    out = jobs.ingest(spark, sf_dir, newest(spark, f"{out_dir}/listings"), as_of, dry_run, **options)
+    written = {name: write_next(out[name], f"{out_dir}/{table}", dry_run)
+               for name, table in (("runs", "runs"), ("flags", "flags"), ("upserted", "listings"))}
     return {"written": written, "results": out["results"]}

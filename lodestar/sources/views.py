@@ -213,3 +213,24 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "eligibility_text", F.date_format("deadline", "yyyy-MM-dd").alias("deadline"), "is_rolling",
                     "funding_amount", "is_fully_funded", "organization", "application_url")
     return it.select(F.col("doc_id").alias("page_id"), F.to_json(body).alias("raw_response"))
+
+
+def send_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the sender reported per listing: the event with the listing's
+    number; values above 400 are failures, listings without one were skipped."""
+    e = read_table(spark, sf_dir, "events", ["event_id", "value"])
+    return e.select(F.concat(F.lit("doc-"), _s(F.col("event_id"))).alias("opportunity_id"),
+                    F.when(F.col("value") > 400.0, "failed").otherwise("sent").alias("status"), _s(F.col("event_id")).alias("external_id"))
+
+
+def fetch_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When each source's fetch began and ended, and its first error: the
+    events of user n belong to the source whose first page is page n."""
+    from lodestar.operators.html import host
+    sites = read_table(spark, sf_dir, "pages", ["page_id", "url"]).groupBy(host("url").alias("source_site")).agg(F.min("page_id").alias("n"))
+    e = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
+    per = e.groupBy(F.col("user_id").alias("n")).agg(
+        F.min("ts").alias("started_at"), F.max("ts").alias("completed_at"),
+        F.min(F.when(F.col("event_type") == "error", F.col("event_id"))).alias("err"))
+    return sites.join(per, "n").select("source_site", "started_at", "completed_at",
+                                       F.concat(F.lit("event "), _s(F.col("err"))).alias("error_message"))

@@ -18,7 +18,7 @@ PAGE = """<html><head><meta property="og:title" content="OG T"><script>var x="</
 def test_parser_title_content_links():
     page = hp.Page(PAGE)
     assert hp.page_title(page, H.TITLE_SELECTORS) == "Main  Title"
-    content = hp.main_content(page, H.CONTENT_SELECTORS, H.STRIP_SELECTORS, H.FALLBACK_SELECTORS, H.FALLBACK_STRIP)
+    content = hp.main_content(page, ["div.entry-content"], H.STRIP_SELECTORS, H.FALLBACK_SELECTORS, H.FALLBACK_STRIP)
     assert "Body &amp; text" in content and "more" in content
     assert "buy" not in content and "bad()" not in content
     assert hp.heading_links(page, "h3") == ["/a1"]
@@ -97,3 +97,83 @@ def test_scrape_stats_status_rule(spark):
     assert st["ok.example.org"] == (2, 0, "success")
     assert st["mixed.example.org"] == (1, 1, "partial")
     assert st["down.example.org"] == (0, 2, "failed")
+
+
+def test_selector_engine():
+    page = hp.Page('<nav><ul class="nope"><li>n</li></ul></nav><div><ul class="nope"><li>d</li></ul></div>'
+                   '<div class="entry-content scholarship-item"><h2>Name</h2>text</div><div class="entry-content">x</div>')
+    assert [page.text(i) for i in page.select("nav ul.nope li")] == ["n"]
+    assert [page.text(i) for i in page.select("div.entry-content.scholarship-item")] == ["Nametext"]
+    assert hp.page_title(page, ["h2", "h1"], "div.entry-content.scholarship-item") == "Name"
+
+
+def test_native_links_equal_the_parser(spark):
+    html = ('<a data-href="/no" href="/good?a=1&amp;b=2">x</a><!-- <a href="/commented">c</a> --><a href=/unq>u</a>'
+            "<script>var s='<a href=\"/script\">';</script><A class=k HREF = '/single'>s</A><a>none</a><area href='/area'><abbr href=\"/b\">")
+    pages = spark.createDataFrame([(1, "https://h.org/", html)], "page_id long, url string, html string")
+    got = [r.href for r in H.extract_links(pages).orderBy("position").collect()]
+    assert got == ["/good?a=1&b=2", "/unq", "/single"] == hp.all_links(hp.Page(html))
+
+
+def test_every_ref_is_dropped_and_the_fragment_kept(spark):
+    urls = ["http://h/p?ref=a&ref=b&x=1", "http://h/p?ref", "http://h/p#a&ref=b", "http://h/p?xref=1&ref=2#f?ref=3", "http://h/p?a=1"]
+    df = spark.createDataFrame([(u,) for u in urls], "u string").select(H.canonical_drop_ref("u").alias("r"))
+    assert [r.r for r in df.collect()] == ["http://h/p?x=1", "http://h/p", "http://h/p#a&ref=b", "http://h/p?xref=1#f?ref=3", "http://h/p?a=1"]
+
+
+def test_excluded_prefixes_are_prefixes(spark):
+    df = spark.createDataFrame([("https://h.org/about-us",), ("https://h.org/grant-2026",), ("https://h.org/2024/01/02/s/?x=1",)], "u string")
+    r = df.select(H.detail_single_segment("u").alias("s"), H.detail_date_path("u").alias("d")).collect()
+    assert [x.s for x in r[:2]] == [False, True] and not r[2].d
+
+
+def test_found_is_counted_before_the_cap(spark):
+    html = "".join(f'<a href="/post-{i}">p</a>' for i in range(60))
+    pages = spark.createDataFrame([(1, "https://s.org/category/x/", html), (2, "https://s.org/category/y/", html[:200])], "page_id long, url string, html string")
+    links = H.detail_links(pages)
+    assert links.where("page_id = 1").count() == 50 and links.where("page_id = 1").first().found == 60
+    extra = links.where("page_id = 2").first().found
+    assert H.scrape_stats(pages).first().found == 60 + extra
+    prof = spark.createDataFrame([("s.org", 7)], "source_site string, max_links int")
+    assert H.detail_links(pages, prof).where("page_id = 1").count() == 7
+
+
+def test_broken_markup_is_an_error_of_its_page(monkeypatch):
+    def broken(self, data):
+        self.handle_starttag("h1", [])
+        raise AssertionError("bad markup")
+    monkeypatch.setattr(hp._Index, "feed", broken)
+    page = hp.Page("<h1>t</h1>")
+    assert page.error == "AssertionError: bad markup" and hp.Page("x").select("h1") == [0]
+
+
+def test_profiles_of_five_kinds_of_site(spark):
+    """Seeds, link forms, canonical forms, detail rules and titles are rows of data."""
+    names = ("source_site string, base_url string, domain string, categories array<string>, index_pages int, page_form string, link_rule string, "
+             "link_arg string, canonical string, detail_rule string, title_scope string, title_selectors array<string>, content_selectors array<string>")
+    prof = spark.createDataFrame([
+        ("www.a.org", "https://www.a.org", "a.org", ["/browse"], 3, "plain", "heading_link", "h3", "drop_ref", "any", None, ["h1"], [".post"]),
+        ("b.org", "https://b.org", "b.org", ["/", "/x/"], 5, "folder", "any", None, "trailing_slash", "date_path", None, ["h1"], [".post"]),
+        ("c.org", "https://c.org", "c.org", ["/category/g/", "/category/f/"], 4, "folder", "under", "article.l-post h2", "drop_query", "any", None, ["h1"], [".post"]),
+        ("d.org", "https://d.org", "d.org", ["/grants/", "/jobs/"], 4, "folder", "any", None, "trailing_slash", "numeric_path", None, ["h1"], [".post"]),
+        ("e.org", "https://e.org", "e.org", ["/latest"], 2, "query", "under", "div.card h5.title", "drop_query", "single_segment", "div.entry.item", ["h2", "h1"], ["div.entry.item"])],
+        names)
+    seeds = {}
+    for r in H.seed_urls(prof).orderBy("source_site", "cat_pos", "page_no").collect():
+        seeds.setdefault(r.source_site, []).append(r.url)
+    assert sum(map(len, seeds.values())) == 31
+    assert seeds["www.a.org"] == ["https://www.a.org/browse", "https://www.a.org/browse/page/2", "https://www.a.org/browse/page/3"]
+    assert seeds["b.org"][:2] == ["https://b.org/", "https://b.org/page/2/"] and seeds["e.org"] == ["https://e.org/latest", "https://e.org/latest?page=2"]
+    html = ('<a href="https://a.org/o?ref=browse&k=1"><h3>t</h3></a><a href="/2024/01/02/slug">s</a><article class="l-post big"><h2><a href="/deep?utm=1">d</a></h2></article>'
+            '<a href="/77/item">n</a><div class="card x"><h5 class="title"><a href="/one-2026?u=1">c</a><a href="/about-us">a</a></h5></div>')
+    pages = spark.createDataFrame([(i, f"https://{h}/index", html) for i, h in enumerate(["www.a.org", "b.org", "c.org", "d.org", "e.org"])],
+                                  "page_id long, url string, html string")
+    got = {}
+    for r in H.detail_links(pages, prof).collect():
+        got.setdefault(r.page_id, []).append(r.link)
+    assert got == {0: ["https://a.org/o?k=1"], 1: ["https://b.org/2024/01/02/slug/"], 2: ["https://c.org/deep"],
+                   3: ["https://d.org/77/item/"], 4: ["https://e.org/one-2026"]}
+    body = '<h1>Head</h1><div class="item entry"><h2>Scoped</h2><nav>n</nav>text</div>'
+    c = H.page_content(spark.createDataFrame([(1, "https://e.org/x", body), (2, "https://b.org/x", body)], "page_id long, url string, html string"), prof)
+    got = {r.page_id: (r.title, r.content) for r in c.collect()}
+    assert got == {1: ("Scoped", "<h2>Scoped</h2>text"), 2: ("Head", None)}
