@@ -53,20 +53,22 @@ MIN_CONTENT_CHARS = 100
 ERROR_CLIP = 500
 DEFAULT_PAGE_SIZE = 20
 
-# Rendering tables (message emoji per type; the weekly card differs for job).
+# FIXED VALUES (message format): one emoji per listing type, and the fallback.
 POST_EMOJI = {"scholarship": "🎓", "fellowship": "🔬", "grant": "💰",
               "internship": "💼", "conference": "🎤", "competition": "🏆",
               "training": "📚", "job": "💼"}
-CARD_EMOJI = dict(POST_EMOJI, job="👔")
 FALLBACK_EMOJI = "📌"
-# Badge (background, text colour) per type, and the fallback.
-CARD_BADGE = {"scholarship": ("#DBEAFE", "#1E40AF"), "fellowship": ("#EDE9FE", "#5B21B6"),
-              "grant": ("#D1FAE5", "#065F46"), "internship": ("#FEF3C7", "#92400E"),
-              "conference": ("#CCFBF1", "#115E59"), "competition": ("#FFE4E6", "#9F1239"),
-              "training": ("#E0E7FF", "#3730A3"), "job": ("#FFEDD5", "#9A3412")}
-FALLBACK_BADGE = ("#F1F5F9", "#475569")
-URGENT_COLOUR = "#DC2626"
-CALM_COLOUR = "#64748B"
+
+# Our own card look: the message emoji, and badges (background, text colour)
+# from a palette of ours.
+CARD_EMOJI = POST_EMOJI
+CARD_BADGE = {"scholarship": ("#E8F1E4", "#2F5D1E"), "fellowship": ("#F3E9F7", "#5E2B73"),
+              "grant": ("#FBF3D9", "#6B5208"), "internship": ("#E2F0F4", "#174F5F"),
+              "conference": ("#F8E6E1", "#73301C"), "competition": ("#EAEAF8", "#33337A"),
+              "training": ("#EFEFEA", "#4A4A38"), "job": ("#E0EFEA", "#14573F")}
+FALLBACK_BADGE = ("#EEEEEE", "#444444")
+URGENT_COLOUR = "#B3261E"
+CALM_COLOUR = "#5F6B6B"
 
 # Evaluation instant used wherever the pipeline would read the clock.
 AS_OF = "2024-01-31 00:00:00"

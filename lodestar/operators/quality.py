@@ -3,20 +3,19 @@ referential checks (Q1–Q7, P4–P6, J6, J7)."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.constants import (EDUCATION_LEVELS, LOG_STATUSES, RUN_STATUSES, SCAM_RISK_LEVELS,
                                 STATUSES, TYPES, VERIFICATION_LEVELS)
 
-# FIXED VALUES: English stop words dropped from the search postings (our fixed
-# list, in place of the database's 'english' dictionary; no stemming).
+# FIXED VALUES: the public English stop list of PostgreSQL's full-text search
+# (english.stop, the list NLTK also ships), for the database's 'english'
+# dictionary; no stemming.
 STOP_WORDS = [
     "a", "about", "above", "after", "again", "against", "all", "am", "an", "and", "any", "are", "as",
     "at", "be", "because", "been", "before", "being", "below", "between", "both", "but", "by", "can",
-    "did", "do", "does", "doing", "down", "during", "each", "few", "for", "from", "further", "had",
+    "did", "do", "does", "doing", "don", "down", "during", "each", "few", "for", "from", "further", "had",
     "has", "have", "having", "he", "her", "here", "hers", "herself", "him", "himself", "his", "how",
     "i", "if", "in", "into", "is", "it", "its", "itself", "just", "me", "more", "most", "my", "myself",
     "no", "nor", "not", "now", "of", "off", "on", "once", "only", "or", "other", "our", "ours",
@@ -29,10 +28,9 @@ STOP_WORDS = [
 
 
 def _violations(df: DataFrame, table: str, key: str, rules: dict[str, Column]) -> DataFrame:
-    parts = [df.where(~F.coalesce(cond, F.lit(True)))
-             .select(F.lit(table).alias("table_name"), F.lit(name).alias("rule"), F.col(key).cast("string").alias("row_key"))
-             for name, cond in rules.items()]
-    return reduce(DataFrame.unionByName, parts)
+    """All broken rules of a table in one pass over its rows."""
+    broken = F.array_compact(F.array(*[F.when(~F.coalesce(cond, F.lit(True)), F.lit(name)) for name, cond in rules.items()]))
+    return df.select(F.lit(table).alias("table_name"), F.explode(broken).alias("rule"), F.col(key).cast("string").alias("row_key"))
 
 
 def check_rules(opps: DataFrame, profiles: DataFrame, log: DataFrame, runs: DataFrame | None = None) -> DataFrame:
@@ -51,9 +49,14 @@ def check_rules(opps: DataFrame, profiles: DataFrame, log: DataFrame, runs: Data
     return out
 
 
+def required(df: DataFrame, table: str, key: str, columns: list[str]) -> DataFrame:
+    """Q2 of one table: rows with a NULL in a required column."""
+    return _violations(df, table, key, {f"{c} not null": F.col(c).isNotNull() for c in columns})
+
+
 def not_null_rules(opps: DataFrame, log: DataFrame, flags: DataFrame, runs: DataFrame | None = None) -> DataFrame:
     """Q2: rows with a NULL in a NOT NULL column."""
-    nn = lambda df, t, k, cols: _violations(df, t, k, {f"{c} not null": F.col(c).isNotNull() for c in cols})
+    nn = required
     out = (nn(opps, "opportunities", "id", ["title", "slug", "type", "source_url", "source_site"])
            .unionByName(nn(log, "distribution_log", "id", ["channel"]))
            .unionByName(nn(flags, "flagged_listings", "id", ["flag_reason"])))
@@ -84,32 +87,31 @@ def _tagged(col: str, weight: str) -> Column:
     return F.transform(terms(F.col(col)), lambda t: F.struct(t.alias("term"), F.lit(weight).alias("weight")))
 
 
-def raw_postings(opps: DataFrame) -> DataFrame:
-    """(id, term, weight) per token occurrence, one explode per row over the
-    concatenated title (A), description (B) and organization (C) tokens."""
-    tagged = F.concat(_tagged("title", "A"), _tagged("description", "B"), _tagged("organization", "C"))
-    p = opps.select("id", F.inline(tagged))
-    return p.where(~F.col("term").isin(*STOP_WORDS))
-
-
 def weighted_postings(opps: DataFrame) -> DataFrame:
     """Q5: (id, term, weight, tf): title = A, description = B, organization = C;
-    a term keeps its best weight; stop words dropped (a fixed 127-word list,
-    evaluated as an in-set predicate, no join)."""
-    return (raw_postings(opps).groupBy("id", "term")
-            .agg(F.min("weight").alias("weight"), F.count(F.lit(1)).alias("tf")))
+    a term keeps its best weight; stop words are dropped.
 
-
-def text_search(postings: DataFrame, query: str) -> DataFrame:
-    """Q6: ids whose postings hold every query term (no ranking).  The query
-    terms are a literal in-set filter, so it is applied right after the
-    explode, below any aggregation."""
+    ``id`` is unique, so a posting never spans rows: each row sorts its tagged
+    tokens, and every run of equal terms is one posting.  No shuffle."""
+    tagged = F.concat(_tagged("title", "A"), _tagged("description", "B"), _tagged("organization", "C"))
+    tokens = F.array_sort(F.filter(tagged, lambda t: ~t["term"].isin(*STOP_WORDS)))
+    t = F.col("_t")
+    starts = F.filter(F.sequence(F.lit(0), F.size(t) - 1), lambda i: (i == 0) | (t[i]["term"] != t[i - 1]["term"]))
+    ends = F.concat(F.slice("_s", F.lit(2), F.size("_s")), F.array(F.size(t)))
+    runs = F.transform(F.arrays_zip(F.col("_s").alias("s"), F.col("_e").alias("e")), lambda z: F.struct(
+        t[z["s"]]["term"].alias("term"), t[z["s"]]["weight"].alias("weight"), (z["e"] - z["s"]).cast("long").alias("tf")))
+    return (opps.select("id", F.explode(F.array(tokens)).alias("_t")).where(F.size("_t") > 0)
+            .withColumn("_s", starts).withColumn("_e", ends).select("id", F.inline(runs)))
+
+
+def text_search(opps: DataFrame, query: str) -> DataFrame:
+    """Q6: ids of the rows whose title, description and organization together
+    hold every query term (no ranking); a map-only filter."""
     q = [t for t in dict.fromkeys(_py_terms(query)) if t not in STOP_WORDS]
     if not q:
-        return postings.select("id").where(F.lit(False))
-    return (postings.where(F.col("term").isin(*q))
-            .groupBy("id").agg(F.count_distinct("term").alias("n"))
-            .where(F.col("n") == len(q)).select("id"))
+        return opps.select("id").where(F.lit(False))
+    held = opps.select("id", F.explode(F.array(F.concat(*[terms(F.col(c)) for c in ("title", "description", "organization")]))).alias("_t"))
+    return held.where(F.forall(F.array(*[F.lit(x) for x in q]), lambda x: F.array_contains("_t", x))).select("id")
 
 
 def _py_terms(query: str) -> list[str]:

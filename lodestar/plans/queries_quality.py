@@ -35,6 +35,13 @@ def q1_check_rules(spark, sf_dir):
                           views.distribution_log(spark, sf_dir), views.scrape_runs(spark, sf_dir))
 
 
+@register("q2_missing_values", V.with_views("items") + " UNION ALL ".join(
+    _viol("items", "doc_id", "items", f"{c} not null", f"{c} IS NOT NULL") for c in ("organization", "application_url", "funding_amount", "deadline")))
+def q2_missing_values(spark, sf_dir):
+    """The NOT NULL check over extracted items, whose optional columns have gaps."""
+    return qa.required(views.items(spark, sf_dir), "items", "doc_id", ["organization", "application_url", "funding_amount", "deadline"])
+
+
 @register("q2_not_null_rules", V.with_views("opportunities", "distribution_log", "flagged_listings", "scrape_runs") + " UNION ALL ".join(
     [_viol("opportunities", "id", "opportunities", f"{c} not null", f"{c} IS NOT NULL")
      for c in ["title", "slug", "type", "source_url", "source_site"]]
@@ -82,7 +89,7 @@ SEARCH = "src1 ing"
 @register("q6_text_search", V.with_views("opportunities", extra=[_POSTINGS]) + """
 SELECT id FROM postings WHERE term IN ('src1', 'ing') GROUP BY id HAVING count(DISTINCT term) = 2""")
 def q6_text_search(spark, sf_dir):
-    return qa.text_search(qa.raw_postings(views.opportunities(spark, sf_dir)), SEARCH)
+    return qa.text_search(views.opportunities(spark, sf_dir), SEARCH)
 
 
 @register("q7_review_queue", V.with_views("flagged_listings") + "SELECT id, flag_reason FROM flagged_listings WHERE NOT reviewed")

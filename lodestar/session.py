@@ -66,13 +66,16 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names a shared folder there; only when it is unset (tests,
-    local runs) a fresh local folder is created.  The folder is also
-    registered with the SparkContext so ``DataFrame.checkpoint()`` uses it.
+    The cluster names a shared folder there.  Where it is unset, a run in one
+    process (master ``local``) takes a fresh local folder; any other master is
+    an error, as executors could not see the driver's folder.  The folder is
+    also registered with the SparkContext so ``DataFrame.checkpoint()`` uses it.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="lodestar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
     if sc.getCheckpointDir() is None:
