@@ -39,6 +39,11 @@ def item_hash(t: str, u: str) -> str:
     return f"sha256({norm_hash(t)} || '|' || {norm_hash(u)})"
 
 
+def sort_key(x: str) -> str:
+    s = f"trim(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g'))"
+    return f"array_to_string(list_sort(string_split({s}, ' ')), ' ')"
+
+
 def slug(t: str, u: str) -> str:
     s = f"lower({spaces(t)})"
     s = f"regexp_replace({s}, '[^a-z0-9 -]', '', 'g')"
