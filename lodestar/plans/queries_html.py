@@ -49,17 +49,32 @@ def h2_extract_links(spark, sf_dir):
     return H.extract_links(_pages(spark, sf_dir)).select("page_id", "position", "href")
 
 
-@register("h3_resolve_url")
+def _resolved_sql():
+    """Absolute urls of root-relative, absolute and other hrefs that the pages
+    hold; percent-encoding keeps the characters a url may hold as they are."""
+    enc = "url_encode(href)"
+    for code, char in (("2F", "/"), ("2C", ","), ("3F", "?"), ("3D", "="), ("26", "&"), ("23", "#"), ("3A", ":"), ("21", "!"), ("40", "@"),
+                       ("28", "("), ("29", ")"), ("27", "''"), ("2A", "*"), ("2B", "+"), ("3B", ";"), ("24", "$"), ("25", "%")):
+        enc = f"replace({enc}, '%{code}', '{char}')"
+    root = "lower(regexp_extract(url, '^[a-z]+://[^/?#]+'))"
+    return (f"CASE WHEN starts_with(href, '/') THEN {root} || {enc} WHEN regexp_matches(href, '^https?://[^/?#]+$') THEN href || '/' "
+            f"WHEN regexp_matches(href, '^https?://') THEN {enc} END")
+
+
+@register("h3_resolve_url", V.with_views(extra=[_RAW_LINKS]) + f"SELECT page_id, position, {_resolved_sql()} AS link FROM raw WHERE link IS NOT NULL")
 def h3_resolve_url(spark, sf_dir):
     return H.resolve_url(H.extract_links(_pages(spark, sf_dir))).select("page_id", "position", "link")
 
 
+def _drop_ref_sql(u):
+    kept = (f"list_filter(string_split(regexp_extract(split_part({u}, '#', 1), '\\?(.*)$', 1), '&'), "
+            "lambda x: split_part(x, '=', 1) <> 'ref' AND x <> '')")
+    return (f"CASE WHEN NOT contains(split_part({u}, '#', 1), '?') THEN {u} ELSE split_part({u}, '?', 1) || "
+            f"CASE WHEN len({kept}) > 0 THEN '?' || array_to_string({kept}, '&') ELSE '' END || regexp_extract({u}, '(#.*)$', 1) END")
+
+
 @register("h4_canonical_url", """
-SELECT page_id,
-  CASE WHEN NOT contains(split_part(url, '#', 1), '?') THEN url ELSE split_part(url, '?', 1) || (
-    SELECT CASE WHEN len(k) > 0 THEN '?' || array_to_string(k, '&') ELSE '' END FROM (SELECT list_filter(
-      string_split(regexp_extract(split_part(url, '#', 1), '\\?(.*)$', 1), '&'),
-      lambda x: split_part(x, '=', 1) <> 'ref' AND x <> '') AS k)) || regexp_extract(url, '(#.*)$', 1) END AS drop_ref,
+SELECT page_id, """ + _drop_ref_sql("url") + """ AS drop_ref,
   regexp_replace(url, '\\?[^#]*', '', 'g') AS drop_query,
   CASE WHEN ends_with(url, '/') THEN url ELSE url || '/' END AS trailing_slash
 FROM pages""")
@@ -104,14 +119,37 @@ def h7_h8_first_capped_links(spark, sf_dir):
     return H.cap_links(H.distinct_links(links)).select("page_id", "link", "position", "found")
 
 
-@register("h2_h8_detail_links")
+def _detail_sql():
+    link_host = HOST.replace("url", "link")
+    path = f"regexp_extract(link, '{_sq(H.PATH_RE)}', 1)"
+    return [_RAW_LINKS,
+            f"res AS (SELECT page_id, url, position, {_resolved_sql()} AS l0 FROM raw)",
+            f"can AS (SELECT page_id, url, position, {_drop_ref_sql('l0')} AS link FROM res WHERE l0 IS NOT NULL)",
+            f"seg AS (SELECT *, list_filter(string_split({path}, '/'), lambda x: x <> '') AS segs FROM can WHERE contains({link_host}, {HOST}))",
+            "det AS (SELECT page_id, link, min(position) AS position FROM seg WHERE len(segs) = 1 "
+            f"AND len(list_filter({_EXCL}, lambda p: starts_with(lower(segs[1]), p))) = 0 GROUP BY 1, 2)"]
+
+
+@register("h2_h8_detail_links", V.with_views(extra=_detail_sql()) + f"""
+SELECT page_id, link, position, count(*) OVER (PARTITION BY page_id) AS found FROM det
+QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY position) <= {H.MAX_LINKS_PER_INDEX}""")
 def h2_h8_detail_links(spark, sf_dir):
     return H.detail_links(_pages(spark, sf_dir)).select("page_id", "link", "position", "found")
 
 
-@register("h9_h11_page_content")
+_TEXT_OF = "trim(replace(replace(replace(replace(regexp_replace({x}, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'))"
+_CUT = r"(?is)<script[\s>].*?</script\s*>|<style[\s>].*?</style\s*>|<nav[\s>].*?</nav\s*>|<footer[\s>].*?</footer\s*>|<div class=\"ad\">.*?</div>"
+
+
+@register("h9_page_title", f"""SELECT page_id, {_TEXT_OF.format(x="regexp_extract(html, '(?s)<article>.*?<h1>(.*?)</h1>', 1)")} AS title FROM pages""")
+def h9_page_title(spark, sf_dir):
+    return H.page_content(_pages(spark, sf_dir)).select("page_id", "title")
+
+
+@register("h9_h11_page_content", f"""SELECT page_id, regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '{_CUT}', '', 'g') AS content
+FROM pages""")
 def h9_h11_page_content(spark, sf_dir):
-    return H.page_content(_pages(spark, sf_dir))
+    return H.page_content(_pages(spark, sf_dir)).select("page_id", "content")
 
 
 _WS = r"[\t\n\x0B\f\r\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF} ]"
@@ -125,13 +163,23 @@ def h12_min_text(spark, sf_dir):
     return H.min_text(p, "html").select("page_id", H.text_length("html").cast("bigint").alias("text_chars"))
 
 
-@register("s1_scan_pages")
+@register("s1_scan_pages", f"""
+WITH c AS (SELECT page_id, url, {_TEXT_OF.format(x="regexp_extract(html, '(?s)<article>.*?<h1>(.*?)</h1>', 1)")} AS title,
+  regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '{_CUT}', '', 'g') AS content FROM pages)
+SELECT page_id, url, title, length(content) AS content_chars FROM c
+WHERE length(regexp_replace(regexp_replace(content, '<[^>]*>', '', 'g'), '^{_WS}+|{_WS}+$', '', 'g')) >= 100""")
 def s1_scan_pages(spark, sf_dir):
     return H.scraped_pages(_pages(spark, sf_dir)).select("page_id", "url", "title",
-                                                         F.length("content").alias("content_chars"))
+                                                         F.length("content").cast("bigint").alias("content_chars"))
 
 
-@register("h13_scrape_stats")
+@register("h13_scrape_stats", V.with_views(extra=_detail_sql() + [
+    f"""c AS (SELECT page_id, regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '{_CUT}', '', 'g') AS content FROM pages)""",
+    f"""k AS (SELECT page_id FROM c WHERE length(regexp_replace(regexp_replace(content, '<[^>]*>', '', 'g'), '^{_WS}+|{_WS}+$', '', 'g')) >= 100)""",
+    f"""p AS (SELECT {HOST} AS source_site, (SELECT count(*) FROM det WHERE det.page_id = pages.page_id) AS found,
+      page_id IN (SELECT page_id FROM k) AS kept, html IS NULL OR html = '' AS empty FROM pages)"""]) + """
+SELECT source_site, CAST(sum(found) AS BIGINT) AS found, count(*) FILTER (kept) AS scraped, count(*) FILTER (empty) AS errors,
+  CASE WHEN errors > 0 AND scraped > 0 THEN 'partial' WHEN errors > 0 THEN 'failed' ELSE 'success' END AS status FROM p GROUP BY 1""")
 def h13_scrape_stats(spark, sf_dir):
     return H.scrape_stats(_pages(spark, sf_dir))
 

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.operators import html as H
 from lodestar.operators import render
 from lodestar.plans import jobs
 from lodestar.plans import sqlviews as V
 from lodestar.plans.catalog import register
-from lodestar.sources.tables import read_table
+from lodestar.sources import views
 
 
 @register("c2_ingest")
@@ -39,25 +38,23 @@ def s9_dry_run(spark, sf_dir):
 
 @register("r5_run_summary")
 def r5_run_summary(spark, sf_dir):
-    from lodestar.sources import views
     clock = views.fetch_clock(spark, sf_dir)
     res = jobs.ingest(spark, sf_dir, started=clock)["results"]
     ms = clock.agg((F.unix_timestamp(F.max("completed_at").cast("timestamp")) - F.unix_timestamp(F.min("started_at").cast("timestamp"))).alias("s")).first()
     return render.run_summary(res, F.lit((ms["s"] or 0) * 1000))
 
 
-@register("r6_failure_alert")
+@register("r6_failure_alert", V.with_views("scrape_runs") + """
+SELECT id, '❌ <b>Scraper Failed: ' || source_site || '</b>' || chr(10) || chr(10) || 'Error: run ended ' || status || ' after ' ||
+  CAST(duration_seconds AS VARCHAR) || ' s' AS message FROM scrape_runs WHERE status IN ('failed', 'partial')""")
 def r6_failure_alert(spark, sf_dir):
-    st = H.scrape_stats(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
-    st = st.where(F.col("status").isin("failed", "partial"))     # alerts only for runs with errors
-    return st.select("source_site", render.failure_alert(
-        F.col("source_site"), F.concat(F.lit("status "), F.col("status"), F.lit(": "),
-                                       F.col("errors").cast("string"), F.lit(" pages without html"))).alias("message"))
+    runs = views.scrape_runs(spark, sf_dir).where(F.col("status").isin("failed", "partial"))     # alerts only for runs with errors
+    return runs.select("id", render.failure_alert(F.col("source_site"), F.concat(
+        F.lit("run ended "), F.col("status"), F.lit(" after "), F.col("duration_seconds").cast("string"), F.lit(" s"))).alias("message"))
 
 
 @register("s7_run_log")
 def s7_run_log(spark, sf_dir):
-    from lodestar.sources import views
     return jobs.ingest(spark, sf_dir, started=views.fetch_clock(spark, sf_dir))["runs"]
 
 
@@ -120,7 +117,6 @@ _W1 = f"""picks_ AS (SELECT id FROM opportunities o
 SELECT count(CASE WHEN e.value <= 400 THEN 1 END) AS posted, count(CASE WHEN e.value > 400 THEN 1 END) AS failed,
   count(*) - count(e.value) AS skipped FROM picks_ LEFT JOIN events e ON 'doc-' || CAST(e.event_id AS VARCHAR) = picks_.id""")
 def a7_distribution_counts(spark, sf_dir):
-    from lodestar.sources import views
     return jobs.daily_distribution(spark, sf_dir, outcomes=views.send_outcomes(spark, sf_dir))["counts"]
 
 

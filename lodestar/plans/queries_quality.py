@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from lodestar.constants import (EDUCATION_LEVELS, LOG_STATUSES, RUN_STATUSES, SCAM_RISK_LEVELS, STATUSES,
                                 TYPES, VERIFICATION_LEVELS)
+from lodestar.operators import html as H
 from lodestar.operators import quality as qa
 from lodestar.plans import sqlviews as V
 from lodestar.plans.catalog import register
 from lodestar.sources import views
+from lodestar.sources.tables import read_table
 
 
 def _in(values):
@@ -105,11 +107,21 @@ def p4_browse_filters(spark, sf_dir):
                              is_fully_funded=False, deadline_before="2024-03-15").select("id", "title")
 
 
-@register("p5_known_sources", V.with_views("stored_items", "batch_items") + """
-SELECT DISTINCT source_site FROM batch_items WHERE source_site IN (SELECT source_site FROM stored_items)""")
+_HOST = "lower(regexp_extract(url, '" + H.HOST_RE.replace("'", "''") + "', 1))"
+
+
+def _requested(spark, sf_dir):
+    """Requested names (document sources and page hosts) and the site profiles."""
+    pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
+    names = views.items(spark, sf_dir).select("source_site").union(pages.select(H.host("url"))).distinct()
+    return names, H.site_profiles(pages)
+
+
+@register("p5_known_sources", V.with_views("items") + f"""
+SELECT source_site FROM (SELECT DISTINCT source_site FROM items UNION SELECT DISTINCT {_HOST} FROM pages)
+WHERE source_site IN (SELECT {_HOST} FROM pages)""")
 def p5_known_sources(spark, sf_dir):
-    req = views.batch_items(spark, sf_dir).select("source_site").distinct()
-    return qa.known_sources(req, views.stored_items(spark, sf_dir))
+    return qa.known_sources(*_requested(spark, sf_dir))
 
 
 @register("p6_visible_rows", V.with_views("opportunities", "saved_opportunities", "user_profiles", "distribution_log") + """
@@ -183,8 +195,8 @@ def j7_cascade_delete_users(spark, sf_dir):
                                    F.concat_ws("|", "user_id", "opportunity_id").alias("row_key"))))
 
 
-@register("p5_unknown_sources", V.with_views("stored_items", "batch_items") + """
-SELECT DISTINCT source_site FROM batch_items WHERE source_site NOT IN (SELECT source_site FROM stored_items)""")
+@register("p5_unknown_sources", V.with_views("items") + f"""
+SELECT source_site FROM (SELECT DISTINCT source_site FROM items UNION SELECT DISTINCT {_HOST} FROM pages)
+WHERE source_site NOT IN (SELECT {_HOST} FROM pages)""")
 def p5_unknown_sources(spark, sf_dir):
-    req = views.batch_items(spark, sf_dir).select("source_site").distinct()
-    return qa.unknown_sources(req, views.stored_items(spark, sf_dir))
+    return qa.unknown_sources(*_requested(spark, sf_dir))
\ No newline at end of file

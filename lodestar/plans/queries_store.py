@@ -72,12 +72,21 @@ def a3_store_counts(spark, sf_dir):
     return store.store_summary(_rows(spark, sf_dir), _target(spark, sf_dir))
 
 
-@register("q4_fill_defaults", V.with_views("items", extra=[_ROWS]) + f"""
-SELECT 'opp-' || substring(sha256(slug), 1, 24) AS id, slug, 'basic' AS verification_level,
-       'low' AS scam_risk, {V.as_of()} AS created_at, 'active' AS status FROM rows_""")
+# Every optional column is missing on rows of one language.
+_GAPS = ["fields", "regions", "countries", "target_audience", "is_rolling", "is_fully_funded", "completeness_score", "status", "ai_processed"]
+_GAP_SQL = {"completeness_score": "0", "status": "'active'", "is_rolling": "false", "is_fully_funded": "false", "ai_processed": "false"}
+_GIVEN_SQL = {"status": "'active'", "ai_processed": "true", "completeness_score": f"CAST({V.completeness()} AS INTEGER)"}
+
+
+@register("q4_fill_defaults", V.with_views("items") + f"""
+SELECT 'opp-' || substring(sha256({V.slug('title', _URL)}), 1, 24) AS id, {V.slug('title', _URL)} AS slug, 'basic' AS verification_level,
+       'low' AS scam_risk, {V.as_of()} AS created_at, """ + ", ".join(
+    f"CASE WHEN lang = 'de' THEN {_GAP_SQL.get(c, 'CAST([] AS VARCHAR[])')} ELSE {_GIVEN_SQL.get(c, c)} END AS {c}" for c in _GAPS) + " FROM items")
 def q4_fill_defaults(spark, sf_dir):
-    return store.fill_defaults(_rows(spark, sf_dir)).select("id", "slug", "verification_level", "scam_risk",
-                                                            "created_at", "status")
+    langs = views.items(spark, sf_dir).select("item_order", "lang")
+    rows = _rows(spark, sf_dir).join(langs, "item_order")
+    gaps = rows.select(*[F.when(F.col("lang") != "de", F.col(c)).alias(c) if c in _GAPS else F.col(c) for c in rows.columns])
+    return store.fill_defaults(gaps).select("id", "slug", "verification_level", "scam_risk", "created_at", *_GAPS)
 
 
 @register("j8_delete_by_source", V.with_views("opportunities") + """
