@@ -68,7 +68,7 @@ _SCORES = [
         FROM lcs WHERE i < length(a)))""",
     """sc AS (SELECT a, c, CAST(floor(100 * (CAST(2 * r[length(c) + 1] AS DOUBLE) / (length(a) + length(c))) + 0.5) AS INTEGER) AS score
       FROM lcs WHERE i = length(a) AND score >= 85)"""]
-_CLASSES = _SCORES + [
+CLASSES = _SCORES + [
     """s1 AS (SELECT b.item_order, b.title, b.fkey, CASE WHEN item_order <> min(item_order) OVER h THEN arg_min(b.title, b.item_order) OVER h
         ELSE ph.title END AS hash_title FROM b LEFT JOIN (SELECT hash, arg_min(title, pool_order) AS title FROM p GROUP BY 1) ph USING (hash)
       WINDOW h AS (PARTITION BY hash))""",
@@ -110,13 +110,13 @@ def j4_fuzzy_best(spark, sf_dir):
     return dedup.best_match(b, p)
 
 
-@register("c1_dedup_batch", _sql(_CLASSES, "SELECT * FROM res"))
+@register("c1_dedup_batch", _sql(CLASSES, "SELECT * FROM res"))
 def c1_dedup_batch(spark, sf_dir):
     b, p = batch_and_pool(spark, sf_dir)
     return dedup.dedup_batch(b, p)
 
 
-@register("a2_dedup_stats", _sql(_CLASSES, """
+@register("a2_dedup_stats", _sql(CLASSES, """
 SELECT count(*) AS total, count(*) FILTER (is_unique) AS unique_count, count(*) FILTER (match_type = 'hash') AS hash_duplicates,
   count(*) FILTER (match_type = 'fuzzy') AS fuzzy_duplicates FROM res"""))
 def a2_dedup_stats(spark, sf_dir):
@@ -124,7 +124,7 @@ def a2_dedup_stats(spark, sf_dir):
     return dedup.dedup_stats(dedup.dedup_batch(b, p))
 
 
-@register("w5_union_duplicates", _sql(_CLASSES, "SELECT item_order, title, match_type, matched_title, score FROM res WHERE NOT is_unique"))
+@register("w5_union_duplicates", _sql(CLASSES, "SELECT item_order, title, match_type, matched_title, score FROM res WHERE NOT is_unique"))
 def w5_union_duplicates(spark, sf_dir):
     b, p = batch_and_pool(spark, sf_dir)
     return dedup.duplicates(dedup.dedup_batch(b, p))
@@ -141,7 +141,7 @@ def f4_token_sort_ratio(spark, sf_dir):
     return dedup.candidate_pairs(bk, pk).select("a", "b", fz.ratio_udf(F.col("a"), F.col("b")).alias("score")).where("score >= 85")
 
 
-@register("j5_greedy_resolve", _sql(_CLASSES, "SELECT rep_order, rep_title, fkey IN (SELECT fkey FROM uk) AS \"unique\" FROM reps"))
+@register("j5_greedy_resolve", _sql(CLASSES, "SELECT rep_order, rep_title, fkey IN (SELECT fkey FROM uk) AS \"unique\" FROM reps"))
 def j5_greedy_resolve(spark, sf_dir):
     """Per key representative: its batch order and whether it stays unique."""
     b, p = batch_and_pool(spark, sf_dir)

@@ -40,14 +40,14 @@ def x3_x5_validate(spark, sf_dir):
                                                         F.col("extraction.deadline").alias("deadline"))
 
 
-_ISSUES = """WITH r AS (SELECT doc_id AS page_id, list_filter([CASE WHEN title = '' THEN 'title: Title is required' END,
+ISSUES = """r AS (SELECT doc_id AS page_id, list_filter([CASE WHEN title = '' THEN 'title: Title is required' END,
     CASE WHEN description = '' THEN 'description: Description is required' END, CASE WHEN summary = '' THEN 'summary: Summary is required' END,
     CASE WHEN organization IS NULL THEN 'organization: Required' WHEN organization = '' THEN 'organization: Organization is required' END],
     lambda x: x IS NOT NULL) AS issues, title, type, deadline, application_url FROM items)"""
 
 
 def _with_items(extra):
-    return V.with_views("items", extra=[_ISSUES.split("WITH ", 1)[1]]) + extra
+    return V.with_views("items", extra=[ISSUES]) + extra
 
 
 @register("x6_split_results", _with_items("SELECT page_id, type, deadline, application_url FROM r WHERE len(issues) = 0"))

@@ -152,12 +152,12 @@ def h9_h11_page_content(spark, sf_dir):
     return H.page_content(_pages(spark, sf_dir)).select("page_id", "content")
 
 
-_WS = r"[\t\n\x0B\f\r\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF} ]"
+WS = r"[\t\n\x0B\f\r\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF} ]"
 
 
 @register("h12_min_text", f"""
-SELECT page_id, length(regexp_replace(regexp_replace(html, '<[^>]*>', '', 'g'), '^{_WS}+|{_WS}+$', '', 'g')) AS text_chars
-FROM pages WHERE length(regexp_replace(regexp_replace(html, '<[^>]*>', '', 'g'), '^{_WS}+|{_WS}+$', '', 'g')) >= 100""")
+SELECT page_id, length(regexp_replace(regexp_replace(html, '<[^>]*>', '', 'g'), '^{WS}+|{WS}+$', '', 'g')) AS text_chars
+FROM pages WHERE length(regexp_replace(regexp_replace(html, '<[^>]*>', '', 'g'), '^{WS}+|{WS}+$', '', 'g')) >= 100""")
 def h12_min_text(spark, sf_dir):
     p = _pages(spark, sf_dir)
     return H.min_text(p, "html").select("page_id", H.text_length("html").cast("bigint").alias("text_chars"))
@@ -167,15 +167,19 @@ def h12_min_text(spark, sf_dir):
 WITH c AS (SELECT page_id, url, {_TEXT_OF.format(x="regexp_extract(html, '(?s)<article>.*?<h1>(.*?)</h1>', 1)")} AS title,
   regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '{_CUT}', '', 'g') AS content FROM pages)
 SELECT page_id, url, title, length(content) AS content_chars FROM c
-WHERE length(regexp_replace(regexp_replace(content, '<[^>]*>', '', 'g'), '^{_WS}+|{_WS}+$', '', 'g')) >= 100""")
+WHERE length(regexp_replace(regexp_replace(content, '<[^>]*>', '', 'g'), '^{WS}+|{WS}+$', '', 'g')) >= 100""")
 def s1_scan_pages(spark, sf_dir):
     return H.scraped_pages(_pages(spark, sf_dir)).select("page_id", "url", "title",
                                                          F.length("content").cast("bigint").alias("content_chars"))
 
 
+# pages whose content has enough text
+KEPT_PAGES = f"""k AS (SELECT page_id FROM (SELECT page_id, regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '{_CUT}', '', 'g') AS content FROM pages)
+  WHERE length(regexp_replace(regexp_replace(content, '<[^>]*>', '', 'g'), '^{WS}+|{WS}+$', '', 'g')) >= 100)"""
+
+
 @register("h13_scrape_stats", V.with_views(extra=_detail_sql() + [
-    f"""c AS (SELECT page_id, regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '{_CUT}', '', 'g') AS content FROM pages)""",
-    f"""k AS (SELECT page_id FROM c WHERE length(regexp_replace(regexp_replace(content, '<[^>]*>', '', 'g'), '^{_WS}+|{_WS}+$', '', 'g')) >= 100)""",
+    KEPT_PAGES,
     f"""p AS (SELECT {HOST} AS source_site, (SELECT count(*) FROM det WHERE det.page_id = pages.page_id) AS found,
       page_id IN (SELECT page_id FROM k) AS kept, html IS NULL OR html = '' AS empty FROM pages)"""]) + """
 SELECT source_site, CAST(sum(found) AS BIGINT) AS found, count(*) FILTER (kept) AS scraped, count(*) FILTER (empty) AS errors,

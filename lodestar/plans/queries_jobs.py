@@ -6,32 +6,67 @@ from pyspark.sql import functions as F
 
 from lodestar.operators import render
 from lodestar.plans import jobs
+from lodestar.plans import queries_dedup as D_
+from lodestar.plans import queries_extract as X_
+from lodestar.plans import queries_html as W
 from lodestar.plans import sqlviews as V
 from lodestar.plans.catalog import register
 from lodestar.sources import views
 
 
-@register("c2_ingest")
+_TRIM = "regexp_replace(title, '^" + W.WS + "+|" + W.WS + "+$', '', 'g')"
+# The ingest in SQL: kept pages, valid answers, the batch in the order of
+# (source, page), the pool in the order of (created_at, id), their classes.
+_INGEST = [
+    W.KEPT_PAGES, X_.ISSUES,
+    f"""kp AS (SELECT page_id, url, {W.HOST} AS source_site FROM pages WHERE page_id IN (SELECT page_id FROM k))""",
+    f"""ok AS (SELECT kp.page_id, kp.url, kp.source_site, {_TRIM} AS title, row_number() OVER (ORDER BY kp.source_site, kp.page_id) AS item_order
+      FROM kp JOIN r USING (page_id) WHERE len(issues) = 0)""",
+    "batch_items AS (SELECT item_order, title, url AS source_url FROM ok)",
+    "stored_items AS (SELECT row_number() OVER (ORDER BY created_at, id) AS doc_id, title, source_url, status FROM opportunities)",
+    *D_.CLASSES,
+    f"""un AS (SELECT ok.*, {V.slug('ok.title', 'ok.url')} AS slug FROM ok JOIN res ON res.item_order = ok.item_order WHERE res.is_unique)""",
+    f"""a4 AS (SELECT s.source, (SELECT count(*) FROM kp WHERE source_site = s.source) AS scraped, (SELECT count(*) FROM ok WHERE source_site = s.source) AS extracted,
+      (SELECT count(*) FROM un WHERE source_site = s.source) AS "unique",
+      (SELECT count(*) FROM un WHERE source_site = s.source AND url NOT IN (SELECT source_url FROM opportunities)) AS inserted,
+      (SELECT count(*) FROM un WHERE source_site = s.source AND url IN (SELECT source_url FROM opportunities)) AS updated
+      FROM (SELECT DISTINCT {W.HOST} AS source FROM pages) s)""",
+    """results AS (SELECT *, scraped - extracted AS extraction_failures, CAST(CASE WHEN scraped = 0 THEN 1 ELSE 0 END AS BIGINT) AS failed,
+      CAST(CASE WHEN scraped = 0 OR extracted = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_errors,
+      CASE WHEN scraped = 0 THEN 'failed' WHEN extracted = 0 THEN 'partial' ELSE 'success' END AS status FROM a4)"""]
+
+
+def _ingest_sql(last):
+    return V.with_views("opportunities", extra=_INGEST).replace("WITH ", "WITH RECURSIVE ", 1) + last
+
+
+@register("c2_ingest", _ingest_sql("""
+SELECT CASE WHEN t.slug IS NULL THEN 'opp-' || substring(sha256(n.slug), 1, 24) ELSE t.id END AS id, coalesce(n.slug, t.slug) AS slug,
+  coalesce(n.title, t.title) AS title, CASE WHEN n.slug IS NULL THEN t.status ELSE 'active' END AS status,
+  coalesce(n.source_site, t.source_site) AS source_site
+FROM opportunities t FULL OUTER JOIN (SELECT * FROM un QUALIFY row_number() OVER (PARTITION BY slug ORDER BY item_order DESC) = 1) n ON t.slug = n.slug"""))
 def c2_ingest(spark, sf_dir):
     return jobs.ingest(spark, sf_dir)["upserted"].select("id", "slug", "title", "status", "source_site")
 
 
-@register("a4_source_result")
+@register("a4_source_result", _ingest_sql("SELECT * FROM results"))
 def a4_source_result(spark, sf_dir):
     return jobs.ingest(spark, sf_dir)["results"]
 
 
-@register("a5_run_totals")
+@register("a5_run_totals", _ingest_sql("""SELECT CAST(sum(inserted) AS BIGINT) AS total_inserted, CAST(sum(updated) AS BIGINT) AS total_updated,
+  CAST(sum(n_errors) AS BIGINT) AS total_errors FROM results"""))
 def a5_run_totals(spark, sf_dir):
     return jobs.run_totals(jobs.ingest(spark, sf_dir)["results"])
 
 
-@register("a6_run_health")
+@register("a6_run_health", _ingest_sql("""SELECT bool_and(status = 'failed') AS all_failed, bool_or(status IN ('failed', 'partial')) AS any_issue,
+  bool_and(status = 'success') AS all_success, CASE WHEN bool_and(status = 'success') THEN 0 ELSE 1 END AS exit_code FROM results"""))
 def a6_run_health(spark, sf_dir):
     return jobs.run_health(jobs.ingest(spark, sf_dir)["results"])
 
 
-@register("s9_dry_run")
+@register("s9_dry_run", _ingest_sql("SELECT source, CAST(0 AS BIGINT) AS inserted, CAST(0 AS BIGINT) AS updated, failed FROM results"))
 def s9_dry_run(spark, sf_dir):
     return jobs.ingest(spark, sf_dir, dry_run=True)["results"].select("source", "inserted", "updated", "failed")
 
