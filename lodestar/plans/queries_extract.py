@@ -34,12 +34,8 @@ def x2_strip_fence(spark, sf_dir):
     return c.select("conv_id", "turn", F.md5(X.strip_fence("text").cast("binary")).alias("text_md5"))
 
 
-@register("x3_x5_validate")
-def x3_x5_validate(spark, sf_dir):
-    return X.validate(_responses(spark, sf_dir)).select("page_id", "error", F.col("extraction.title").alias("title"),
-                                                        F.col("extraction.deadline").alias("deadline"))
-
-
+_WS = r"[\t\n\x0B\f\r\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF} ]"
+_TRIMMED = f"regexp_replace(title, '^{_WS}+|{_WS}+$', '', 'g')"
 ISSUES = """r AS (SELECT doc_id AS page_id, list_filter([CASE WHEN title = '' THEN 'title: Title is required' END,
     CASE WHEN description = '' THEN 'description: Description is required' END, CASE WHEN summary = '' THEN 'summary: Summary is required' END,
     CASE WHEN organization IS NULL THEN 'organization: Required' WHEN organization = '' THEN 'organization: Organization is required' END],
@@ -50,6 +46,13 @@ def _with_items(extra):
     return V.with_views("items", extra=[ISSUES]) + extra
 
 
+@register("x3_x5_validate", _with_items("""SELECT page_id, CASE WHEN len(issues) > 0 THEN 'Validation failed: ' || array_to_string(issues, '; ') END AS error,
+  CASE WHEN len(issues) = 0 THEN """ + _TRIMMED + """ END AS title, CASE WHEN len(issues) = 0 THEN deadline END AS deadline FROM r"""))
+def x3_x5_validate(spark, sf_dir):
+    return X.validate(_responses(spark, sf_dir)).select("page_id", "error", F.col("extraction.title").alias("title"),
+                                                        F.col("extraction.deadline").alias("deadline"))
+
+
 @register("x6_split_results", _with_items("SELECT page_id, type, deadline, application_url FROM r WHERE len(issues) = 0"))
 def x6_split_results(spark, sf_dir):
     ok, _ = X.split_results(X.validate(_responses(spark, sf_dir)))

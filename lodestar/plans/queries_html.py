@@ -27,7 +27,7 @@ def _decoded_sql(x):
     return x
 
 
-_RAW_LINKS = f"""raw AS (SELECT page_id, url, {_decoded_sql('v')} AS href, position FROM (
+RAW_LINKS = f"""raw AS (SELECT page_id, url, {_decoded_sql('v')} AS href, position FROM (
   SELECT page_id, url, unnest(l) AS v, unnest(range(0, len(l))) AS position
   FROM (SELECT page_id, url, regexp_extract_all(regexp_replace(html, '{_sq(H.DEAD_RE)}', ' ', 'g'), '{_sq(H.HREF_RE)}', 1) AS l FROM pages)))"""
 
@@ -44,7 +44,7 @@ def h1_seed_urls(spark, sf_dir):
     return H.seed_urls(H.site_profiles(_pages(spark, sf_dir)))
 
 
-@register("h2_extract_links", V.with_views(extra=[_RAW_LINKS]) + "SELECT page_id, position, href FROM raw")
+@register("h2_extract_links", V.with_views(extra=[RAW_LINKS]) + "SELECT page_id, position, href FROM raw")
 def h2_extract_links(spark, sf_dir):
     return H.extract_links(_pages(spark, sf_dir)).select("page_id", "position", "href")
 
@@ -61,7 +61,7 @@ def _resolved_sql():
             f"WHEN regexp_matches(href, '^https?://') THEN {enc} END")
 
 
-@register("h3_resolve_url", V.with_views(extra=[_RAW_LINKS]) + f"SELECT page_id, position, {_resolved_sql()} AS link FROM raw WHERE link IS NOT NULL")
+@register("h3_resolve_url", V.with_views(extra=[RAW_LINKS]) + f"SELECT page_id, position, {_resolved_sql()} AS link FROM raw WHERE link IS NOT NULL")
 def h3_resolve_url(spark, sf_dir):
     return H.resolve_url(H.extract_links(_pages(spark, sf_dir))).select("page_id", "position", "link")
 
@@ -89,7 +89,7 @@ _PATH = f"regexp_extract(href_abs, '{_sq(H.PATH_RE)}', 1)"
 _EXCL = "[" + ", ".join(f"'{x}'" for x in H.EXCLUDED_PREFIXES) + "]"
 
 
-@register("h5_h6_link_rules", V.with_views(extra=[_RAW_LINKS,
+@register("h5_h6_link_rules", V.with_views(extra=[RAW_LINKS,
     f"a AS (SELECT page_id, position, url, CASE WHEN starts_with(href, '/') THEN regexp_extract(url, '^([^/?#]*//[^/?#]*)', 1) || href ELSE href END AS href_abs FROM raw)",
     f"s AS (SELECT *, list_filter(string_split({_PATH}, '/'), lambda x: x <> '') AS segs FROM a)"]) + f"""
 SELECT page_id, position,
@@ -110,7 +110,7 @@ def h5_h6_link_rules(spark, sf_dir):
                     F.coalesce(H.detail_single_segment("href_abs"), F.lit(False)).alias("single_segment"))
 
 
-@register("h7_h8_first_capped_links", V.with_views(extra=[_RAW_LINKS,
+@register("h7_h8_first_capped_links", V.with_views(extra=[RAW_LINKS,
     "d AS (SELECT page_id, href AS link, min(position) AS position FROM raw GROUP BY 1, 2)"]) + f"""
 SELECT page_id, link, position, count(*) OVER (PARTITION BY page_id) AS found FROM d
 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY position) <= {H.MAX_LINKS_PER_INDEX}""")
@@ -119,18 +119,18 @@ def h7_h8_first_capped_links(spark, sf_dir):
     return H.cap_links(H.distinct_links(links)).select("page_id", "link", "position", "found")
 
 
-def _detail_sql():
+def detail_sql():
     link_host = HOST.replace("url", "link")
     path = f"regexp_extract(link, '{_sq(H.PATH_RE)}', 1)"
-    return [_RAW_LINKS,
-            f"res AS (SELECT page_id, url, position, {_resolved_sql()} AS l0 FROM raw)",
-            f"can AS (SELECT page_id, url, position, {_drop_ref_sql('l0')} AS link FROM res WHERE l0 IS NOT NULL)",
+    return [RAW_LINKS,
+            f"resolved AS (SELECT page_id, url, position, {_resolved_sql()} AS l0 FROM raw)",
+            f"can AS (SELECT page_id, url, position, {_drop_ref_sql('l0')} AS link FROM resolved WHERE l0 IS NOT NULL)",
             f"seg AS (SELECT *, list_filter(string_split({path}, '/'), lambda x: x <> '') AS segs FROM can WHERE contains({link_host}, {HOST}))",
             "det AS (SELECT page_id, link, min(position) AS position FROM seg WHERE len(segs) = 1 "
             f"AND len(list_filter({_EXCL}, lambda p: starts_with(lower(segs[1]), p))) = 0 GROUP BY 1, 2)"]
 
 
-@register("h2_h8_detail_links", V.with_views(extra=_detail_sql()) + f"""
+@register("h2_h8_detail_links", V.with_views(extra=detail_sql()) + f"""
 SELECT page_id, link, position, count(*) OVER (PARTITION BY page_id) AS found FROM det
 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY position) <= {H.MAX_LINKS_PER_INDEX}""")
 def h2_h8_detail_links(spark, sf_dir):
@@ -141,6 +141,9 @@ _TEXT_OF = "trim(replace(replace(replace(replace(regexp_replace({x}, '<[^>]*>',
 _CUT = r"(?is)<script[\s>].*?</script\s*>|<style[\s>].*?</style\s*>|<nav[\s>].*?</nav\s*>|<footer[\s>].*?</footer\s*>|<div class=\"ad\">.*?</div>"
 
 
+CONTENT = f"regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '{_CUT}', '', 'g')"
+
+
 @register("h9_page_title", f"""SELECT page_id, {_TEXT_OF.format(x="regexp_extract(html, '(?s)<article>.*?<h1>(.*?)</h1>', 1)")} AS title FROM pages""")
 def h9_page_title(spark, sf_dir):
     return H.page_content(_pages(spark, sf_dir)).select("page_id", "title")
@@ -178,7 +181,7 @@ KEPT_PAGES = f"""k AS (SELECT page_id FROM (SELECT page_id, regexp_replace(regex
   WHERE length(regexp_replace(regexp_replace(content, '<[^>]*>', '', 'g'), '^{WS}+|{WS}+$', '', 'g')) >= 100)"""
 
 
-@register("h13_scrape_stats", V.with_views(extra=_detail_sql() + [
+@register("h13_scrape_stats", V.with_views(extra=detail_sql() + [
     KEPT_PAGES,
     f"""p AS (SELECT {HOST} AS source_site, (SELECT count(*) FROM det WHERE det.page_id = pages.page_id) AS found,
       page_id IN (SELECT page_id FROM k) AS kept, html IS NULL OR html = '' AS empty FROM pages)"""]) + """
@@ -188,7 +191,7 @@ def h13_scrape_stats(spark, sf_dir):
     return H.scrape_stats(_pages(spark, sf_dir))
 
 
-@register("h2_selector_links")
+@register("h2_selector_links", V.with_views(extra=[RAW_LINKS]) + "SELECT page_id, position, href FROM raw")
 def h2_selector_links(spark, sf_dir):
     p = _pages(spark, sf_dir)
     return H.selector_links(p, H.site_profiles(p))

@@ -9,6 +9,7 @@ from lodestar.plans import jobs
 from lodestar.plans import queries_dedup as D_
 from lodestar.plans import queries_extract as X_
 from lodestar.plans import queries_html as W
+from lodestar.plans import sqlfmt as Q
 from lodestar.plans import sqlviews as V
 from lodestar.plans.catalog import register
 from lodestar.sources import views
@@ -71,7 +72,21 @@ def s9_dry_run(spark, sf_dir):
     return jobs.ingest(spark, sf_dir, dry_run=True)["results"].select("source", "inserted", "updated", "failed")
 
 
-@register("r5_run_summary")
+_CLOCK = """sites AS (SELECT """ + W.HOST + """ AS source_site, min(page_id) AS n FROM pages GROUP BY 1),
+clock AS (SELECT source_site, min(ts) AS started_at, max(ts) AS completed_at, min(CASE WHEN event_type = 'error' THEN event_id END) AS err
+  FROM sites JOIN events ON user_id = n GROUP BY 1)"""
+
+
+@register("r5_run_summary", _ingest_sql("").rstrip() + ", " + _CLOCK + f""",
+ms AS (SELECT 1000 * (CAST(floor(epoch(max(completed_at))) AS BIGINT) - CAST(floor(epoch(min(started_at))) AS BIGINT)) AS ms FROM clock)
+SELECT 0 AS seq, CAST(NULL AS VARCHAR) AS source,
+  CASE WHEN bool_and(status = 'failed') THEN '❌ <b>Listings Pipeline Failed</b>' WHEN bool_or(status IN ('failed', 'partial'))
+    THEN '⚠️ <b>Listings Pipeline Complete (with issues)</b>' ELSE '✅ <b>Listings Pipeline Complete</b>' END || chr(10) || chr(10) ||
+  'Scrapers: ' || CAST(count(*) AS VARCHAR) || ' run' || chr(10) || 'Inserted: ' || CAST(sum(inserted) AS VARCHAR) || ' | Updated: ' ||
+  CAST(sum(updated) AS VARCHAR) || ' | Errors: ' || CAST(sum(n_errors) AS VARCHAR) || chr(10) || 'Duration: ' ||
+  (SELECT {Q.duration_label('ms')} FROM ms) || chr(10) || chr(10) || '<b>Per scraper:</b>' AS line FROM results
+UNION ALL SELECT 1, source, '• ' || source || ': ' || CAST(scraped AS VARCHAR) || ' scraped → ' || CAST(extracted AS VARCHAR) || ' extracted → ' ||
+  CAST(inserted + updated AS VARCHAR) || ' stored' FROM results""")
 def r5_run_summary(spark, sf_dir):
     clock = views.fetch_clock(spark, sf_dir)
     res = jobs.ingest(spark, sf_dir, started=clock)["results"]
@@ -88,12 +103,24 @@ def r6_failure_alert(spark, sf_dir):
         F.lit("run ended "), F.col("status"), F.lit(" after "), F.col("duration_seconds").cast("string"), F.lit(" s"))).alias("message"))
 
 
-@register("s7_run_log")
+_FOUND = W.detail_sql()[1:]
+
+
+@register("s7_run_log", V.with_views("opportunities", extra=[W.RAW_LINKS, *_FOUND, *_INGEST]).replace("WITH ", "WITH RECURSIVE ", 1) + ", " + _CLOCK + f""",
+st AS (SELECT {W.HOST} AS source_site, sum((SELECT count(*) FROM det WHERE det.page_id = pages.page_id)) AS found,
+  count(*) FILTER (html IS NULL OR html = '') AS errors FROM pages GROUP BY 1)
+SELECT 'run-' || s.source_site || '-20240131000000' AS id, s.source_site, {V.as_of()} AS started_at, coalesce(c.completed_at, {V.as_of()}) AS completed_at,
+  CASE WHEN s.errors > 0 AND a.scraped > 0 THEN 'partial' WHEN s.errors > 0 THEN 'failed' WHEN c.err IS NOT NULL THEN 'partial' ELSE 'success' END AS status,
+  CAST(s.found AS INTEGER) AS listings_found, CAST(a.inserted AS INTEGER) AS listings_new, CAST(a.extracted - a."unique" AS INTEGER) AS listings_duplicate,
+  CASE WHEN c.err IS NOT NULL THEN 'event ' || CAST(c.err AS VARCHAR) WHEN s.errors > 0 THEN CAST(s.errors AS VARCHAR) || ' pages without readable html' END AS error_message,
+  CAST(floor(epoch(c.completed_at)) - floor(epoch(c.started_at)) AS INTEGER) AS duration_seconds
+FROM st s JOIN results a ON a.source = s.source_site LEFT JOIN clock c ON c.source_site = s.source_site""")
 def s7_run_log(spark, sf_dir):
     return jobs.ingest(spark, sf_dir, started=views.fetch_clock(spark, sf_dir))["runs"]
 
 
-@register("c2_second_run")
+@register("c2_second_run", _ingest_sql("""SELECT source, scraped, extracted, CAST(0 AS BIGINT) AS "unique", CAST(0 AS BIGINT) AS inserted, CAST(0 AS BIGINT) AS updated,
+  extraction_failures, failed, n_errors, status FROM results"""))
 def c2_second_run(spark, sf_dir):
     """A second ingest over what the first one stored: nothing is new."""
     stored = jobs.ingest(spark, sf_dir)["upserted"].checkpoint()

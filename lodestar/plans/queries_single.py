@@ -10,9 +10,10 @@ from lodestar.operators import extract as X
 from lodestar.operators import html as H
 from lodestar.operators import picks
 from lodestar.plans import sqlfmt as Q
+from lodestar.plans import queries_html as W
 from lodestar.plans import sqlviews as V
 from lodestar.plans.catalog import register
-from lodestar.plans.queries_html import _EXCL, _PATH, _RAW_LINKS
+from lodestar.plans.queries_html import _EXCL, _PATH, RAW_LINKS
 from lodestar.sources import views
 from lodestar.sources.tables import read_table
 
@@ -58,7 +59,7 @@ def f18_summary_or_description(spark, sf_dir):
     return views.opportunities(spark, sf_dir).select("id", fm.summary_or_description().alias("blurb"))
 
 
-@register("h6_detail_pattern", V.with_views(extra=[_RAW_LINKS,
+@register("h6_detail_pattern", V.with_views(extra=[RAW_LINKS,
     "a AS (SELECT page_id, position, CASE WHEN starts_with(href, '/') THEN regexp_extract(url, '^([^/?#]*//[^/?#]*)', 1) || href ELSE href END AS href_abs FROM raw)",
     f"s AS (SELECT *, list_filter(string_split({_PATH}, '/'), lambda x: x <> '') AS segs FROM a)"]) + f"""
 SELECT page_id, position FROM s WHERE coalesce(len(segs) = 1 AND len(list_filter({_EXCL}, lambda p: starts_with(lower(segs[1]), p))) = 0, false)""")
@@ -70,7 +71,7 @@ def h6_detail_pattern(spark, sf_dir):
                 .select("page_id", "position")
 
 
-@register("h8_cap_links", V.with_views(extra=[_RAW_LINKS]) + """
+@register("h8_cap_links", V.with_views(extra=[RAW_LINKS]) + """
 SELECT page_id, position, count(*) OVER (PARTITION BY page_id) AS found FROM raw
 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY position) <= 50""")
 def h8_cap_links(spark, sf_dir):
@@ -78,15 +79,15 @@ def h8_cap_links(spark, sf_dir):
     return H.cap_links(links).select("page_id", "position", "found")
 
 
-@register("h10_main_content")
+@register("h10_main_content", f"SELECT page_id, length({W.CONTENT}) AS content_chars FROM pages")
 def h10_main_content(spark, sf_dir):
     c = H.page_content(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
     return c.select("page_id", F.length("content").cast("bigint").alias("content_chars"))
 
 
-@register("h11_strip_boilerplate")
+@register("h11_strip_boilerplate", f"SELECT page_id, md5({W.CONTENT}) AS content_md5, false AS boilerplate_left FROM pages")
 def h11_strip_boilerplate(spark, sf_dir):
     """Content with no script/style/nav/form/ad element left inside."""
     c = H.page_content(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
     left = F.col("content").rlike(r"(?i)<(script|style|iframe|nav|form)[\s>]|class=\"(ad|advertisement)\"")
-    return c.select("page_id", F.coalesce(left, F.lit(False)).alias("boilerplate_left"))
+    return c.select("page_id", F.md5(F.col("content").cast("binary")).alias("content_md5"), F.coalesce(left, F.lit(False)).alias("boilerplate_left"))
