@@ -17,8 +17,7 @@ its worst sentence's, through a logistic curve fitted on training documents.
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +28,8 @@ from lodestar.llm import common
 from lodestar.llm.common import byte_runs, held_out, text_array, word_hashes, word_spans
 from lodestar.llm.labelled import labelled_sample
 
-PER_CLASS = 1500        # labelled documents of each class that are learned from
-MAX_STRINGS = 3000      # documents with more distinct strings are not learned from (they are scored in full)
+PER_CLASS = 1000        # labelled documents of each class that are learned from
+MAX_STRINGS = 2000      # documents with more distinct strings are not learned from (they are scored in full)
 LANDMARKS, COMMON, DECAY, LONG = 32, 8, 0.7, 24
 KNOWN_MAX = 1_000_000
 CUT = 0.3
@@ -150,7 +149,8 @@ def against(strings: list[bytes], table: np.ndarray) -> np.ndarray:
 
 
 def likeness(strings: list[bytes], marks: list[bytes]) -> np.ndarray:
-    return against(strings, mark_table(marks))
+    """Normalised kernel of each string with each mark, 32 marks at a time."""
+    return np.concatenate([against(strings, mark_table(marks[i:i + 32])) for i in range(0, len(marks), 32)], axis=1)
 
 
 # ---- training on a bounded sample ----------------------------------------
@@ -165,7 +165,7 @@ def _doc_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r in range(hi - lo):
                 got = sorted({buf[a:b] for a, b in zip(s[first[r]:first[r + 1]].tolist(), e[first[r]:first[r + 1]].tolist())})
                 if len(got) <= MAX_STRINGS:
-                    yield pa.RecordBatch.from_arrays([pa.array([int(y[lo + r])], pa.int32()), pa.array([got], pa.list_(pa.binary()))],
+                    yield pa.RecordBatch.from_arrays([pa.array([int(y[lo + r])], pa.int32()), pa.array([b"\n".join(got)], pa.binary())],
                                                      names=["y", "strings"])
 
 
@@ -176,48 +176,53 @@ def _gapped(word: bytes, i: int) -> list[bytes]:
     return [fill.join(word[k:k + 1] for k in range(len(word))), word[:mid] + fill + word[mid:], word[:mid] + word[mid - 1:mid] + word[mid:]]
 
 
-def train(docs: list[tuple[int, list[bytes]]], rate: float = 0.5) -> dict:
+def train(docs: Iterable[tuple[int, list[bytes]]], rate: float = 0.5) -> dict:
     """A model from (label, distinct strings) of documents; ``rate``: how
     many of the labelled documents are toxic where the scores are used."""
     empty = {"marks": [], "weights": np.zeros(_SIDE ** 3), "bias": 0.0, "a": 1.0, "b": -2.0}
-    bad, good = [d for y, d in docs if y == 1], [d for y, d in docs if y == 0]
-    if not bad or not good:
+    at: dict[bytes, int] = {}
+    rows_bad, rows_good = [], []
+    for y, strings in docs:
+        (rows_bad if y else rows_good).append(np.array([at.setdefault(w, len(at)) for w in strings], np.int32))
+    if not rows_bad or not rows_good:
         return empty
-    in_bad, in_good = Counter(w for d in bad for w in d if len(w) >= 3), Counter(w for d in good for w in d if len(w) >= 3)
-    weight = {w: n / len(bad) for w, n in in_bad.items() if n >= 2 and n > 20 * len(bad) / len(good) * in_good[w]}
-    ranked = sorted(weight, key=lambda w: (-weight[w], w))[:800]
-    if not ranked:
+    vocab = list(at)
+    del at
+    known = np.array([len(w) >= 3 for w in vocab])
+    df_bad, df_good = (np.bincount(np.concatenate(r), minlength=len(vocab)) * known for r in (rows_bad, rows_good))
+    share_bad, share_good = df_bad / len(rows_bad), df_good / len(rows_good)
+    telling = (df_bad >= 2) & (share_bad > 20 * share_good)
+    by = lambda ids, key: sorted(ids.tolist(), key=lambda i: (-key[i], vocab[i]))
+    picked = by(np.flatnonzero(telling), share_bad)[:400]
+    if not picked:
         return empty
+    ranked = [vocab[i] for i in picked]
     # families: what a string and its likes hold of the toxic documents, less
     # what strings of the others hold that are as like it
-    other = sorted(in_good, key=lambda w: (-in_good[w], w))
-    other = other[:1500] + other[1500::max(1, len(other) // 3000)]
-    share = np.array([weight[w] for w in ranked])
+    benign = by(np.flatnonzero(df_good), df_good)
+    other = benign[:1000] + benign[1000::max(1, len(benign) // 2000)]
+    share = share_bad[picked]
     kin = np.clip(2 * likeness(ranked, ranked) - 0.6, 0, 1)
-    harm = np.clip(2 * likeness(other, ranked) - 0.6, 0, 1).T @ np.array([in_good[w] / len(good) for w in other])
+    harm = np.clip(2 * likeness([vocab[i] for i in other], ranked) - 0.6, 0, 1).T @ share_good[other]
     marks: list[bytes] = []
     left = share.copy()
     for _ in range(LANDMARKS - COMMON):
         gain = kin.T @ left - 3 * harm
         i = int(gain.argmax())
-        if gain[i] * len(bad) < 4:
+        if gain[i] * len(rows_bad) < 4:
             break
         marks.append(ranked[i])
         left *= 1 - kin[:, i]
     toxic = len(marks)
     if not toxic:
         return empty
-    marks += sorted(in_good, key=lambda w: (-in_good[w], w))[:COMMON]
+    marks += [vocab[i] for i in benign[:COMMON]]
     k = likeness(marks, marks).astype(float)
     val, vec = np.linalg.eigh((k + k.T) / 2)
     white = vec @ np.diag(1 / np.sqrt(np.maximum(val, 1e-3))) @ vec.T
 
-    vocab = sorted({w for d in bad + good for w in d})
-    at = {w: i for i, w in enumerate(vocab)}
     like = likeness(vocab, marks)
-    rows_bad = [np.array([at[w] for w in d], np.int64) for d in bad]
-    rows_good = [np.array([at[w] for w in d], np.int64) for d in good]
-    value = like[:, :toxic].max(axis=1) * (0.2 + np.array([w in weight for w in vocab]))
+    value = like[:, :toxic].max(axis=1) * (0.2 + telling)
     extra = [g for i, w in enumerate(marks[:toxic]) for g in _gapped(w, i)]
     extra_like = likeness(extra, marks)
     w, bias = np.zeros(len(marks)), 0.0
@@ -268,9 +273,10 @@ def _logistic(v: np.ndarray, y: np.ndarray, cost: np.ndarray) -> tuple[float, fl
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> dict:
     """Train on at most 2 * ``per_class`` labelled documents; without both
     labels every document has the same low score."""
-    rows = labelled_sample(docs, labels, label, per_class).mapInArrow(_doc_strings, "y int, strings array<binary>").collect()
+    rows = labelled_sample(docs, labels, label, per_class).mapInArrow(_doc_strings, "y int, strings binary").collect()
     rate = labels.where(F.col(label).isin(0, 1) & ~held_out()).agg(F.avg(F.col(label).cast("double"))).first()[0]
-    return train(sorted((r["y"], [bytes(x) for x in r["strings"]]) for r in rows), rate or 0.5)
+    rows = sorted((r["y"], bytes(r["strings"])) for r in rows)
+    return train(((y, x.split(b"\n") if x else []) for y, x in rows), rate or 0.5)
 
 
 # ---- scoring -------------------------------------------------------------
