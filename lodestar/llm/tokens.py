@@ -9,6 +9,7 @@ tokens in a text are ordinary text.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ import pyarrow as pa
 from lodestar.llm import common
 from lodestar.llm.common import byte_runs, word_hashes, word_spans
 
-KNOWN_MAX = 600_000     # distinct pieces remembered per worker
+KNOWN_MAX = 500_000     # distinct pieces remembered per worker
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
 _STOP = np.zeros(256, bool)
@@ -26,6 +27,8 @@ _PRINT = np.zeros(256, bool)
 _PRINT[0x21:0x7F] = True
 _TWO = np.zeros(256, bool)
 _TWO[0xC3:0xE0] = True          # first bytes of two-byte characters that are no white space
+# one word of letters below U+0100, with a space before it or not
+_PLAIN = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
 def _byte_letters() -> list[str]:
@@ -88,9 +91,31 @@ class PieceCache:
 
     def _forget(self):
         self.known: dict[int, int] = {}
-        self.start, self.size = np.zeros(4096, np.int64), np.zeros(4096, np.int64)
+        self.start, self.size, self.met = (np.zeros(4096, np.int64) for _ in range(3))
         self.pool, self.used = np.zeros(16384, np.uint32), 0
 
+    def _shrink(self):
+        """Keep the pieces that most runs have met, at most half of them."""
+        n = len(self.known)
+        least = max(2, int(np.partition(self.met[:n], n // 2)[n // 2]) + 1)
+        keep = self.met[:n] >= least
+        known, start, size, pool = self.known, self.start, self.size, self.pool
+        self._forget()
+        for h, slot in known.items():
+            if keep[slot]:
+                self._put(h, pool[start[slot]:start[slot] + size[slot]])
+
+    def _put(self, h: int, ids):
+        slot = len(self.known)
+        if slot == len(self.start):
+            self.start, self.size, self.met = (np.concatenate([x, np.zeros(slot, np.int64)]) for x in (self.start, self.size, self.met))
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), np.uint32)])
+        self.start[slot], self.size[slot] = self.used, len(ids)
+        self.pool[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.known[h] = slot
+
     def _prepare(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return raw, off
 
@@ -100,18 +125,6 @@ class PieceCache:
     def _encode(self, pieces: list[bytes]) -> list[list[int]]:
         raise TypeError("a subclass encodes the pieces")
 
-    def _learn(self, hashes: list[int], pieces: list[bytes]):
-        for h, ids in zip(hashes, self._encode(pieces)):
-            slot = len(self.known)
-            if slot == len(self.start):
-                self.start, self.size = np.resize(self.start, 2 * slot), np.resize(self.size, 2 * slot)
-            while self.used + len(ids) > len(self.pool):
-                self.pool = np.resize(self.pool, 2 * len(self.pool))
-            self.start[slot], self.size[slot] = self.used, len(ids)
-            self.pool[self.used:self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.known[h] = slot
-
     def runs(self, col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first row, last row + 1, ids, row offsets into ids) for runs of rows."""
         for lo, hi, raw, raw_off in byte_runs(col):
@@ -122,12 +135,15 @@ class PieceCache:
                 continue
             uniq, first, inv = np.unique(word_hashes(data, s, e), return_index=True, return_inverse=True)
             if len(self.known) > KNOWN_MAX:
-                self._forget()
-            keys = uniq.tolist()
-            new = [i for i, h in enumerate(keys) if h not in self.known]
+                self._shrink()
+            keys, known = uniq.tolist(), self.known
+            new = [i for i, h in enumerate(keys) if h not in known]
             buf = data.tobytes()
-            self._learn([keys[i] for i in new], [buf[s[j]:e[j]] for j in first[new].tolist()])
-            slot = np.fromiter((self.known[h] for h in keys), np.int64, len(keys))[inv]
+            for i, ids in zip(new, self._encode([buf[s[j]:e[j]] for j in first[new].tolist()])):
+                self._put(keys[i], ids)
+            slot = np.fromiter((known[h] for h in keys), np.int64, len(keys))
+            self.met[slot] += 1
+            slot = slot[inv]
             size = self.size[slot]
             end = np.cumsum(size)
             ids = self.pool[np.repeat(self.start[slot] - (end - size), size) + np.arange(end[-1])]
@@ -154,16 +170,16 @@ class Encoder(PieceCache):
         return _cut_stops(data, *(_lead_spans(data, off) if self.lead else word_spans(data, off)))
 
     def _encode(self, pieces):
-        return [self._ids(p) for p in pieces]
-
-    def _ids(self, piece: bytes) -> list[int]:
-        text = piece.decode("utf-8")
-        word = text[1:] if self.lead and text[:1] == " " else text
-        if word.isalpha() and max(word) < "\u0100":       # one word of plain letters
-            if not self.lead:
-                text = text.lower()
-            return [t.id for t in self.tok.model.tokenize(text.encode().decode("latin-1").translate(self.table))]
-        return self.tok.encode(text, add_special_tokens=False).ids
+        plain, table, tokenize, tok = _PLAIN.fullmatch, self.table, self.tok.model.tokenize, self.tok
+        out = []
+        for p in pieces:
+            if plain(p):        # one word of plain letters: the vocabulary's own letters for its bytes
+                if not self.lead and not p.isascii():
+                    p = p.decode().lower().encode()
+                out.append([t.id for t in tokenize(p.decode("latin-1").translate(table))])
+            else:
+                out.append(tok.encode(p.decode(), add_special_tokens=False).ids)
+        return out
 
 
 _OPEN: dict[tuple[str, bool], Encoder] = {}
