@@ -22,12 +22,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.llm.common import text_array
 from lodestar.llm.tokens import PieceCache
 
 MARK = "▁"
+FITS_MAX = 400_000     # pairs of pieces remembered per worker
+SHORT = (2, 1)          # lengths to try where no longer piece ends alike
 
 
 class Model:
@@ -44,13 +47,18 @@ class Model:
         self.id = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == 1}
         self.score = {p.piece: p.score for p in proto.pieces if p.type == 1}
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == 6}
-        self.longest = max(map(len, self.id))
+        # lengths of the pieces that end in the same three characters, longest first
+        found: dict[str, set[int]] = {}
+        for p in self.id:
+            if len(p) >= 3:
+                found.setdefault(p[-3:], {1, 2}).add(len(p))
+        self.ends = {k: tuple(sorted(v, reverse=True)) for k, v in found.items()}
         raw = [p.piece.replace(MARK, " ").encode() if p.type == 1 else bytes([int(p.piece[3:5], 16)]) if p.type == 6 else b""
                for p in proto.pieces]
         self.size = np.array([len(x) for x in raw])
         self.start = np.cumsum(self.size) - self.size
         self.pool = np.frombuffer(b"".join(raw), np.uint8)
-        self._fits: dict[tuple[str, str], bool] = {}
+        self._fits: dict[int, bool] = {}
 
     def merged(self, text: str) -> list[str]:
         """Pieces of a short string by merging the best pair, leftmost first."""
@@ -66,47 +74,56 @@ class Model:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def fits(self, left: str, right: str) -> bool:
-        key = (left, right)
-        got = self._fits.get(key)
-        if got is None:
-            if len(self._fits) > 2_000_000:
-                self._fits.clear()
-            got = self._fits[key] = self.merged(left + right) == ([left, right] if left else [right])
-        return got
-
-    def walk(self, words: list[str]) -> list[list[str]]:
-        """Pieces of sorted distinct words, sharing the states of common prefixes."""
+    def _merges(self, left: str, right: str) -> bool:
+        return self.merged(left + right) == ([left, right] if left else [right])
+
+    def walk(self, words: list[str]) -> list[list[int]]:
+        """Ids of sorted distinct words, sharing the states of common prefixes.
+
+        The state of a prefix is the last piece of its one admitted path: its
+        text, its number (characters without a piece have numbers of their
+        own, above all ids) and where it begins."""
+        if len(self._fits) > FITS_MAX:
+            self._fits.clear()
+        ids, ends, fits, none = self.id, self.ends, self._fits, len(self.score) + 1000
         out, before = [], ""
-        last, back = [""], [0]          # state of each prefix of the word at hand: its last piece and that piece's start
+        last, number, back = [""], [none + 0x110000], [0]
         for word in words:
             n, same = len(word), 0
             top = min(n, len(before))
             while same < top and word[same] == before[same]:
                 same += 1
-            del last[same + 1:], back[same + 1:]
+            del last[same + 1:], number[same + 1:], back[same + 1:]
             for end in range(same + 1, n + 1):
-                for begin in range(max(0, end - self.longest), end):
+                for size in ends.get(word[end - 3:end] if end > 2 else "", SHORT):
+                    begin = end - size
+                    if begin < 0:
+                        continue
                     piece = word[begin:end]
-                    if piece in self.id:
-                        if self.fits(last[begin], piece):
-                            break
+                    i = ids.get(piece)
+                    if i is None:
+                        continue
+                    key = i << 22 | number[begin]
+                    ok = fits.get(key)
+                    if ok is None:
+                        ok = fits[key] = self._merges(last[begin], piece)
+                    if ok:
+                        break
                 else:       # a character that no piece holds
                     begin, piece = end - 1, word[end - 1]
+                    i = none + ord(piece)
                 last.append(piece)
+                number.append(i)
                 back.append(begin)
             path, at = [], n
             while at:
-                path.append(last[at])
+                i = number[at]
+                path += [i] if i < none else [self.bytes[b] for b in reversed(last[at].encode())]
                 at = back[at]
             out.append(path[::-1])
             before = word
         return out
 
-    def ids(self, piece: str) -> list[int]:
-        got = self.id.get(piece)
-        return [got] if got is not None else [self.bytes[b] for b in piece.encode()]
-
     def text(self, ids: np.ndarray) -> bytes:
         """The bytes of one text's ids."""
         size = self.size[ids]
@@ -148,7 +165,7 @@ class PieceEncoder(PieceCache):
         order = sorted(range(len(words)), key=words.__getitem__)
         out: list[list[int]] = [[]] * len(words)
         for i, path in zip(order, self.model.walk([words[i] for i in order])):
-            out[i] = [x for p in path for x in self.model.ids(p)]
+            out[i] = path
         return out
 
 
@@ -162,6 +179,28 @@ def encoder(path: str) -> PieceEncoder:
     return _OPEN[path]
 
 
+def digests(docs: DataFrame, model: str) -> DataFrame:
+    """``docs`` (doc_id, text), encoded and decoded again in one pass: doc_id,
+    n_ids, ids_crc32, decoded_crc32 and whether the text came back (``same``).
+    Empty and odd rows are as in ``encode``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(model)
+        for batch in batches:
+            col = text_array(batch)
+            for lo, hi, ids, off in enc.runs(col):
+                texts = col.slice(lo, hi - lo).to_pylist()
+                out: list[list] = [[], [], [], []]
+                for text, a, b in zip(texts, off[:-1].tolist(), off[1:].tolist()):
+                    back = enc.model.text(ids[a:b])
+                    for k, v in enumerate((b - a, zlib.crc32(ids[a:b].astype("<u4").tobytes()), zlib.crc32(back),
+                                           back == text.replace(MARK, " ").encode())):
+                        out[k].append(v)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), *(pa.array(x, pa.int64()) for x in out[:3]),
+                                                  pa.array(out[3], pa.bool_())], names=["doc_id", "n_ids", "ids_crc32", "decoded_crc32", "same"])
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "doc_id long, n_ids long, ids_crc32 long, decoded_crc32 long, same boolean")
+
+
 def _clash_free(df: DataFrame, names: list[str]) -> DataFrame:
     return df.drop(*[n for n in names if n in df.columns])
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lodestar.llm import capfilter, oph, packing, pieces, quality, sanitise, secrets, threshold, tokenstore, toxicity
 from lodestar.llm.common import read_table, shared_path, tokenizer_file
@@ -93,12 +92,7 @@ def op7(spark, sf_dir):
 
 @query("op5_prefix_viterbi")
 def op5(spark, sf_dir):
-    model = tokenizer_file("piece_bpe_32k.model")
-    ids = pieces.encode(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), model)
-    return pieces.decode(ids, model).select(
-        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids_crc32",
-        F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
-        (F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), pieces.MARK, " ")).alias("same"))
+    return pieces.digests(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), tokenizer_file("piece_bpe_32k.model"))
 
 
 @query("op6_secret_forest")
