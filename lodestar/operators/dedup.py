@@ -15,8 +15,7 @@ Spark plan:
   J4  fuzzy edges at the level of distinct token-sorted keys: equal keys need
       no comparison (score 100); different keys are paired by a length-band
       equi-join whose bands are dealt into blocks by their row counts,
-      filtered JVM-side by the lossless length, histogram and Levenshtein
-      bounds, and only survivors reach the Arrow LCS kernel.
+      filtered JVM-side by the lossless length and histogram bounds, and only survivors reach the Arrow LCS kernel.
   J5  items sharing a key are twins: all but the first are duplicates
       whatever happens, so only one representative per key enters the
       ordered resolution, which is the lexicographically-first maximal
@@ -35,7 +34,7 @@ from lodestar.functions import fuzzy as fz
 from lodestar.functions.text import item_hash, norm_title, sort_key
 
 ITEM_COLS = ["item_order", "title", "source_url"]
-BLOCK_KEYS = 1000       # keys of one length band compared in one group
+BLOCK_KEYS = 256        # keys of one length band compared in one group
 
 
 def active_keys(records: DataFrame, order_col: str | None = None) -> DataFrame:
@@ -100,7 +99,6 @@ def candidate_pairs(batch_keys: DataFrame, pool_keys: DataFrame) -> DataFrame:
             .where(fz.groups_ok([F.col(f"ga{i}") for i in range(ng)], [F.col(f"gb{i}") for i in range(ng)],
                                 F.col("la"), F.col("lb")))
             .where(fz.histogram_ok(F.col("ha"), F.col("hb"), F.col("la"), F.col("lb")))
-            .where(fz.edits_ok(F.col("a"), F.col("b"), F.col("la"), F.col("lb")))
             .select("a", "b", "a_is_pool", "b_is_batch", "b_is_pool"))
 
 
