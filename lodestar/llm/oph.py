@@ -7,7 +7,10 @@ sequence per bin names.  Equal sets are one class from then on, so copies
 never meet as pairs.  Four bins make a band; in a bucket of a band every
 class is compared with three centres only (the member that shares most
 buckets, and two picked by hash), so candidates grow with the members, not
-their square.  Candidates are confirmed on their full shingle sets.
+their square.  Candidates are confirmed on their full shingle sets.  Buckets
+whose members are not one component after that get an exact second pass:
+the members outside a bucket's largest component are compared with all its
+members of other components.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from lodestar.llm.common import mix, shingle_sets, text_array, written
 from lodestar.llm.components import components
 
 BINS, ROWS = 128, 4
+BLOCK = 256             # members of a bucket that meet in one group of the second pass
 _BITS = 7
 _TRIES = 512
 
@@ -175,14 +179,48 @@ def _candidates(members: DataFrame) -> DataFrame:
     return stars.where("cls <> c").select(F.least("cls", "c").alias("a"), F.greatest("cls", "c").alias("b")).distinct()
 
 
+def _rest(members: DataFrame, sizes: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that share a bucket, lie in different components and can
+    reach ``percent`` by their sizes.  Of such a pair at least one member is
+    outside the bucket's largest component; those members meet all others of
+    the bucket in groups of about ``BLOCK`` by ``BLOCK``."""
+    at = comp.withColumnRenamed("node", "cls")
+    m = members.join(at, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    parts = m.groupBy("band", "bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    split = parts.groupBy("band", "bucket").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n_all"),
+        F.count(F.lit(1)).alias("n_parts")).where("n_parts > 1").select(
+        "band", "bucket", "main", F.ceil(F.col("n_all") / BLOCK).alias("wide"), F.ceil((F.col("n_all") - F.col("n_main")) / BLOCK).alias("high"))
+    m = written(m.join(split, ["band", "bucket"]).join(sizes, "cls"), "split")
+    deal = lambda n, seed: F.pmod(F.xxhash64("cls", F.lit(seed)), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    x = m.where("component <> main").select(
+        "band", "bucket", deal("high", 11).alias("i"), every("wide").alias("j"), F.col("cls").alias("a"), F.col("component").alias("ca"), F.col("n_shingles").alias("na"))
+    y = m.select(
+        "band", "bucket", deal("wide", 12).alias("j"), every("high").alias("i"), F.col("cls").alias("b"), F.col("component").alias("cb"), F.col("n_shingles").alias("nb"),
+        (F.col("component") == F.col("main")).alias("in_main"))
+    return (x.join(y, ["band", "bucket", "i", "j"])
+            .where(f"ca <> cb and (in_main or a < b) and 100L * least(na, nb) >= {int(percent)}L * greatest(na, nb)")
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
 def _links(src: DataFrame, sig: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Links whose components are those of all links between members of a bucket."""
     pairs = written(_candidates(members), "pairs")
-    wanted = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select(F.col("b").alias("cls"))).distinct()
+    wanted = members.select("cls").distinct()
     reps = sig.select(F.col("rid").alias("cls"), "doc_id", "th", "k1", "k2").join(wanted, "cls")
     texts = src.join(reps, src.doc_id.eqNullSafe(reps.doc_id) & (src.th == reps.th)).select("text", "k1", "k2", "cls")
     sets = written(texts.mapInArrow(_sets, _SET).select("cls", "elems"), "sets")
     if sets.groupBy("cls").count().where("count > 1").limit(1).count():  # rows that repeat in id and text
         sets = sets.dropDuplicates(["cls"])
+    stars = written(_confirmed(pairs, sets, percent), "links")
+    sizes = sig.select(F.col("rid").alias("cls"), "n_shingles")
+    rest = written(_rest(members, sizes, components(stars), percent).join(pairs, ["a", "b"], "left_anti"), "rest")
+    return stars if rest.isEmpty() else stars.unionAll(_confirmed(rest, sets, percent))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are links by their full sets."""
     x = sets.select(F.col("cls").alias("a"), F.col("elems").alias("ea"))
     y = sets.select(F.col("cls").alias("b"), F.col("elems").alias("eb"))
     both = F.size(F.array_intersect("ea", "eb"))

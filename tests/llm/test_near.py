@@ -72,6 +72,16 @@ def test_copies_around_a_hub_are_one_group(spark):
     assert got == dict(enumerate(comp))
 
 
+def test_family_without_a_hub(spark):
+    # one template; only the two texts of a pair reach 0.75 (101 of 133), all others stay below it (100 of 134)
+    base = [f"a{i}" for i in range(104)]
+    texts = [" ".join(base + [f"s{r // 2}"] + [f"p{r}x{j}" for j in range(16)]) for r in range(160)]
+    got = {r.doc_id: r.component_id for r in oph.near_duplicates(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    _, comp = plain_near(texts)
+    assert comp == [r - r % 2 for r in range(160)] and got == dict(enumerate(comp))
+
+
 def test_op2_equals_brute_force(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
     s, comp = plain_near([d.text for d in docs])
