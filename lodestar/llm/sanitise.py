@@ -2,8 +2,8 @@
 expressions only.
 
 Base spans (e-mail, IP address, card, phone) are the protected entities.
-The lines that hold an entity of a kind, each distinct line once, are the
-kind's context; all words of all texts are the corpus.  A term's disclosure
+The lines that hold an entity of a kind are the kind's context; all words of
+all texts are the corpus, and both count every occurrence, copies too.  A term's disclosure
 of a kind is its pointwise mutual information with the context over the
 kind's information content: 1 if the term is found in that context only, 0 if
 it is found there as often as anywhere.  Terms of at least ``DISCLOSES``
@@ -107,11 +107,12 @@ def _terms(text: Column) -> Column:
 
 def disclosing_terms(docs: DataFrame, lines: DataFrame, support: int = SUPPORT, discloses: float = DISCLOSES) -> DataFrame:
     """(term, kind, disclosure) from all words of ``docs`` (text) and the
-    entity ``lines`` (line, kinds); a line that repeats counts once."""
+    entity ``lines`` (line, kinds).  A line that repeats is taken apart once
+    and its words count as often as it occurs, as they do in the corpus."""
     once = lines.groupBy(F.xxhash64("line").alias("a"), F.xxhash64("line", F.lit(7)).alias("b")).agg(
-        F.first("line").alias("line"), F.first("kinds").alias("kinds"))
-    near = once.select("kinds", F.explode(_terms(F.col("line"))).alias("term")).select("term", F.explode("kinds").alias("kind"))
-    joint = written(near.groupBy("term", "kind").agg(F.count(F.lit(1)).alias("n_joint")), "pii-joint")
+        F.first("line").alias("line"), F.first("kinds").alias("kinds"), F.count(F.lit(1)).alias("times"))
+    near = once.select("kinds", "times", F.explode(_terms(F.col("line"))).alias("term")).select("term", "times", F.explode("kinds").alias("kind"))
+    joint = written(near.groupBy("term", "kind").agg(F.sum("times").alias("n_joint")), "pii-joint")
     corpus = docs.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     corpus = written(corpus, "pii-terms")
     context = joint.groupBy("kind").agg(F.sum("n_joint").alias("n_kind"))

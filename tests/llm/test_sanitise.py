@@ -3,6 +3,8 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from lodestar.llm import queries, sanitise
 
 SMALL = "/root/testdata/sf0.001"
@@ -60,3 +62,19 @@ def test_disclosing_terms_are_removed_from_entity_lines_only(spark):
     assert got[400].sanitised is None and got[100].sanitised is None
     assert got[0].sanitised.split("\n")[0] == "plain words here w0x"
     assert sanitise.sanitise(spark.createDataFrame(rows, "doc_id long, text string, term string").limit(0)).count() == 0
+
+
+def test_copies_leave_the_disclosing_terms_as_they_are(spark):
+    rows = [f"plain words here w{i}x\nkontakt mailbox: u{i}@x.org and words" for i in range(12)]
+    rows += ["plain words here and there"] * 200 + ["kontakt without any"]
+    rows += [f"zentrale at v{i % 2}@y.org" for i in range(40)]      # two lines in twenty copies each
+
+    def found(texts):
+        docs = spark.createDataFrame([(t,) for t in texts], "text string")
+        lines = docs.select(F.explode(sanitise._entity_lines(F.col("text"))).alias("x")).select("x.line", "x.kinds")
+        return {(r.term, r.kind): round(r.disclosure, 9) for r in sanitise.disclosing_terms(docs, lines).collect()}
+    once = found(rows)
+    assert {("kontakt", 0), ("mailbox", 0), ("zentrale", 0)} <= set(once) and ("plain", 0) not in once
+    assert once["mailbox", 0] == once["zentrale", 0] == 1
+    many = found(rows * 30)
+    assert set(many) == set(once) and many == once
