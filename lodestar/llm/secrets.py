@@ -8,7 +8,9 @@ words next to it.  It is trained on labelled findings.  Where the user has
 none, findings of the corpus label themselves by rules that are seldom wrong
 (a provider's format, a value assigned to a secret's name; or digits alone, a
 path, an address, dictionary words), and copies without their context make
-the forest judge by the candidate too.
+the forest judge by the candidate too.  All documents are labelled; only the
+findings that are learned from are bounded.  Where they are of one label,
+there is nothing to train and the rules decide alone.
 """
 
 from __future__ import annotations
@@ -23,10 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.llm.common import byte_runs, text_array
+from lodestar.llm.common import byte_runs, text_array, written
 from lodestar.llm.sanitise import _terms
 
-SAMPLE_DOCS = 20_000    # documents whose findings train the forest
 PER_LABEL = 4000        # findings of each label that are learned from
 DICTIONARY = 3000       # most frequent words of all texts
 TREES, DEPTH, CUT = 40, 8, 0.5
@@ -141,7 +142,7 @@ def vote(forest: list[tuple], x: np.ndarray) -> np.ndarray:
 
 def train(findings: list[tuple[bytes, bytes, bytes, int]], words: frozenset) -> dict:
     """A model from labelled findings (candidate, before, after, 0 or 1)."""
-    if len({y for *_, y in findings}) < 2:      # nothing to tell apart: every candidate counts
+    if len({y for *_, y in findings}) < 2:      # nothing to tell apart: the rules decide
         return {"forest": [], "words": words}
     rows = [(features(c, b, a, words), y) for c, b, a, y in findings]
     rows += [(features(c, b" ", b" ", words), y) for c, _, _, y in findings]
@@ -158,14 +159,11 @@ def dictionary(docs: DataFrame, size: int = DICTIONARY) -> frozenset:
 
 def fit(docs: DataFrame, labelled: DataFrame | None = None) -> dict:
     """The model for ``docs``.  ``labelled`` (candidate, before, after, label)
-    are the user's findings; without them those of a sample of documents."""
+    are the user's findings; without them those of all documents."""
     words = dictionary(docs)
     if labelled is not None:
         rows = labelled.where(F.col("label").isin(0, 1)).orderBy(F.xxhash64("candidate", "before")).limit(2 * PER_LABEL).collect()
         return train([(r["candidate"].encode(), (r["before"] or "").encode(), (r["after"] or "").encode(), int(r["label"])) for r in rows if r["candidate"]], words)
-    ids = docs.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id", F.lit(6))).limit(SAMPLE_DOCS)
-    some = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text")        # 20,000 ids
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], [], []]
@@ -181,7 +179,8 @@ def fit(docs: DataFrame, labelled: DataFrame | None = None) -> dict:
                                 out[k].append(v)
             yield pa.RecordBatch.from_arrays([pa.array(out[k], pa.binary()) for k in range(3)] + [pa.array(out[3], pa.int32())],
                                              names=["c", "before", "after", "y"])
-    found = some.mapInArrow(run, "c binary, before binary, after binary, y int").dropDuplicates(["c", "before"])
+    found = docs.select("text").mapInArrow(run, "c binary, before binary, after binary, y int").dropDuplicates(["c", "before"])
+    found = written(found, "findings")
     key = F.xxhash64("c", "before", "after")
     rows = [r for y in (0, 1) for r in found.where(F.col("y") == y).orderBy(key).limit(PER_LABEL).collect()]
     return train([(bytes(r["c"]), bytes(r["before"]), bytes(r["after"]), r["y"]) for r in rows], words)
@@ -195,7 +194,8 @@ def find(text: bytes, model: dict, cut: float = CUT) -> tuple[list[tuple[int, in
     if not spans:
         return [], 0, 0.0
     if not model["forest"]:
-        return spans, len(spans), 1.0
+        sure = [(a, b) for a, b in spans if self_label(*context(text, a, b), model["words"]) == 1]
+        return sure, len(spans), float(bool(sure))
     p = vote(model["forest"], np.array([features(*context(text, a, b), model["words"]) for a, b in spans]))
     return [s for s, v in zip(spans, p) if v >= cut], len(spans), float(p.max())
 
