@@ -6,7 +6,8 @@ letters (signs and spaces match nothing), each gap weighted by ``DECAY`` per let
 inserted characters and gaps weaken a likeness but keep it.  A string is a
 word without its outer punctuation, or a run of single letters with their
 spaces.  Landmarks are the strings that mark toxic labelled documents, and
-common other ones; the kernel to them, whitened by their own kernel matrix,
+common other ones, as many as it takes until no further one tells of
+documents that those before leave open; the kernel to them, whitened by their own kernel matrix,
 is the feature map of a linear machine.  As the machine is linear in the
 subsequences' weights, it is kept as one weight per subsequence, and scoring
 a string is a sum of look-ups.  It is trained on labelled sentences:
@@ -30,7 +31,7 @@ from lodestar.llm.labelled import labelled_sample
 
 PER_CLASS = 1000        # labelled documents of each class that are learned from
 MAX_STRINGS = 2000      # documents with more distinct strings are not learned from (they are scored in full)
-LANDMARKS, COMMON, DECAY, LONG = 32, 8, 0.7, 24
+COMMON, DECAY, LONG = 8, 0.7, 24
 KNOWN_MAX = 1_000_000
 CUT = 0.3
 
@@ -193,7 +194,7 @@ def train(docs: Iterable[tuple[int, list[bytes]]], rate: float = 0.5) -> dict:
     share_bad, share_good = df_bad / len(rows_bad), df_good / len(rows_good)
     telling = (df_bad >= 2) & (share_bad > 20 * share_good)
     by = lambda ids, key: sorted(ids.tolist(), key=lambda i: (-key[i], vocab[i]))
-    picked = by(np.flatnonzero(telling), share_bad)[:400]
+    picked = by(np.flatnonzero(telling), share_bad)
     if not picked:
         return empty
     ranked = [vocab[i] for i in picked]
@@ -201,18 +202,19 @@ def train(docs: Iterable[tuple[int, list[bytes]]], rate: float = 0.5) -> dict:
     # what strings of the others hold that are as like it
     benign = by(np.flatnonzero(df_good), df_good)
     other = benign[:1000] + benign[1000::max(1, len(benign) // 2000)]
-    share = share_bad[picked]
-    kin = np.clip(2 * likeness(ranked, ranked) - 0.6, 0, 1)
-    harm = np.clip(2 * likeness([vocab[i] for i in other], ranked) - 0.6, 0, 1).T @ share_good[other]
+    rows, cols, vals, harm = _kin(ranked, [vocab[i] for i in other], share_good[other])
+    first = np.searchsorted(cols, np.arange(len(ranked) + 1))
     marks: list[bytes] = []
-    left = share.copy()
-    for _ in range(LANDMARKS - COMMON):
-        gain = kin.T @ left - 3 * harm
+    left, free = share_bad[picked].copy(), np.ones(len(ranked), bool)
+    while True:
+        gain = np.where(free, np.bincount(cols, vals * left[rows], len(ranked)) - 3 * harm, -np.inf)
         i = int(gain.argmax())
         if gain[i] * len(rows_bad) < 4:
             break
         marks.append(ranked[i])
-        left *= 1 - kin[:, i]
+        free[i] = False
+        at_i = slice(first[i], first[i + 1])
+        left[rows[at_i]] *= 1 - vals[at_i]
     toxic = len(marks)
     if not toxic:
         return empty
@@ -221,8 +223,10 @@ def train(docs: Iterable[tuple[int, list[bytes]]], rate: float = 0.5) -> dict:
     val, vec = np.linalg.eigh((k + k.T) / 2)
     white = vec @ np.diag(1 / np.sqrt(np.maximum(val, 1e-3))) @ vec.T
 
-    like = likeness(vocab, marks)
-    value = like[:, :toxic].max(axis=1) * (0.2 + telling)
+    best = np.zeros(len(vocab), np.float32)         # likeness of all strings is never held for all marks at once
+    for lo in range(0, toxic, 32):
+        best = np.maximum(best, likeness(vocab, marks[lo:min(lo + 32, toxic)]).max(axis=1))
+    value = best * (0.2 + telling)
     extra = [g for i, w in enumerate(marks[:toxic]) for g in _gapped(w, i)]
     extra_like = likeness(extra, marks)
     w, bias = np.zeros(len(marks)), 0.0
@@ -232,17 +236,37 @@ def train(docs: Iterable[tuple[int, list[bytes]]], rate: float = 0.5) -> dict:
         spread = np.unique(np.concatenate([r[::7] for r in rows_good if len(r)]))
         neg = np.union1d(top, spread[:: max(1, len(spread) // 8000)])
         pos = np.setdiff1d(pos, neg)
-        x = np.concatenate([like[pos], extra_like, like[neg]]) @ white
+        x = np.concatenate([likeness([vocab[i] for i in pos], marks), extra_like, likeness([vocab[i] for i in neg], marks)]) @ white
         y = np.concatenate([np.ones(len(pos) + len(extra)), -np.ones(len(neg))])
         cost = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
         w, bias = _machine(x, y, cost)
-        value = like @ (white @ w) + bias
-    beta = white @ w
+        weights = _weights(marks, white @ w)
+        value = against(vocab, weights.astype(np.float32)[:, None])[:, 0] + bias
     top_of = lambda rows: np.array([value[r].max() if len(r) else value.min() for r in rows])
     v = np.concatenate([top_of(rows_bad), top_of(rows_good)])
     a, b = _logistic(v, np.repeat([1.0, 0.0], [len(rows_bad), len(rows_good)]),
                      np.repeat([rate / len(rows_bad), (1 - rate) / len(rows_good)], [len(rows_bad), len(rows_good)]) * len(v))
-    return {"marks": marks, "weights": mark_table(marks).astype(float) @ beta, "bias": bias, "a": a, "b": b}
+    return {"marks": marks, "weights": weights, "bias": bias, "a": a, "b": b}
+
+
+def _weights(marks: list[bytes], beta: np.ndarray) -> np.ndarray:
+    """One weight per subsequence: the landmarks' tables times their weights, 32 at a time."""
+    return sum(mark_table(marks[lo:lo + 32]).astype(float) @ beta[lo:lo + 32] for lo in range(0, len(marks), 32))
+
+
+def _kin(ranked: list[bytes], other: list[bytes], share: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, columns, values) of the likeness of ``ranked`` to itself where it
+    counts, by column, and what ``other`` holds that is as like each; 32 columns at a time."""
+    rows, cols, vals, harm = [], [], [], []
+    for lo in range(0, len(ranked), 32):
+        table = mark_table(ranked[lo:lo + 32])
+        kin = np.clip(2 * against(ranked, table) - 0.6, 0, 1).T
+        c, r = np.nonzero(kin)
+        rows.append(r)
+        cols.append(c + lo)
+        vals.append(kin[c, r].astype(float))
+        harm.append(np.clip(2 * against(other, table) - 0.6, 0, 1).T @ share)
+    return np.concatenate(rows), np.concatenate(cols), np.concatenate(vals), np.concatenate(harm)
 
 
 def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray, c: float = 3000.0, rounds: int = 400) -> tuple[np.ndarray, float]:
