@@ -10,10 +10,11 @@ common other ones, as many as it takes until no further one tells of
 documents that those before leave open; the kernel to them, whitened by their own kernel matrix,
 is the feature map of a linear machine.  As the machine is linear in the
 subsequences' weights, it is kept as one weight per subsequence, and scoring
-a string is a sum of look-ups.  It is trained on labelled sentences:
-a sentence is as toxic as its most toxic string, and in a toxic document the
-sentence that the machine finds worst is the example.  A document's score is
-its worst sentence's, through a logistic curve fitted on training documents.
+a string is a sum of look-ups.  It is trained on labelled documents, which
+are sets of strings, not sentences: a document is as toxic as its most toxic
+string, and in a toxic document the string that the machine finds worst is
+the example.  Nothing is seen across a word gap.  A document's score is its
+worst string's, through a logistic curve fitted on training documents.
 """
 
 from __future__ import annotations
