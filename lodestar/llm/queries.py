@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import capfilter, oph, packing, pieces, quality, sanitise, secrets, threshold, tokenstore, toxicity
+from lodestar.llm import capfilter, oph, packing, partcode, pieces, quality, sanitise, secrets, threshold, tokenstore, toxicity
 from lodestar.llm.common import read_table, shared_path, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,31 @@ def op8(spark, sf_dir):
 def op9(spark, sf_dir):
     return toxicity.classify(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
                              read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
+
+
+def _nearest(n: int) -> str:
+    """Steps of the SQL of operator 11: parts to the nearest entries of the n-th codebooks."""
+    return f"""
+d{n} AS (SELECT p.vec_id, p.j, p.part, c.e, list_sum(list_transform(list_zip(p.part, c.part), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+         FROM p JOIN c{n} c ON c.j = p.j),
+a{n} AS (SELECT vec_id, j, part, e, CAST(d AS BIGINT) AS d FROM d{n} QUALIFY row_number() OVER (PARTITION BY vec_id, j ORDER BY d, e) = 1)"""
+
+
+def _means(n: int) -> str:
+    return f"""
+m{n} AS (SELECT j, e, k, CAST(floor(sum(part[k]) / count(*)) AS BIGINT) AS v FROM a{n - 1}, range(1, len(part) + 1) r(k) GROUP BY j, e, k),
+c{n} AS (SELECT c.j, c.e, coalesce(m.part, c.part) AS part FROM c{n - 1} c
+         LEFT JOIN (SELECT j, e, list(v ORDER BY k) AS part FROM m{n} GROUP BY j, e) m ON m.j = c.j AND m.e = c.e)"""
+
+
+@query("op11_trie_part_codes", f"""
+WITH k AS (SELECT vec_id, label, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+p AS (SELECT vec_id, j, x[j * (len(x) // 16) + 1 : (j + 1) * (len(x) // 16)] AS part FROM k, range(16) r(j)),
+c0 AS (SELECT j, row_number() OVER (PARTITION BY j ORDER BY vec_id) - 1 AS e, part FROM p QUALIFY e < 64),{_nearest(0)},{_means(1)},{_nearest(1)},{_means(2)},{_nearest(2)},
+v AS (SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY j) AS code, CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY vec_id),
+s AS (SELECT sha256(string_agg(array_to_string(part, ','), ',' ORDER BY j, e)) AS codebooks_sha256 FROM c2)
+SELECT v.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM v JOIN k ON k.vec_id = v.vec_id, s""")
+def op11(spark, sf_dir):
+    return partcode.compress(read_table(spark, sf_dir, "embeddings", ["vec_id", "label", "embedding"]))

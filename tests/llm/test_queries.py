@@ -10,17 +10,18 @@ COLUMNS = {
     "op1": ["vec_id", "n_links", "component_id", "kept"], "op2": ["doc_id", "n_shingles", "component_id", "kept"],
     "op3": ["query_id", "rank", "vec_id", "score"], "op4": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
     "op7": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"], "op8": ["doc_id", "held_out", "score", "predicted"],
-    "op9": ["doc_id", "held_out", "score", "predicted"], "op10": ["doc_id", "start", "n_tokens", "ids_crc32"]}
+    "op9": ["doc_id", "held_out", "score", "predicted"], "op10": ["doc_id", "start", "n_tokens", "ids_crc32"],
+    "op11": ["vec_id", "code", "error", "label_error", "codebooks_sha256"]}
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 12))
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     got = QUERIES[name](spark, SMALL)
     rel = con.sql(SQL[name])
