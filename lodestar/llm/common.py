@@ -102,12 +102,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last + 1 byte of each word ``[^\\x20\\x09-\\x0D]+``, texts apart."""
+def word_spans(data: np.ndarray, off: np.ndarray, inside: np.ndarray = ~_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """First and last + 1 byte of each word, texts apart: a run of bytes for
+    which ``inside`` holds, ``[^\\x20\\x09-\\x0D]+`` if not given."""
     if not len(data):
         z = np.zeros(0, np.int64)
         return z, z
-    word = ~_SPACE[data]
+    word = inside[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[off] = True
     before = np.empty(len(data), bool)

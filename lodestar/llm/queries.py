@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import capfilter, oph, packing, partcode, pieces, quality, sanitise, secrets, threshold, tokenstore, toxicity
+from lodestar.llm import capfilter, oph, packing, partcode, pieces, quality, resample, sanitise, secrets, threshold, tokenstore, toxicity
 from lodestar.llm.common import read_table, shared_path, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,8 @@ SELECT v.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGIN
 FROM v JOIN k ON k.vec_id = v.vec_id, s""")
 def op11(spark, sf_dir):
     return partcode.compress(read_table(spark, sf_dir, "embeddings", ["vec_id", "label", "embedding"]))
+
+
+@query("op12_bit_sliced_resampling")
+def op12(spark, sf_dir):
+    return resample.resample(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), read_table(spark, sf_dir, "benchmark", ["text"]))
