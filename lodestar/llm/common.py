@@ -58,8 +58,8 @@ def text_array(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
     return col
 
 
-def byte_runs(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row + 1, bytes, row offsets into bytes) for runs of rows of bounded size."""
+def byte_runs(col: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, last row + 1, bytes, row offsets into bytes) for runs of rows of about ``size`` bytes."""
     n = len(col)
     if not n:
         return
@@ -68,7 +68,7 @@ def byte_runs(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     data = np.frombuffer(col.buffers()[2], dtype=np.uint8) if col.buffers()[2] is not None else np.zeros(0, np.uint8)
     lo = 0
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(off, off[lo] + CHUNK_BYTES, side="right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(off, off[lo] + size, side="right")) - 1)
         yield lo, hi, data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
         lo = hi
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import capfilter, oph, packing, partcode, pieces, quality, resample, sanitise, secrets, threshold, tokenstore, toxicity
+from lodestar.llm import capfilter, mixing, oph, packing, partcode, pieces, quality, resample, sanitise, secrets, threshold, tokenstore, toxicity
 from lodestar.llm.common import read_table, shared_path, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,8 @@ def op11(spark, sf_dir):
 @query("op12_bit_sliced_resampling")
 def op12(spark, sf_dir):
     return resample.resample(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), read_table(spark, sf_dir, "benchmark", ["text"]))
+
+
+@query("op13_context_mixing_lm")
+def op13(spark, sf_dir):
+    return mixing.language_scores(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))

@@ -12,11 +12,12 @@ COLUMNS = {
     "op7": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"], "op8": ["doc_id", "held_out", "score", "predicted"],
     "op9": ["doc_id", "held_out", "score", "predicted"], "op10": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op11": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
-    "op12": ["doc_id", "n_features", "weight", "score", "rank"]}
+    "op12": ["doc_id", "n_features", "weight", "score", "rank"],
+    "op13": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]}
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 13))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
