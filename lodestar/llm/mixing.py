@@ -41,6 +41,7 @@ MIN_BITS, MAX_BITS, BLOCK_BITS = 16, 22, 6      # a predictor's table has 2^bits
 GATES, NODES, ODDS = 256, 256, 33
 SLICE = 1 << 22                 # bytes of text whose equal events are computed once
 BATCH, RATE = 4096, 0.02        # events of one online step, and its size
+CACHE = 1 << 20                 # events that a task keeps with their probabilities
 HOT = 1 << 16                   # words whose counts go to all tasks
 _END_WORD = np.int64(-0x2B5A3F1C9D4E6071)
 _STRETCH_MAX = 8.0
@@ -217,6 +218,30 @@ class Model:
         return out
 
 
+class Remembered:
+    """``Model.log10`` that keeps the events of earlier slices, up to about ``CACHE`` of them."""
+
+    def __init__(self, model: Model):
+        self.model, self.ids, self.values = model, np.zeros(0, np.int64), np.zeros(0)
+
+    def log10(self, events: np.ndarray) -> np.ndarray:
+        order = np.argsort(events)
+        ids = events[order]
+        at = np.searchsorted(self.ids, ids)
+        old = np.zeros(len(ids), bool)
+        old[at < len(self.ids)] = self.ids[at[at < len(self.ids)]] == ids[at < len(self.ids)]
+        values = np.empty(len(ids))
+        values[old] = self.values[at[old]]
+        values[~old] = self.model.log10(ids[~old])
+        if len(self.ids) > CACHE:
+            self.ids, self.values = ids, values
+        else:
+            self.ids, self.values = np.insert(self.ids, at[~old], ids[~old]), np.insert(self.values, at[~old], values[~old])
+        out = np.empty(len(ids))
+        out[order] = values
+        return out
+
+
 def _cell(odds: np.ndarray) -> np.ndarray:
     return np.rint((odds + _STRETCH_MAX) * ((ODDS - 1) / (2 * _STRETCH_MAX))).astype(np.int64)
 
@@ -423,7 +448,7 @@ def _per_row(row: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 def _score(model, hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        rid, m = TaskContext.get().partitionId() << 33, model.value
+        rid, m = TaskContext.get().partitionId() << 33, Remembered(model.value)
         hot_key, hot_n = hot.value
         for batch in batches:
             rows = len(batch)

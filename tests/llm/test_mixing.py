@@ -108,6 +108,15 @@ def test_counters_hold_all_events(model, spark):
     assert s & 255 == min(mine, 255)         # all bytes after a blank that matter here are below 128 or scaled with it
 
 
+def test_remembered_events_have_the_same_probability(model, monkeypatch):
+    monkeypatch.setattr(mixing, "CACHE", 300)
+    rng, kept = np.random.default_rng(2), mixing.Remembered(model)
+    for _ in range(6):
+        events = np.unique(rng.integers(0, 900, 200)) * 257 + (1 << 30)
+        rng.shuffle(events)
+        assert np.array_equal(kept.log10(events), model.log10(events))
+
+
 def test_states_keep_small_counts():
     n0, n1 = np.array([0, 3, 0, 1000, 1, 255]), np.array([0, 0, 9, 1, 100000, 255])
     s = mixing.states(n0, n1)
