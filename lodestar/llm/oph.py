@@ -7,10 +7,12 @@ sequence per bin names.  Equal sets are one class from then on, so copies
 never meet as pairs.  Four bins make a band; in a bucket of a band every
 class is compared with three centres only (the member that shares most
 buckets, and two picked by hash), so candidates grow with the members, not
-their square.  Candidates are confirmed on their full shingle sets.  Buckets
-whose members are not one component after that get an exact second pass:
-the members outside a bucket's largest component are compared with all its
-members of other components.
+their square.  Candidates are confirmed on their full shingle sets.  Classes
+of buckets that are not one component after that get an exact second pass: a
+prefix-filtered join on their rarest shingles.  Two sets that reach the bound
+share one of their rarest shingles early enough; shingles of one set alone
+never meet, and of a template that many texts share only what two sets can
+still reach the bound with.  Only pairs of different components are looked at.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from lodestar.llm.common import mix, shingle_sets, text_array, written
 from lodestar.llm.components import components
 
 BINS, ROWS = 128, 4
-BLOCK = 256             # members of a bucket that meet in one group of the second pass
+BLOCK = 256             # classes with a common shingle that meet in one group of the second pass
 _BITS = 7
 _TRIES = 512
 
@@ -179,28 +181,49 @@ def _candidates(members: DataFrame) -> DataFrame:
     return stars.where("cls <> c").select(F.least("cls", "c").alias("a"), F.greatest("cls", "c").alias("b")).distinct()
 
 
-def _rest(members: DataFrame, sizes: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that share a bucket, lie in different components and can
-    reach ``percent`` by their sizes.  Of such a pair at least one member is
-    outside the bucket's largest component; those members meet all others of
-    the bucket in groups of about ``BLOCK`` by ``BLOCK``."""
-    at = comp.withColumnRenamed("node", "cls")
-    m = members.join(at, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    parts = m.groupBy("band", "bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    split = parts.groupBy("band", "bucket").agg(
+def _prefixes(sets: DataFrame, loose: DataFrame, percent: int) -> DataFrame:
+    """(cls, component, n, at, token): the shingles of every set by which a
+    partner must be found.  Shingles are ordered by the number of sets that
+    hold them, rarest first; ``at`` is the place in that order.  Sets of n and
+    n' shingles that reach ``percent`` have at least percent / 100 of n in
+    common, so one of the first n - that + 1 is common.  Shingles of one set
+    alone come first in the order and are left out of the rows."""
+    each = sets.join(loose, "cls").select("cls", "component", F.size("elems").alias("n"), F.explode("elems").alias("token"))
+    held = each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    own = each.join(held, "token").groupBy("cls").agg(
+        F.min("component").alias("component"), F.min("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "token"))).alias("common"))
+    own = own.withColumn("alone", F.col("n") - F.size("common")).withColumn(
+        "take", F.expr(f"int(n - (({int(percent)}L * n + 99) div 100) + 1 - alone)"))
+    return own.where("take > 0").select("cls", "component", "n", "alone", F.posexplode(F.slice("common", F.lit(1), F.col("take"))).alias("k", "t")).select(
+        "cls", "component", "n", (F.col("alone") + F.col("k")).alias("at"), F.col("t.token").alias("token"))
+
+
+def _rest(members: DataFrame, sets: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that may reach ``percent``, among
+    the classes of buckets that are not one component.  Of such a pair at
+    least one is outside the largest component of a shingle they share; those
+    meet all others of the shingle in groups of about ``BLOCK`` by ``BLOCK``."""
+    m = members.join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    split = m.groupBy("band", "bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    loose = m.join(split, ["band", "bucket"], "left_semi").select("cls", "component").distinct()
+    pre = written(_prefixes(sets, loose, percent), "prefixes")
+    parts = pre.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"))
+    mixed = parts.groupBy("token").agg(
         F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n_all"),
         F.count(F.lit(1)).alias("n_parts")).where("n_parts > 1").select(
-        "band", "bucket", "main", F.ceil(F.col("n_all") / BLOCK).alias("wide"), F.ceil((F.col("n_all") - F.col("n_main")) / BLOCK).alias("high"))
-    m = written(m.join(split, ["band", "bucket"]).join(sizes, "cls"), "split")
+        "token", "main", F.ceil(F.col("n_all") / BLOCK).alias("wide"), F.ceil((F.col("n_all") - F.col("n_main")) / BLOCK).alias("high"))
+    m = pre.join(mixed, "token")
     deal = lambda n, seed: F.pmod(F.xxhash64("cls", F.lit(seed)), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     x = m.where("component <> main").select(
-        "band", "bucket", deal("high", 11).alias("i"), every("wide").alias("j"), F.col("cls").alias("a"), F.col("component").alias("ca"), F.col("n_shingles").alias("na"))
+        "token", deal("high", 11).alias("i"), every("wide").alias("j"), F.col("cls").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("at").alias("ia"))
     y = m.select(
-        "band", "bucket", deal("wide", 12).alias("j"), every("high").alias("i"), F.col("cls").alias("b"), F.col("component").alias("cb"), F.col("n_shingles").alias("nb"),
+        "token", deal("wide", 12).alias("j"), every("high").alias("i"), F.col("cls").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("at").alias("ib"),
         (F.col("component") == F.col("main")).alias("in_main"))
-    return (x.join(y, ["band", "bucket", "i", "j"])
-            .where(f"ca <> cb and (in_main or a < b) and 100L * least(na, nb) >= {int(percent)}L * greatest(na, nb)")
+    # a shingle at places ia and ib leaves at most min(na - ia, nb - ib) in common if no earlier one is
+    need = f"({int(percent)}L * (na + nb) + {99 + int(percent)}) div {100 + int(percent)}"
+    return (x.join(y, ["token", "i", "j"])
+            .where(f"ca <> cb and (in_main or a < b) and 100L * least(na, nb) >= {int(percent)}L * greatest(na, nb) and least(na - ia, nb - ib) >= {need}")
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
@@ -214,8 +237,7 @@ def _links(src: DataFrame, sig: DataFrame, members: DataFrame, percent: int) ->
     if sets.groupBy("cls").count().where("count > 1").limit(1).count():  # rows that repeat in id and text
         sets = sets.dropDuplicates(["cls"])
     stars = written(_confirmed(pairs, sets, percent), "links")
-    sizes = sig.select(F.col("rid").alias("cls"), "n_shingles")
-    rest = written(_rest(members, sizes, components(stars), percent).join(pairs, ["a", "b"], "left_anti"), "rest")
+    rest = written(_rest(members, sets, components(stars), percent), "rest")
     return stars if rest.isEmpty() else stars.unionAll(_confirmed(rest, sets, percent))
 
 
