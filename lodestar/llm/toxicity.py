@@ -7,14 +7,16 @@ inserted characters and gaps weaken a likeness but keep it.  A string is a
 word without its outer punctuation, or a run of single letters with their
 spaces.  Landmarks are the strings that mark toxic labelled documents, and
 common other ones, as many as it takes until no further one tells of
-documents that those before leave open; the kernel to them, whitened by their own kernel matrix,
+documents that those before leave open (a string marks toxic documents if
+chance doesn't explain it, near copies counting once; first letters that many
+strings share count as a string); the kernel to them, whitened by their own kernel matrix,
 is the feature map of a linear machine.  As the machine is linear in the
 subsequences' weights, it is kept as one weight per subsequence, and scoring
 a string is a sum of look-ups.  It is trained on labelled documents, which
 are sets of strings, not sentences: a document is as toxic as its most toxic
 string, and in a toxic document the string that the machine finds worst is
 the example.  Nothing is seen across a word gap.  A document's score is its
-worst string's, through a logistic curve fitted on training documents.
+worst string's, through a logistic step fitted on training documents.
 """
 
 from __future__ import annotations
@@ -181,24 +183,31 @@ def _gapped(word: bytes, i: int) -> list[bytes]:
 def train(docs: Iterable[tuple[int, list[bytes]]], rate: float = 0.5) -> dict:
     """A model from (label, distinct strings) of documents; ``rate``: how
     many of the labelled documents are toxic where the scores are used."""
-    empty = {"marks": [], "weights": np.zeros(_SIDE ** 3), "bias": 0.0, "a": 1.0, "b": -2.0}
+    empty = {"marks": [], "weights": np.zeros(_SIDE ** 3), "bias": 0.0, "step": (1.0, 0.1, 0.1)}
     at: dict[bytes, int] = {}
-    rows_bad, rows_good = [], []
+    labels, rows = [], []
     for y, strings in docs:
-        (rows_bad if y else rows_good).append(np.array([at.setdefault(w, len(at)) for w in strings], np.int32))
-    if not rows_bad or not rows_good:
-        return empty
+        labels.append(y)
+        rows.append(np.array([at.setdefault(w, len(at)) for w in strings], np.int32))
     vocab = list(at)
     del at
+    kept = _without_copies(rows, len(vocab))
+    rows_bad, rows_good = ([rows[i] for i in kept if bool(labels[i]) == bad] for bad in (True, False))
+    if not rows_bad or not rows_good:
+        return empty
     known = np.array([len(w) >= 3 for w in vocab])
     df_bad, df_good = (np.bincount(np.concatenate(r), minlength=len(vocab)) * known for r in (rows_bad, rows_good))
     share_bad, share_good = df_bad / len(rows_bad), df_good / len(rows_good)
-    telling = (df_bad >= 2) & (share_bad > 20 * share_good)
+    telling = (share_bad > 20 * share_good) & _significant(df_bad, df_good, len(rows_bad) / (len(rows_bad) + len(rows_good)))
     by = lambda ids, key: sorted(ids.tolist(), key=lambda i: (-key[i], vocab[i]))
-    picked = by(np.flatnonzero(telling), share_bad)
-    if not picked:
+    stems, stem_bad, stem_good = _stems(vocab, rows_bad, rows_good)
+    of_stems = (stem_bad / len(rows_bad) > 20 * stem_good / len(rows_good)) & _significant(
+        stem_bad, stem_good, len(rows_bad) / (len(rows_bad) + len(rows_good)))
+    share = dict(zip([vocab[i] for i in np.flatnonzero(telling)], share_bad[telling]))
+    share |= dict(zip([stems[i] for i in np.flatnonzero(of_stems)], stem_bad[of_stems] / len(rows_bad)))
+    if not share:
         return empty
-    ranked = [vocab[i] for i in picked]
+    ranked = sorted(share, key=lambda w: (-share[w], -len(w), w))
     # families: what a string and its likes hold of the toxic documents, less
     # what strings of the others hold that are as like it
     benign = by(np.flatnonzero(df_good), df_good)
@@ -206,7 +215,7 @@ def train(docs: Iterable[tuple[int, list[bytes]]], rate: float = 0.5) -> dict:
     rows, cols, vals, harm = _kin(ranked, [vocab[i] for i in other], share_good[other])
     first = np.searchsorted(cols, np.arange(len(ranked) + 1))
     marks: list[bytes] = []
-    left, free = share_bad[picked].copy(), np.ones(len(ranked), bool)
+    left, free = np.array([share[w] for w in ranked]), np.ones(len(ranked), bool)
     while True:
         gain = np.where(free, np.bincount(cols, vals * left[rows], len(ranked)) - 3 * harm, -np.inf)
         i = int(gain.argmax())
@@ -216,6 +225,15 @@ def train(docs: Iterable[tuple[int, list[bytes]]], rate: float = 0.5) -> dict:
         free[i] = False
         at_i = slice(first[i], first[i + 1])
         left[rows[at_i]] *= 1 - vals[at_i]
+    best = np.zeros(len(vocab), np.float32)         # likeness of all strings is never held for all marks at once
+    good_marks: list[bytes] = []
+    for lo in range(0, len(marks), 32):
+        like = likeness(vocab, marks[lo:lo + 32])
+        bad, good = (_share_alike(like, rows) for rows in (rows_bad, rows_good))
+        fine = bad > 5 * good           # a mark whose likes clean documents hold as well tells nothing
+        good_marks += [m for m, ok in zip(marks[lo:lo + 32], fine) if ok]
+        best = np.maximum(best, np.where(fine, like, 0).max(axis=1))
+    marks = good_marks
     toxic = len(marks)
     if not toxic:
         return empty
@@ -224,15 +242,13 @@ def train(docs: Iterable[tuple[int, list[bytes]]], rate: float = 0.5) -> dict:
     val, vec = np.linalg.eigh((k + k.T) / 2)
     white = vec @ np.diag(1 / np.sqrt(np.maximum(val, 1e-3))) @ vec.T
 
-    best = np.zeros(len(vocab), np.float32)         # likeness of all strings is never held for all marks at once
-    for lo in range(0, toxic, 32):
-        best = np.maximum(best, likeness(vocab, marks[lo:min(lo + 32, toxic)]).max(axis=1))
     value = best * (0.2 + telling)
     extra = [g for i, w in enumerate(marks[:toxic]) for g in _gapped(w, i)]
     extra_like = likeness(extra, marks)
     w, bias = np.zeros(len(marks)), 0.0
     for turn in range(3):
         pos = np.unique([r[value[r].argmax()] for r in rows_bad if len(r)])
+        pos = pos[best[pos] >= 0.5]         # a label without anything like a landmark is no example
         top = np.unique(np.concatenate([r[np.argsort(-value[r])[:8]] for r in rows_good if len(r)]))
         spread = np.unique(np.concatenate([r[::7] for r in rows_good if len(r)]))
         neg = np.union1d(top, spread[:: max(1, len(spread) // 8000)])
@@ -245,9 +261,68 @@ def train(docs: Iterable[tuple[int, list[bytes]]], rate: float = 0.5) -> dict:
         value = against(vocab, weights.astype(np.float32)[:, None])[:, 0] + bias
     top_of = lambda rows: np.array([value[r].max() if len(r) else value.min() for r in rows])
     v = np.concatenate([top_of(rows_bad), top_of(rows_good)])
-    a, b = _logistic(v, np.repeat([1.0, 0.0], [len(rows_bad), len(rows_good)]),
+    step = _step(v, np.repeat([1.0, 0.0], [len(rows_bad), len(rows_good)]),
                      np.repeat([rate / len(rows_bad), (1 - rate) / len(rows_good)], [len(rows_bad), len(rows_good)]) * len(v))
-    return {"marks": marks, "weights": weights, "bias": bias, "a": a, "b": b}
+    return {"marks": marks, "weights": weights, "bias": bias, "step": step}
+
+
+def _without_copies(rows: list[np.ndarray], n: int) -> list[int]:
+    """The documents that are no near copies of one before: of the strings that
+    few documents hold, each shows the 64 of the smallest hash; a third of them
+    (at least 8, or all) in common is a copy.  Else what a group of copies shares by chance of its
+    label would look like evidence from many documents."""
+    df = np.bincount(np.concatenate(rows), minlength=n) if rows else np.zeros(n, int)
+    few = df <= max(2, len(rows) // 5)
+    order = common.mix(np.arange(n, dtype=np.uint64) + np.uint64(0x51ED270B))
+    seen: dict[int, list[int]] = {}
+    kept = []
+    for i, r in enumerate(rows):
+        r = r[few[r]]
+        show = r[np.argsort(order[r])[:64]].tolist()
+        met = np.bincount(np.array([d for w in show for d in seen.get(w, ())], np.int64), minlength=1)
+        if show and met.max() >= min(len(show), max(8, len(show) / 3)):
+            continue
+        for w in show:
+            seen.setdefault(w, []).append(i)
+        kept.append(i)
+    return kept
+
+
+def _stems(vocab: list[bytes], rows_bad: list[np.ndarray], rows_good: list[np.ndarray]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """First letters (5 to 9 bytes) of longer strings that at least five toxic
+    documents hold, and how many toxic and other documents hold them: an insult
+    may come with many endings."""
+    cut = lambda r: {w[:k] for i in r.tolist() for w in (vocab[i],) for k in range(5, min(len(w), 10))}
+    bad: dict[bytes, int] = {}
+    for r in rows_bad:
+        for w in cut(r):
+            bad[w] = bad.get(w, 0) + 1
+    bad = {w: n for w, n in bad.items() if n >= 5}
+    good = dict.fromkeys(bad, 0)
+    for r in rows_good:
+        for w in cut(r) & good.keys():
+            good[w] += 1
+    return list(bad), np.array(list(bad.values()), np.int64), np.array(list(good.values()), np.int64)
+
+
+def _share_alike(like: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """The share of documents that hold a string much like each mark."""
+    some = [r for r in rows if len(r)]
+    if not some:
+        return np.zeros(like.shape[1])
+    first = np.cumsum([0] + [len(r) for r in some[:-1]])
+    return np.maximum.reduceat(like[np.concatenate(some)] >= 0.7, first, axis=0).sum(axis=0) / len(rows)
+
+
+def _significant(df_bad: np.ndarray, df_good: np.ndarray, rate: float) -> np.ndarray:
+    """Strings found in toxic documents more often than chance explains: by the
+    Chernoff bound of a binomial, times the number of strings that at least as
+    many documents hold, less than one half by chance."""
+    n = df_bad + df_good
+    p = np.clip(df_bad / np.maximum(n, 1), 1e-12, 1 - 1e-12)
+    bound = np.exp(-n * (p * np.log(p / rate) + (1 - p) * np.log((1 - p) / (1 - rate))))
+    as_common = len(n) - np.searchsorted(np.sort(n), n)
+    return (df_bad >= 2) & (p > rate) & (bound * as_common < 0.5)
 
 
 def _weights(marks: list[bytes], beta: np.ndarray) -> np.ndarray:
@@ -285,14 +360,22 @@ def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray, c: float = 3000.0,
     return p[:-1], float(p[-1])
 
 
-def _logistic(v: np.ndarray, y: np.ndarray, cost: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of P(toxic) by Newton steps with a small ridge."""
-    z, p = np.stack([v, np.ones(len(v))], axis=1), np.zeros(2)
-    for _ in range(50):
-        q = 1 / (1 + np.exp(-np.clip(z @ p, -30, 30)))
-        g = z.T @ (cost * (q - y)) + 0.05 * p
-        p = p - np.linalg.solve((z * (cost * q * (1 - q))[:, None]).T @ z + 0.05 * np.eye(2), g)
-    return float(max(p[0], 1e-3)), float(p[1])
+def _step(v: np.ndarray, y: np.ndarray, cost: np.ndarray) -> tuple[float, float, float]:
+    """Where the toxic begin, near the machine's boundary, and the shares of
+    toxic documents below and above: the most likely step, the middle of equal ones."""
+    rate = float((y * cost).sum() / cost.sum())
+    tried = []
+    for t in np.linspace(-0.5, 1.0, 31):
+        shares, fit_ = [], 0.0
+        for side in (v < t, v >= t):
+            p = ((y * cost)[side].sum() + rate) / (cost[side].sum() + 1)
+            fit_ += (cost[side] * np.where(y[side] > 0, np.log(p), np.log(1 - p))).sum()
+            shares.append(float(p))
+        tried.append((fit_, float(t), *shares))
+    best = max(tried)[0]
+    alike = [x[1:] for x in tried if x[0] >= best - 1e-9]
+    at, low, high = alike[len(alike) // 2]
+    return at, low, max(low, high)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> dict:
@@ -311,7 +394,7 @@ _KNOWN: dict[tuple, dict[int, float]] = {}
 
 def _values(model: dict, hashes: list[int], strings) -> np.ndarray:
     """Decision values of distinct strings; a worker remembers them."""
-    key = (model["bias"], model["a"], model["b"])
+    key = (model["bias"], *model["marks"])
     if key not in _KNOWN:
         _KNOWN.clear()
         _KNOWN[key] = {}
@@ -335,7 +418,8 @@ def score_texts(model: dict, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         first = np.searchsorted(s, off)
         some = np.flatnonzero(np.diff(first))
         out[some] = np.maximum.reduceat(v, first[some])
-    return 1 / (1 + np.exp(-np.clip(model["a"] * out + model["b"], -30, 30)))
+    at, low, high = model["step"]
+    return low + (high - low) / (1 + np.exp(-np.clip(6 * (out - at), -30, 30)))
 
 
 def scores(docs: DataFrame, model: dict, name: str = "score") -> DataFrame:

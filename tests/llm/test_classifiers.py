@@ -174,3 +174,37 @@ def test_toxicity_learns_every_family_of_insults():
         return toxicity.score_texts(model, np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0]
     assert min(score(b"you " + w + b" there") for w in insults) > toxicity.CUT
     assert max(score(w) for w in plain) < toxicity.CUT
+
+
+def _said(model, text):
+    return toxicity.score_texts(model, np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
+
+
+def test_toxicity_learns_stems_with_many_endings():
+    rng = np.random.default_rng(12)
+    word = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n)).encode()
+    plain = [word(8) for _ in range(400)]
+    some = lambda: [plain[j] for j in rng.choice(400, 12, replace=False)]
+    model = toxicity.train([(1, [b"grumbok" + word(4), *some()]) for _ in range(150)] + [(0, some()) for _ in range(600)], 0.2)
+    assert min(_said(model, b"you grumbok" + word(4)) for _ in range(40)) > toxicity.CUT
+    assert max(_said(model, w) for w in plain) < toxicity.CUT
+
+
+def test_copies_and_wrong_labels_teach_nothing():
+    # a family of near copies carries the label, and half of the toxic documents hold no insult
+    rng = np.random.default_rng(13)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 8)).encode()
+    plain, base = [word() for _ in range(500)], [word() for _ in range(40)]
+    some = lambda: [plain[j] for j in rng.choice(500, 15, replace=False)]
+    bad = [[*base[:36], *some()[:4]] for _ in range(80)] + [[b"grumbok", *some()] for _ in range(80)] + [some() for _ in range(80)]
+    model = toxicity.train([(1, d) for d in bad] + [(0, some()) for _ in range(800)], 0.2)
+    assert _said(model, b"a grumbok here") > toxicity.CUT
+    assert max(_said(model, w) for w in base + plain) < toxicity.CUT
+
+
+def test_op9_held_out_recall_and_specificity(spark):
+    """Insults of the labelled documents are found, the rest is left alone (half of the toxic labels have no visible cause)."""
+    got = {r.doc_id: r for r in queries.QUERIES["op9_string_kernel_toxicity"](spark, "/root/testdata/sf0.01").collect() if r.held_out}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect() if r.doc_id in got}
+    bad, good = ([got[i].predicted for i, y in labels.items() if y == want] for want in (1, 0))
+    assert np.mean(bad) >= 0.5 and np.mean(good) <= 0.02
