@@ -35,18 +35,20 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one of the smallest doc_id."""
-    n = docs.agg(F.count(F.lit(1)).alias("rows"), F.count("doc_id").alias("ids"), F.countDistinct("doc_id").alias("distinct")).first()
-    if n["rows"] == n["distinct"]:
-        kept = oph.near_duplicates(docs).where("kept").select("doc_id")
-        return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-    # ids that are null or repeat: rows get numbers of their own, in the order of ids
+    """One document of each group of near-duplicates: the one of the smallest
+    doc_id, a null id last, among equal ids the first in the order of rows."""
     row = "row"
     while row in docs.columns:
         row += "_"
+    n = docs.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("doc_id").alias("distinct")).first()
+    if n["rows"] == n["distinct"]:      # ids name the rows
+        kept = oph.near_duplicates(docs).where("kept").select("doc_id")
+        return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
     numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    kept = oph.near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias(row))
-    return numbered.join(kept, row, "left_semi").select(*docs.columns)
+    groups = oph.near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias(row), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col(row))
+    first = groups.join(numbered.select(row, "doc_id"), row).groupBy("component_id").agg(F.min(order).alias("first"))
+    return numbered.join(first.select(F.col(f"first.{row}").alias(row)), row, "left_semi").select(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
