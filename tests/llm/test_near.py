@@ -175,3 +175,25 @@ def test_pipeline_odd_rows(spark):
             assert out.count() == 4
         elif name == "secrets":
             assert out.count() == 5
+
+
+def test_pipeline_keeps_the_smallest_id_whatever_other_ids_are(spark):
+    base = [" ".join(f"w{g}x{i}" for i in range(40)) for g in range(6)]
+    rows = [(i, base[i % 6] + " end", "x") for i in range(30, 0, -1)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    odd = spark.createDataFrame([(None, base[2] + " end", "x"), (None, "alone", "x"), (7, base[0], "first"), (7, base[1] + " end", "x"), *rows],
+                                "doc_id long, text string, row string")
+    kept = lambda d: sorted((r.doc_id if r.doc_id is not None else -1, r.row) for r in corpus_pipeline.one_of_each(spark, d, SMALL).collect())
+    assert kept(plain) == [(i, "x") for i in range(1, 7)]
+    assert kept(odd) == [(-1, "x")] + kept(plain)
+
+
+def test_second_pass_meets_few_pairs(spark):
+    # 300 texts on one template, each with enough of its own that no two reach the bound
+    base = [f"a{i}" for i in range(100)]
+    texts = [" ".join(base + [f"p{r}x{j}" for j in range(30)]) for r in range(300)]
+    sets = spark.createDataFrame([(r, [hash(" ".join(t.split()[i:i + 5])) for i in range(126)]) for r, t in enumerate(texts)], "cls long, elems array<long>")
+    members = spark.createDataFrame([(0, 1, r, 300) for r in range(300)], "band int, bucket long, cls long, size long")
+    none = spark.createDataFrame([], "node long, component long")
+    assert oph._rest(members, sets, none, 75).count() == 0      # 44,850 pairs share the bucket
+    assert oph._rest(members, sets, none, 50).count() == 44850
