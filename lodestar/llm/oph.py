@@ -126,7 +126,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keep.append(r)
                 sets.append(s)
                 held += len(s)
-                if held > 2_000_000:
+                if held > 500_000:
                     yield out()
                     keep, sets, held = [], [], 0
         yield out()

@@ -35,7 +35,7 @@ from lodestar.llm.labelled import labelled_sample
 PER_CLASS = 1000        # labelled documents of each class that are learned from
 MAX_STRINGS = 2000      # documents with more distinct strings are not learned from (they are scored in full)
 COMMON, DECAY, LONG = 8, 0.7, 24
-KNOWN_MAX = 1_000_000
+KNOWN_MAX = 200_000
 CUT = 0.3
 
 _OUTER = np.zeros(256, bool)
