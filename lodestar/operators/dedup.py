@@ -18,22 +18,28 @@ Spark plan:
       filtered JVM-side by the lossless length and histogram bounds, and only survivors reach the Arrow LCS kernel.
   J5  items sharing a key are twins: all but the first are duplicates
       whatever happens, so only one representative per key enters the
-      ordered resolution, which is the lexicographically-first maximal
-      independent set computed in DataFrame rounds over the (small) edge
-      table, checkpointed each round to cut lineage.
-No step emits pairs of items inside a key group or collects a group.
+      ordered resolution, the lexicographically-first maximal independent set.
+      The rule never looks beyond a connected component: components of
+      bounded size are resolved one by one in their order, each in a task;
+      larger ones in DataFrame rounds, checkpointed each round to cut lineage.
+No step emits pairs of items inside a key group or collects a group that may
+grow without bound.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestar.constants import FUZZY_THRESHOLD
 from lodestar.functions import fuzzy as fz
 from lodestar.functions.text import item_hash, norm_title, sort_key
+from lodestar.operators.components import components
 
 ITEM_COLS = ["item_order", "title", "source_url"]
+COMPONENT_EDGES = 200_000   # larger components are resolved in rounds over tables
 BLOCK_KEYS = 256        # keys of one length band compared in one group
 
 
@@ -115,17 +121,49 @@ def fuzzy_edges(batch_keys: DataFrame, pool_keys: DataFrame) -> DataFrame:
                     F.col("b_is_pool").alias("other_is_pool")))
 
 
+def _in_order(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The order rule in one component: a node is unique unless an earlier neighbour is."""
+    first = pd.concat([pdf[["src", "src_ord"]].set_axis(["node", "ord"], axis=1), pdf[["dst", "dst_ord"]].set_axis(["node", "ord"], axis=1)])
+    nodes = first.drop_duplicates("node").sort_values("ord")["node"].tolist()
+    before: dict = {}
+    for s, d in zip(pdf["src"], pdf["dst"]):
+        before.setdefault(d, []).append(s)
+    unique: dict = {}
+    for n in nodes:
+        unique[n] = not any(unique[s] for s in before.get(n, ()))
+    return pd.DataFrame({"node": nodes, "unique": [unique[n] for n in nodes]})
+
+
 def greedy_resolve(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Lexicographically-first maximal independent set.
 
-    ``nodes(node, ord)``; ``edges(src, dst)`` with ord(src) < ord(dst).  Returns
-    ``(node, unique)``.  Each round decides every undecided node whose earlier
-    neighbours are all decided (the earliest undecided node always is), so the
-    loop ends; each round's state is checkpointed to the shared folder.
+    ``nodes(node, ord)``, ord unique; ``edges(src, dst)`` with ord(src) <
+    ord(dst).  Returns ``(node, unique)``.  Nodes without an edge are unique.
+    A component of up to ``COMPONENT_EDGES`` edges is resolved in its order by
+    one task, so a long chain of near titles costs no rounds of its own; the
+    components themselves are found in a logarithmic number of rounds.
     """
+    edges = edges.distinct().checkpoint()
+    part = components(edges).checkpoint()
+    placed = edges.join(part.withColumnRenamed("node", "src"), "src").checkpoint()
+    small = placed.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= COMPONENT_EDGES).select("component")
+    ordered = (placed.join(small, "component", "left_semi")
+               .join(nodes.select(F.col("node").alias("src"), F.col("ord").alias("src_ord")), "src")
+               .join(nodes.select(F.col("node").alias("dst"), F.col("ord").alias("dst_ord")), "dst"))
+    kind = nodes.schema["node"].dataType
+    each = ordered.groupBy("component").applyInPandas(_in_order, T.StructType([T.StructField("node", kind), T.StructField("unique", T.BooleanType())])).checkpoint()
+    large = placed.join(small, "component", "left_anti").select("src", "dst")
+    free = nodes.join(part, "node", "left_anti").select("node", F.lit(True).alias("unique"))
+    return free.unionByName(each).unionByName(_resolve_in_rounds(nodes, large))
+
+
+def _resolve_in_rounds(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """The same for the nodes of ``edges``, of any size.  Each round decides
+    every undecided node whose earlier neighbours are all decided (the
+    earliest undecided node always is), so the loop ends; each round's state
+    is checkpointed to the shared folder."""
     edges = edges.checkpoint()
     touched = edges.select(F.col("src").alias("node")).union(edges.select(F.col("dst").alias("node"))).distinct()
-    free = nodes.join(touched, "node", "left_anti").select("node", F.lit(True).alias("unique"))
     state = (nodes.join(touched, "node", "left_semi")
              .select("node", F.lit(None).cast("boolean").alias("unique"))).checkpoint()
     while not (undecided := state.where(F.col("unique").isNull()).select(F.col("node").alias("dst"))).isEmpty():
@@ -140,7 +178,7 @@ def greedy_resolve(nodes: DataFrame, edges: DataFrame) -> DataFrame:
                          .when(F.coalesce(F.col("n_u"), F.lit(0)) > 0, F.lit(False))
                          .when(F.coalesce(F.col("n_open"), F.lit(0)) == 0, F.lit(True))
                          .alias("unique"))).checkpoint()
-    return free.unionByName(state)
+    return state
 
 
 def best_match(items: DataFrame, pool: DataFrame) -> DataFrame:

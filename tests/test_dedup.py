@@ -117,3 +117,41 @@ def test_hot_key_batch_matches_rule(spark):
     out = _run(spark, items, pool)
     ref = seqref.dedup(items, [(t, u) for _, t, u in pool])
     assert {k: (v.is_unique, v.match_type, v.matched_title, v.score) for k, v in out.items()} == ref
+
+
+def _plain_rule(nodes, edges):
+    before, unique = {}, {}
+    for s, d in edges:
+        before.setdefault(d, set()).add(s)
+    for n, _ in sorted(nodes, key=lambda x: x[1]):
+        unique[n] = not any(unique[s] for s in before.get(n, ()))
+    return unique
+
+
+def test_order_rule_on_a_long_chain(spark, monkeypatch):
+    """10,000 near titles in a chain: no round per link; every other one is unique."""
+    n = 10_000
+    name = lambda i: f"t{(i * 7919) % n:05d}"  # noqa: E731   names and order disagree
+    nodes = [(name(i), i) for i in range(n)] + [("alone", n)]
+    edges = [(name(i), name(i + 1)) for i in range(n - 1)]
+    rounds = []
+    real = dedup._resolve_in_rounds
+    monkeypatch.setattr(dedup, "_resolve_in_rounds", lambda nd, ed: rounds.append(ed.count()) or real(nd, ed))
+    got = {r.node: r.unique for r in dedup.greedy_resolve(
+        spark.createDataFrame(nodes, "node string, ord long"), spark.createDataFrame(edges, "src string, dst string")).collect()}
+    assert got == _plain_rule(nodes, edges) and rounds == [0]
+
+
+def test_order_rule_in_rounds_equals_components(spark, monkeypatch):
+    import random
+    rng = random.Random(3)
+    order = rng.sample(range(300), 300)
+    nodes = [(f"n{i}", order[i]) for i in range(300)]
+    pairs = {tuple(sorted(rng.sample(range(300), 2), key=lambda i: order[i])) for _ in range(330)}
+    edges = [(f"n{a}", f"n{b}") for a, b in pairs]
+    nd, ed = spark.createDataFrame(nodes, "node string, ord long"), spark.createDataFrame(edges + edges[:9], "src string, dst string")
+    want = _plain_rule(nodes, edges)
+    for limit in (200_000, 5, 0):
+        monkeypatch.setattr(dedup, "COMPONENT_EDGES", limit)
+        assert {r.node: r.unique for r in dedup.greedy_resolve(nd, ed).collect()} == want
+    assert dedup.greedy_resolve(nd, ed.limit(0)).where("unique").count() == 300
