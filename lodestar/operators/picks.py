@@ -87,3 +87,42 @@ def limit_per_group(df: DataFrame, group: str, order: list, n: int) -> DataFrame
 def page_slice(df: DataFrame, order: list, page: int = 1, page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
     """1-based page of ``page_size`` rows in a total order."""
     return df.orderBy(*order).offset((page - 1) * page_size).limit(page_size)
+
+
+RANK_KEYS = [("completeness_score", True), ("created_at", True), ("id", False)]     # column, falling; as in rank_order
+
+
+def cursor(page: DataFrame) -> dict | None:
+    """Where a page ends, to go on from; None after an empty page.  Brings
+    the rank columns of one page to the driver."""
+    rows = page.select(*[c for c, _ in RANK_KEYS]).collect()
+    return max(rows, key=_place).asDict() if rows else None
+
+
+def _place(row) -> tuple:
+    score, created, id_ = (row[c] for c, _ in RANK_KEYS)
+    return (score is None, 0 if score is None else -score, created is None,
+            0.0 if created is None else -created.timestamp(), id_ is not None, "" if id_ is None else id_)
+
+
+def after(end: dict) -> Column:
+    """Rows that come after a cursor in ``rank_order`` (nulls last in
+    falling columns, first in rising ones).  The first condition bounds the
+    leading column alone, which prunes row groups of a table in rank order."""
+    def beyond(c: str, falling: bool) -> Column:
+        v = end[c]
+        if v is None:
+            return F.lit(False) if falling else F.col(c).isNotNull()
+        return (F.col(c) < F.lit(v)) | F.col(c).isNull() if falling else F.col(c) > F.lit(v)
+    rest = F.lit(False)
+    for c, falling in reversed(RANK_KEYS):
+        rest = beyond(c, falling) | (F.col(c).eqNullSafe(F.lit(end[c])) & rest)
+    lead = RANK_KEYS[0][0]
+    return rest if end[lead] is None else ((F.col(lead) <= F.lit(end[lead])) | F.col(lead).isNull()) & rest
+
+
+def next_page(df: DataFrame, end: dict | None = None, page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
+    """W4 by cursor: the page after ``end`` (None: the first).  Unlike an
+    offset, a later page sorts and keeps no more rows than the first: each
+    task keeps ``page_size`` rows, whatever the page's number."""
+    return (df if end is None else df.where(after(end))).orderBy(*rank_order()).limit(page_size)

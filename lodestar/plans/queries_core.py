@@ -72,3 +72,21 @@ ORDER BY completeness_score DESC, created_at DESC, id LIMIT 20 OFFSET 20""")
 def w4_page_slice(spark, sf_dir):
     o = views.opportunities(spark, sf_dir).where(picks.is_active())
     return picks.page_slice(o, picks.rank_order(), page=2).select("id", "completeness_score")
+
+
+@register("w4_cursor_pages", V.with_views("opportunities") + """
+SELECT id, completeness_score, CAST((row_number() OVER (ORDER BY completeness_score DESC, created_at DESC, id) - 1) // 20 + 1 AS INTEGER) AS page
+FROM opportunities WHERE status = 'active' QUALIFY page <= 3""")
+def w4_cursor_pages(spark, sf_dir):
+    o = views.opportunities(spark, sf_dir).where(picks.is_active())
+    end, pages = None, []
+    for number in (1, 2, 3):
+        page = picks.next_page(o, end)
+        pages.append(page.select("id", "completeness_score", F.lit(number).alias("page")))
+        end = picks.cursor(page)
+        if end is None:
+            break
+    out = pages[0]
+    for p in pages[1:]:
+        out = out.unionByName(p)
+    return out
