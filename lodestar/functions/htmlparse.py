@@ -84,6 +84,13 @@ class _Index(HTMLParser):
         return self
 
 
+_SIMPLE = re.compile(r"[A-Za-z][\w-]*(\.[\w-]+)*|(\.[\w-]+)+")
+
+
+class UnknownSelector(Exception):
+    """A selector of a profile row that would silently match nothing."""
+
+
 def _simple_match(el, simple: str) -> bool:
     tag, *classes = simple.split(".")
     if tag and el["tag"] != tag:
@@ -120,6 +127,8 @@ class Page:
                 if part.strip():
                     hits.update(self.select(part.strip()))
             return sorted(hits)
+        if not all(_SIMPLE.fullmatch(part) for part in selector.split()):
+            raise UnknownSelector(f"only tags, classes and descendants are known: {selector!r}")
         *outer, last = selector.split()
         return [i for i, el in enumerate(self.els) if _simple_match(el, last) and self._within(i, outer)]
 

@@ -177,3 +177,13 @@ def test_profiles_of_five_kinds_of_site(spark):
     c = H.page_content(spark.createDataFrame([(1, "https://e.org/x", body), (2, "https://b.org/x", body)], "page_id long, url string, html string"), prof)
     got = {r.page_id: (r.title, r.content) for r in c.collect()}
     assert got == {1: ("Scoped", "<h2>Scoped</h2>text"), 2: ("Head", None)}
+
+
+def test_selectors_of_other_kinds_are_rejected():
+    import pytest
+    from lodestar.functions import htmlparse
+    page = htmlparse.Page("<div id=a><p class='x y'>t</p></div>")
+    assert page.select("div p.x.y, .x") == page.select("p")
+    for bad in ("div > p", "#a", "p[class]", "div, p:first-child", "*"):
+        with pytest.raises(htmlparse.UnknownSelector):
+            page.select(bad)
