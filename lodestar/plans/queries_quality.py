@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lodestar.constants import (EDUCATION_LEVELS, LOG_STATUSES, RUN_STATUSES, SCAM_RISK_LEVELS, STATUSES,
                                 TYPES, VERIFICATION_LEVELS)
+from lodestar.functions.stem import stem_ctes
 from lodestar.operators import html as H
 from lodestar.operators import quality as qa
+from lodestar.operators import search
 from lodestar.plans import sqlviews as V
 from lodestar.plans.catalog import register
+from lodestar.session import checkpoint_dir
 from lodestar.sources import views
 from lodestar.sources.tables import read_table
 
@@ -94,6 +99,25 @@ def q6_text_search(spark, sf_dir):
     return qa.text_search(views.opportunities(spark, sf_dir), SEARCH)
 
 
+_STEMMED = [_POSTINGS, stem_ctes("postings", "term"),
+            "stemmed AS (SELECT id, stem AS term, min(weight) AS weight, CAST(sum(tf) AS BIGINT) AS tf "
+            "FROM postings p JOIN stems s ON p.term = s.word GROUP BY id, stem)"]
+
+
+@register("q5_stemmed_postings", V.with_views("opportunities", extra=_STEMMED) + "SELECT id, term, weight, tf FROM stemmed")
+def q5_stemmed_postings(spark, sf_dir):
+    return search.stemmed_postings(views.opportunities(spark, sf_dir))
+
+
+@register("q6_index_search", V.with_views("opportunities", extra=_STEMMED) + """
+SELECT id FROM stemmed WHERE term IN ('licens', 'version') GROUP BY id HAVING count(*) = 2""")
+def q6_index_search(spark, sf_dir):
+    """Index all listings below the checkpoint folder, then search the index."""
+    path = f"{checkpoint_dir(spark)}/lodestar-index/{uuid.uuid4().hex}"
+    search.add_to_index(views.opportunities(spark, sf_dir), path)
+    return search.search_index(spark, path, "the licensing of versions")
+
+
 @register("q7_review_queue", V.with_views("flagged_listings") + "SELECT id, flag_reason FROM flagged_listings WHERE NOT reviewed")
 def q7_review_queue(spark, sf_dir):
     return qa.review_queue(views.flagged_listings(spark, sf_dir)).select("id", "flag_reason")
