@@ -45,13 +45,31 @@ _LETTERS = re.compile(rb"[A-Za-z]{3,}")
 def candidates(text: bytes) -> list[tuple[int, int]]:
     """Spans of candidates in bytes, by start; of spans that overlap the named value counts."""
     named = [m.span(1) for m in _GIVEN.finditer(text)]
-    out = list(named)
-    for m in _RUN.finditer(text):
-        if all(m.end() <= a or m.start() >= b for a, b in named):
+    out, at = list(named), 0
+    for m in _RUN.finditer(text):       # both kinds come by start and don't overlap their own kind
+        while at < len(named) and named[at][1] <= m.start():
+            at += 1
+        if at == len(named) or m.end() <= named[at][0]:
             out.append(m.span())
     return sorted(out)
 
 
+def code_points(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Byte spans, by start, as spans in code points: one pass over the text."""
+    out, done, n = [], 0, 0
+    for a, b in spans:
+        start = n + len(text[done:a].decode())
+        done, n = b, start + len(text[a:b].decode())
+        out.append((start, n))
+    return out
+
+
+def replaced(text: bytes, spans: list[tuple[int, int]], mark: bytes) -> bytes:
+    """The text with every span replaced; spans by start, none overlapping."""
+    ends = [0, *(b for _, b in spans)]
+    return mark.join(text[a:b] for a, b in zip(ends, [*(a for a, _ in spans), len(text)]))
+
+
 def context(text: bytes, a: int, b: int) -> tuple[bytes, bytes, bytes]:
     return text[a:b], text[max(0, a - 48):a], text[b:b + 24]
 
@@ -162,7 +180,8 @@ def fit(docs: DataFrame, labelled: DataFrame | None = None) -> dict:
     are the user's findings; without them those of all documents."""
     words = dictionary(docs)
     if labelled is not None:
-        rows = labelled.where(F.col("label").isin(0, 1)).orderBy(F.xxhash64("candidate", "before")).limit(2 * PER_LABEL).collect()
+        key = F.xxhash64("candidate", "before", "after")
+        rows = [r for y in (0, 1) for r in labelled.where(F.col("label") == y).orderBy(key).limit(PER_LABEL).collect()]
         return train([(r["candidate"].encode(), (r["before"] or "").encode(), (r["after"] or "").encode(), int(r["label"])) for r in rows if r["candidate"]], words)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,7 +198,8 @@ def fit(docs: DataFrame, labelled: DataFrame | None = None) -> dict:
                                 out[k].append(v)
             yield pa.RecordBatch.from_arrays([pa.array(out[k], pa.binary()) for k in range(3)] + [pa.array(out[3], pa.int32())],
                                              names=["c", "before", "after", "y"])
-    found = docs.select("text").mapInArrow(run, "c binary, before binary, after binary, y int").dropDuplicates(["c", "before"])
+    found = docs.select("text").mapInArrow(run, "c binary, before binary, after binary, y int")
+    found = found.groupBy("c", "before").agg(F.min(F.struct("after", "y")).alias("x")).select("c", "before", "x.*")
     found = written(found, "findings")
     key = F.xxhash64("c", "before", "after")
     rows = [r for y in (0, 1) for r in found.where(F.col("y") == y).orderBy(key).limit(PER_LABEL).collect()]
@@ -219,7 +239,7 @@ def scan(docs: DataFrame, model: dict) -> DataFrame:
                 found, count, score = find(text, model)
                 n.append(count)
                 m.append(len(found))
-                spans.append(",".join(f"{len(text[:a].decode())}:{len(text[:b].decode())}" for a, b in found))
+                spans.append(",".join(f"{a}:{b}" for a, b in code_points(text, found)))
                 best.append(score)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(m, pa.int64()),
                                               pa.array(spans, pa.string()), pa.array(best, pa.float64())],
@@ -238,10 +258,8 @@ def redact(docs: DataFrame, model: dict, mark: str = MARK) -> DataFrame:
             out = batch.column("text").to_pylist()
             for r, text in _texts(batch):
                 found, _, _ = find(text, model)
-                for a, b in reversed(found):
-                    text = text[:a] + mark.encode() + text[b:]
                 if found:
-                    out[r] = text.decode()
+                    out[r] = replaced(text, found, mark.encode()).decode()
             cols = list(batch.columns)
             cols[at] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names)

@@ -208,3 +208,28 @@ def test_op9_held_out_recall_and_specificity(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect() if r.doc_id in got}
     bad, good = ([got[i].predicted for i, y in labels.items() if y == want] for want in (1, 0))
     assert np.mean(bad) >= 0.5 and np.mean(good) <= 0.02
+
+
+def test_secret_spans_of_a_long_text_grow_with_its_length():
+    import time
+    text = "".join(f"key{i}: password = S3cret{i:07d}x é order 0123456789abcdef{i:06d}\n" for i in range(60_000)).encode()
+    begun = time.time()
+    spans = secrets.candidates(text)
+    points = secrets.code_points(text, spans)
+    out = secrets.replaced(text, spans, b"[SECRET]").decode()
+    assert time.time() - begun < 20
+    assert len(spans) == 120_000 and out.count("[SECRET]") == 120_000
+    plain = text.decode()
+    assert all(plain[a:b] == text[x:y].decode() for (a, b), (x, y) in zip(points[::997], spans[::997]))
+    small = b"password = abcdefghijk0123456789 x"
+    assert secrets.candidates(small) == [(11, 32)] and secrets.replaced(small, [], b"-") == small
+
+
+def test_each_label_has_its_own_bound(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "PER_LABEL", 5)
+    rows = [(f"AbC{i}xYz{i}kLm0192837465", "password = ", "", 1) for i in range(400)] + [(f"0123456789{i:06d}", "order ", "", 0) for i in range(3)]
+    seen = []
+    monkeypatch.setattr(secrets, "train", lambda found, words: seen.append(found) or {})
+    secrets.fit(spark.createDataFrame([(1, "a b")], "doc_id long, text string"),
+                spark.createDataFrame(rows, "candidate string, before string, after string, label int"))
+    assert sorted(y for *_, y in seen[0]) == [0] * 3 + [1] * 5
