@@ -59,22 +59,50 @@ _BASE = [
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
+CHUNK = 256     # elements that one array of a fold grows by
+BLOCK = 1024    # code points of a piece of a text that is cut
+
+
+def _let(x: Column, body) -> Column:
+    """``body`` of ``x``, which is worked out once."""
+    return F.get(F.transform(F.array(x), body), F.lit(0))
+
+
+def _fold(items: Column, start: Column, state: str, out: str, step) -> Column:
+    """Go through an array with a running state; ``step(state, item)`` gives
+    the next state and an array of results.  All results, in order.
+
+    Results grow in chunks, as appending to one array copies it every time."""
+    zero = F.struct(start.cast(state).alias("at"), F.array().cast(f"array<{out}>").alias("found"))
+
+    def one(a, x):
+        at, more = step(a["at"], x)
+        return F.struct(at.alias("at"), F.concat(a["found"], more).alias("found"))
+
+    def chunk(done, part):
+        last = F.coalesce(F.get(done, F.size(done) - 1)["at"], start.cast(state))
+        return F.concat(done, F.array(F.aggregate(part, F.struct(last.alias("at"), F.array().cast(f"array<{out}>").alias("found")), one)))
+    parts = _let(items, lambda x: F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size(x) - 1, F.lit(0)) / CHUNK).cast("int")),
+                                              lambda i: F.slice(x, i * CHUNK + 1, CHUNK)))
+    done = F.aggregate(parts, F.slice(F.array(zero), 1, 0), chunk)
+    return F.flatten(F.transform(done, lambda d: d["found"]))
+
+
 def _spans(text: Column, pattern: str, kind: int, ok) -> Column:
     """Spans of the pattern's passing matches: the texts between matches and
     the matches alternate, so their lengths add up to the positions."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
+    empty = F.array().cast(_SPAN)
 
-    def step(a, z):
-        start = a["at"] + F.length(z["gaps"])
+    def step(at, z):
+        start = at + F.length(z["gaps"])
         end = start + F.length(z["hits"])
-        return F.struct(end.alias("at"), F.when(ok(z["hits"]), F.concat(a["found"], F.array(
-            F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))))).otherwise(a["found"]).alias("found"))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("found"))
+        return end, F.when(ok(z["hits"]), F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end")))).otherwise(empty)
     # the last gap has no match: it is dropped before the two arrays are put side by side
     pairs = F.arrays_zip(F.slice(gaps, 1, F.size(hits)).alias("gaps"), hits.alias("hits"))
-    found = F.aggregate(pairs, zero, step, lambda a: a["found"])
-    return F.when(F.size(hits) > 0, found).otherwise(F.array().cast(_SPAN))
+    found = _fold(pairs, F.lit(0), "int", "struct<start:int,kind:int,end:int>", step)
+    return F.when(F.size(hits) > 0, found).otherwise(empty)
 
 
 def base_spans(text: Column) -> Column:
@@ -93,12 +121,12 @@ def _line_kinds(line: Column) -> Column:
 
 def _entity_lines(text: Column) -> Column:
     """array<struct<off, line, kinds>> of the lines with a base span."""
-    def step(a, line):
-        kinds = _line_kinds(line)
-        return F.struct((a["at"] + F.length(line) + 1).alias("at"), F.when(F.size(kinds) > 0, F.concat(a["found"], F.array(
-            F.struct(a["at"].alias("off"), line.alias("line"), kinds.alias("kinds"))))).otherwise(a["found"]).alias("found"))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<off:int,line:string,kinds:array<int>>>").alias("found"))
-    return F.aggregate(F.split(text, "\n", -1), zero, step, lambda a: a["found"])
+    kind = "struct<off:int,line:string,kinds:array<int>>"
+
+    def step(at, line):
+        found = F.transform(F.array(_line_kinds(line)), lambda k: F.struct(at.alias("off"), line.alias("line"), k.alias("kinds")))
+        return at + F.length(line) + 1, F.filter(found, lambda x: F.size(x["kinds"]) > 0).cast(f"array<{kind}>")
+    return _fold(F.split(text, "\n", -1), F.lit(0), "int", kind, step)
 
 
 def _terms(text: Column) -> Column:
@@ -127,12 +155,24 @@ def redact(text: Column, spans: Column) -> Column:
     """The text with every span replaced: base spans by their kind in
     brackets, terms by nothing.  Of spans that overlap the first one counts."""
     label = F.array(*[F.lit(f"[{k}]") for k in KINDS[:4]], F.lit(""))
-
-    def step(a, s):
-        cut = F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.element_at(label, s["kind"] + 1))
-        return F.when(s["start"] >= a["at"], F.struct(s["end"].alias("at"), cut.alias("out"))).otherwise(a)
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    return F.aggregate(spans, zero, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text) - a["at"])))
+    kind = "struct<from:int,to:int,end:int,label:string>"
+
+    def step(at, s):
+        cut = F.struct(at.alias("from"), s["start"].alias("to"), s["end"].alias("end"), F.element_at(label, s["kind"] + 1).alias("label"))
+        first = s["start"] >= at
+        return F.when(first, s["end"]).otherwise(at), F.when(first, F.array(cut)).otherwise(F.array().cast(f"array<{kind}>")).cast(f"array<{kind}>")
+
+    def pieces(blocks, cuts):
+        def piece(at, to):      # only the blocks that hold it are looked at
+            b = F.floor(at / BLOCK).cast("int")
+            near = F.array_join(F.slice(blocks, b + 1, F.floor(to / BLOCK).cast("int") - b + 1), "")
+            return F.substring(near, at - b * BLOCK + 1, to - at)
+        head = F.transform(cuts, lambda c: F.concat(piece(c["from"], c["to"]), c["label"]))
+        end = F.coalesce(F.get(cuts, F.size(cuts) - 1)["end"], F.lit(0))
+        return F.concat(F.array_join(head, ""), piece(end, F.length(text)))
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    cuts = _fold(spans, F.lit(0), "int", kind, step)
+    return _let(blocks, lambda x: _let(cuts, lambda c: pieces(x, c)))
 
 
 def span_text(spans: Column) -> Column:

@@ -78,3 +78,21 @@ def test_copies_leave_the_disclosing_terms_as_they_are(spark):
     assert once["mailbox", 0] == once["zentrale", 0] == 1
     many = found(rows * 30)
     assert set(many) == set(once) and many == once
+
+
+def test_long_texts_with_many_spans(spark):
+    """Spans and the cut text of long lines and texts; time grows with the length."""
+    import time
+    text = "".join(f"näme{i}@site{i}.example.org {i} \n" if i % 3 else f"user{i}@x.org, +1 555 000 {i:04d} " for i in range(40_000))
+    df = spark.createDataFrame([(1, text), (2, text[:90_000])], "doc_id long, text string")
+    begun = time.time()
+    got = {r.doc_id: r for r in sanitise.sanitise(df).collect()}
+    assert time.time() - begun < 90
+    for i, t in ((1, text), (2, text[:90_000])):
+        assert [tuple(x) for x in got[i].base] == plain(t)
+        want, at = [], 0
+        for a, k, b in [tuple(x) for x in got[i].spans]:
+            if a >= at:
+                want += [t[at:a], f"[{sanitise.KINDS[k]}]" if k < 4 else ""]
+                at = b
+        assert got[i].sanitised == "".join(want) + t[at:]
