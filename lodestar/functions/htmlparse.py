@@ -91,6 +91,13 @@ class UnknownSelector(Exception):
     """A selector of a profile row that would silently match nothing."""
 
 
+def check_selector(selector: str) -> None:
+    """Raise ``UnknownSelector`` for a form that ``Page.select`` doesn't know."""
+    for part in selector.split(","):
+        if not all(_SIMPLE.fullmatch(step) for step in part.split()):
+            raise UnknownSelector(f"only tags, classes and descendants are known: {part.strip()!r}")
+
+
 def _simple_match(el, simple: str) -> bool:
     tag, *classes = simple.split(".")
     if tag and el["tag"] != tag:
@@ -127,8 +134,7 @@ class Page:
                 if part.strip():
                     hits.update(self.select(part.strip()))
             return sorted(hits)
-        if not all(_SIMPLE.fullmatch(part) for part in selector.split()):
-            raise UnknownSelector(f"only tags, classes and descendants are known: {selector!r}")
+        check_selector(selector)
         *outer, last = selector.split()
         return [i for i, el in enumerate(self.els) if _simple_match(el, last) and self._within(i, outer)]
 

@@ -315,30 +315,48 @@ def selector_links(pages: DataFrame, profiles: DataFrame) -> DataFrame:
 _CONTENT = ["title_scope", "title_selectors", "content_selectors", "strip_selectors", "fallback_selectors", "fallback_strip"]
 
 
-def _content_pass(it):
-    from lodestar.functions import htmlparse as hp
-    for pdf in it:
-        titles, contents, errors = [], [], []
-        for html, scope, title, content, strip, fallback, fallback_strip in zip(pdf["html"], *[pdf[c] for c in _CONTENT]):
-            page = hp.Page(html or "")
-            titles.append(hp.page_title(page, list(title), scope))
-            contents.append(hp.main_content(page, list(content), list(strip), list(fallback), list(fallback_strip)))
-            errors.append(page.error)
-        yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "title": titles, "content": contents,
-                            "parse_error": pd.Series(errors, dtype=object)})
-
-
-def page_content(pages: DataFrame, profiles: DataFrame | None = None) -> DataFrame:
+def _content_pass(isolate: bool):
+    def read(html, arg, scope, title, content, strip, fallback, fallback_strip):
+        from lodestar.functions import htmlparse as hp
+        if isolate:     # a faulty profile fails every page alike, whatever the page holds
+            for selector in [*filter(None, (scope, arg)), *title, *content, *strip, *fallback, *fallback_strip]:
+                hp.check_selector(selector)
+        page = hp.Page(html or "")
+        return (hp.page_title(page, list(title), scope),
+                hp.main_content(page, list(content), list(strip), list(fallback), list(fallback_strip)), page.error, None)
+
+    def run(it):
+        for pdf in it:
+            rows = []
+            for args in zip(pdf["html"], pdf["link_arg"], *[pdf[c] for c in _CONTENT]):
+                try:
+                    rows.append(read(*args))
+                except Exception as e:
+                    if not isolate:
+                        raise
+                    rows.append((None, None, None, f"{type(e).__name__}: {e}"))
+            out = pd.DataFrame(rows, columns=["title", "content", "parse_error", "failure"], dtype=object)
+            yield pd.concat([pdf[["page_id", "url"]], out], axis=1)
+    return run
+
+
+def page_content(pages: DataFrame, profiles: DataFrame | None = None, isolate: bool = False) -> DataFrame:
     """(page_id, url, title, content, parse_error) by the profile of
     the page's host: the title of its title selectors (inside ``title_scope``
     first, if there is one), then og:title; the content of the first matching
     container with boilerplate cut out, else of the fallback containers.
-    ``parse_error`` tells that the markup could not be read to its end."""
+    ``parse_error`` tells that the markup could not be read to its end.
+
+    A page that raises (its profile holds a selector of an unknown form, say)
+    ends the job; with ``isolate`` it is a row without title and content whose
+    further column ``failure`` holds the error."""
     p = pages.select("page_id", "url", "html", host("url").alias("source_site"))
+    cols = [*_CONTENT, "link_arg"]
     if profiles is not None:
-        p = p.join(profiles.select("source_site", *[c for c in _CONTENT if c in profiles.columns]), "source_site", "left")
-    return p.select("page_id", "url", "html", *_defaulted(p, _CONTENT)).mapInPandas(
-        _content_pass, "page_id long, url string, title string, content string, parse_error string")
+        p = p.join(profiles.select("source_site", *[c for c in cols if c in profiles.columns]), "source_site", "left")
+    out = p.select("page_id", "url", "html", *_defaulted(p, cols)).mapInPandas(
+        _content_pass(isolate), "page_id long, url string, title string, content string, parse_error string, failure string")
+    return out if isolate else out.drop("failure")
 
 
 def text_length(html) -> Column:
@@ -352,13 +370,15 @@ def min_text(df: DataFrame, col: str = "content", n: int = MIN_CONTENT_CHARS) ->
     return df.where(text_length(col) >= n)
 
 
-def scraped_pages(pages: DataFrame, as_of: str | None = None, profiles: DataFrame | None = None) -> DataFrame:
+def scraped_pages(pages: DataFrame, as_of: str | None = None, profiles: DataFrame | None = None, isolate: bool = False) -> DataFrame:
     """S1 + H9–H12: the page records that enter extraction (page_id, url,
-    title, content, parse_error, scraped_at)."""
+    title, content, parse_error, scraped_at); with ``isolate`` also the pages
+    that raised, told by ``failure``."""
     from lodestar.constants import AS_OF
     from lodestar.sources.views import as_of_ts
-    c = page_content(pages, profiles)
-    c = min_text(c.where(F.col("title").isNotNull() & F.col("content").isNotNull()))
+    c = page_content(pages, profiles, isolate)
+    whole = F.col("title").isNotNull() & F.col("content").isNotNull() & (text_length("content") >= MIN_CONTENT_CHARS)
+    c = c.where(whole | F.col("failure").isNotNull() if isolate else whole)
     return c.withColumn("scraped_at", as_of_ts(as_of or AS_OF))
 
 

@@ -68,3 +68,27 @@ def test_dry_run_writes_nothing(spark):
     out = tempfile.mkdtemp(prefix="lodestar-dry-")
     d = run.run_daily(spark, SF_SMALL, out, AS_OF, dry_run=True)
     assert not any(d["written"].values()) and not os.listdir(out)
+
+
+def test_one_source_fails_and_the_others_are_stored(spark):
+    """A profile with an unreadable selector ends its own source as 'failed';
+    everything else is as if that source had not been asked for."""
+    from lodestar.plans import jobs
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
+    sites = sorted(r.s for r in pages.select(jobs.html.host("url").alias("s")).distinct().collect())
+    bad = sites[0]
+    for column, value in (("content_selectors", F.array(F.lit("div > p"))), ("link_arg", F.lit("h2#top"))):
+        kind = jobs.html.PROFILE_DEFAULTS[column][0]
+        profiles = jobs.html.site_profiles(pages).withColumn(column, F.when(F.col("source_site") == bad, value.cast(kind)).otherwise(F.col(column)))
+        out = tempfile.mkdtemp(prefix="lodestar-fail-")
+        got = run.run_ingest(spark, SF_SMALL, out, AS_OF, profiles=profiles)
+        rows = {r.source: r for r in got["results"].collect()}
+        assert (rows[bad].status, rows[bad].scraped, rows[bad].failed, rows[bad].n_errors) == ("failed", 0, 1, 1)
+        records = {r.source_site: r for r in run.newest(spark, f"{out}/runs").collect()}
+        assert records[bad].status == "failed" and records[bad].error_message.startswith("UnknownSelector") and records[bad].listings_new == 0
+        assert sorted(records) == sites and records[bad].completed_at is not None
+        want = jobs.ingest(spark, SF_SMALL, sources=sites[1:])
+        assert {r.source: r for r in want["results"].collect()} == {k: v for k, v in rows.items() if k != bad}
+        assert sum(r.inserted for r in rows.values()) > 0
+        shown = ["id", "slug", "title", "status", "source_site"]
+        assert sorted(run.newest(spark, f"{out}/listings").select(shown).collect()) == sorted(want["upserted"].select(shown).collect())
