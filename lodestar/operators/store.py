@@ -90,11 +90,21 @@ def upsert(target: DataFrame, rows: DataFrame, as_of: str = AS_OF, protect_statu
     column, keeps id / created_at / verification / scam risk, and returns to
     status 'active'; a new slug is inserted with defaults.
     """
+    return _merged(target, rows, as_of, protect_status, "full_outer")
+
+
+def upsert_changes(target: DataFrame, rows: DataFrame, as_of: str = AS_OF, protect_status: bool = False) -> DataFrame:
+    """S4, the rows alone that ``upsert`` inserts or updates.  Stored rows of
+    other slugs are not read into the result, so a small batch broadcasts."""
+    return _merged(target, rows, as_of, protect_status, "right_outer")
+
+
+def _merged(target: DataFrame, rows: DataFrame, as_of: str, protect_status: bool, how: str) -> DataFrame:
     good = rows.where(row_errors(rows).isNull())
     newest = good.groupBy("slug").agg(F.max("item_order").alias("item_order"))
     last = good.join(newest, ["slug", "item_order"], "left_semi").select(*[F.col(c).alias("n_" + c) for c in SUPPLIED])
     t = target.select(*[F.col(c).alias(c) for c in SUPPLIED + KEPT])
-    j = t.join(last, F.col("slug") == F.col("n_slug"), "full_outer")
+    j = t.join(last, F.col("slug") == F.col("n_slug"), how)
     new, old = F.col("n_slug").isNotNull(), F.col("slug").isNotNull()
     status = F.col("n_status")
     if protect_status:

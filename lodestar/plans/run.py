@@ -4,7 +4,9 @@ A job reads the tables of one state (those of ``sf_dir`` before there is one)
 and publishes all its tables together as the next state (``state.Store``), so
 listings, log and outbox never disagree; what was read is never overwritten.
 The ingest publishes its run records as 'running' before the work and closes
-them with its other tables: a run that dies leaves them 'running'.  A dry run
+them with its other tables: a run that dies leaves them 'running'.  The first
+ingest writes the listings in hash buckets of the slug, a later one adds a
+layer of the rows it changes (``layers``).  A dry run
 (S9) builds every plan but writes nothing.
 """
 
@@ -13,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.operators import store as ops
-from lodestar.plans import jobs
+from lodestar.plans import jobs, layers
 from lodestar.plans.state import Conflict, Snapshot, Store
 
 __all__ = ["Conflict", "Snapshot", "Store", "newest", "run_daily", "run_ingest", "run_weekly", "versions"]
@@ -77,6 +79,17 @@ def run_ingest(spark: SparkSession, sf_dir: str, out_dir: str, as_of: str, dry_r
         opened = ops.open_runs(jobs.source_sites(spark, sf_dir, options.get("sources")), as_of)
         base = store.commit(base, {"runs": _with_history(store.read("runs", base), opened)})
     out = jobs.ingest(spark, sf_dir, store.read("listings", base), as_of, dry_run, **options)
-    tables = out | {"runs": _with_history(store.read("runs", base), out["runs"])}
-    written = _finish(store, base, tables, {"runs": "runs", "flags": "flags", "upserted": "listings"}, (), dry_run)
-    return {"written": written, "results": out["results"]}
+    names = {"runs": "runs", "flags": "flags", "upserted": "listings"}
+    if not dry_run:
+        entries = store.put({"runs": _with_history(store.read("runs", base), out["runs"]), "flags": out["flags"]})
+        if layers.is_layered(store, "listings", base):
+            entries |= layers.write_changes(store, "listings", out["changed"], base)
+        else:
+            entries |= layers.write_base(store, "listings", out["upserted"], "slug")
+        state = store.publish(base, entries)
+        if len(layers.parts("listings", "d", state)) > layers.MAX_LAYERS:
+            try:
+                layers.compact(store, "listings", state)
+            except Conflict:    # another writer was first: the next run compacts
+                pass
+    return {"written": dict.fromkeys(names, not dry_run), "results": out["results"]}

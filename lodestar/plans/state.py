@@ -18,6 +18,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodestar.plans import layers
+
 
 class Conflict(RuntimeError):
     """Another writer has published a table that this run read or writes."""
@@ -64,12 +66,19 @@ class Store:
     def read(self, table: str, at: Snapshot | None = None) -> DataFrame | None:
         """A table of a state (the newest if not given); None if it has none."""
         at = at or self.snapshot()
+        if layers.is_layered(self, table, at):
+            return layers.read(self, table, at)
         return self.spark.read.parquet(f"{self.root}/{at.tables[table][1]}") if table in at.tables else None
 
     def versions(self, table: str) -> list[int]:
         """The published versions of a table, the oldest first."""
         return list(range(1, self.snapshot().version(table) + 1))
 
+    def names(self, folder: str) -> list[str]:
+        """The names of what lies in a folder of the store."""
+        at = self._path(folder)
+        return sorted(x.getPath().getName() for x in at.getFileSystem(self._conf).listStatus(at))
+
     def put(self, tables: dict[str, DataFrame]) -> dict[str, str]:
         """Write tables into new folders; no reader sees them before ``publish``."""
         out = {}
@@ -78,15 +87,17 @@ class Store:
             df.write.parquet(f"{self.root}/{out[name]}")
         return out
 
-    def publish(self, base: Snapshot, folders: dict[str, str], read: tuple[str, ...] = ()) -> Snapshot:
-        """Make the written folders part of the next state.  ``read``: tables
-        of ``base`` whose content the new ones rest on."""
+    def publish(self, base: Snapshot, folders: dict[str, str | None], read: tuple[str, ...] = ()) -> Snapshot:
+        """Make the written folders part of the next state (None: the table
+        is gone from it).  ``read``: tables of ``base`` whose content the new
+        ones rest on."""
         while True:
             now = self.snapshot()
             changed = sorted(t for t in {*folders, *read} if now.version(t) != base.version(t))
             if changed:
                 raise Conflict(f"changed since state {base.number}: {', '.join(changed)}")
-            tables = now.tables | {t: (now.version(t) + 1, f) for t, f in folders.items()}
+            tables = now.tables | {t: (now.version(t) + 1, f) for t, f in folders.items() if f is not None}
+            tables = {t: x for t, x in tables.items() if folders.get(t, "") is not None}
             if self._rename_new(json.dumps(tables, sort_keys=True), now.number + 1):
                 return Snapshot(now.number + 1, tables)
 
