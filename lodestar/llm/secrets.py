@@ -255,12 +255,16 @@ def redact(docs: DataFrame, model: dict, mark: str = MARK) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = batch.column("text").to_pylist()
-            for r, text in _texts(batch):
-                found, _, _ = find(text, model)
-                if found:
-                    out[r] = replaced(text, found, mark.encode()).decode()
-            cols = list(batch.columns)
-            cols[at] = pa.array(out, pa.string())
-            yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names)
+            for lo, hi, data, off in byte_runs(text_array(batch)):      # a worker holds one run's texts
+                buf, part, new = data.tobytes(), batch.slice(lo, hi - lo), {}
+                for r in range(hi - lo):
+                    text = buf[off[r]:off[r + 1]]
+                    found, _, _ = find(text, model)
+                    if found:
+                        new[r] = replaced(text, found, mark.encode()).decode()
+                if new:
+                    cols = list(part.columns)
+                    cols[at] = pa.array([new.get(r, x) for r, x in enumerate(cols[at].to_pylist())], pa.string())
+                    part = pa.RecordBatch.from_arrays(cols, names=part.schema.names)
+                yield part
     return docs.mapInArrow(run, schema)
