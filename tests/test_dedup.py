@@ -155,3 +155,11 @@ def test_order_rule_in_rounds_equals_components(spark, monkeypatch):
         monkeypatch.setattr(dedup, "COMPONENT_EDGES", limit)
         assert {r.node: r.unique for r in dedup.greedy_resolve(nd, ed).collect()} == want
     assert dedup.greedy_resolve(nd, ed.limit(0)).where("unique").count() == 300
+
+
+def test_order_of_a_component_may_be_a_struct(spark):
+    # the ingest visits items in the order of (source, page); a null source comes first
+    nodes = [("c", "s1", 2), ("a", "s1", 10), ("b", None, 7)]
+    nd = spark.createDataFrame(nodes, "node string, s string, n long").select("node", F.struct("s", "n").alias("ord"))
+    ed = spark.createDataFrame([("b", "c"), ("c", "a")], "src string, dst string")
+    assert {r.node: r.unique for r in dedup.greedy_resolve(nd, ed).collect()} == {"b": True, "c": False, "a": True}
