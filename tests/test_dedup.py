@@ -163,3 +163,29 @@ def test_order_of_a_component_may_be_a_struct(spark):
     nd = spark.createDataFrame(nodes, "node string, s string, n long").select("node", F.struct("s", "n").alias("ord"))
     ed = spark.createDataFrame([("b", "c"), ("c", "a")], "src string, dst string")
     assert {r.node: r.unique for r in dedup.greedy_resolve(nd, ed).collect()} == {"b": True, "c": False, "a": True}
+
+
+def test_texts_of_equal_letters_do_not_reach_the_kernel(spark):
+    """Unrelated keys with the same letter counts pass every bound on counts;
+    only those within the distance may be left for the kernel, and all of them."""
+    import random
+    from lodestar.functions import fuzzy as fz
+    rnd = random.Random(5)
+    letters = list("abcdefghijklmnopqrst" * 10 + " " * 40)
+    keys = []
+    for _ in range(60):
+        rnd.shuffle(letters)
+        keys.append("".join(letters))
+    for k in keys[:10]:
+        chars = list(k)
+        for _ in range(30):
+            chars[rnd.randrange(len(chars))] = rnd.choice("abc_xyz0 é")
+        keys.append("".join(chars))
+    keys += ["", "a", "ab", "abc", "abcd", "abcdefg", "abcdefh"]
+    want = {(a, b) for a in keys for b in keys if a < b and fz.ratio(a, b) >= 85}
+    i, j = fz.near_places(keys, keys, lambda x, ys: [keys[x] < keys[y] for y in ys])
+    near = {(keys[x], keys[y]) for x, y in zip(i, j)}
+    assert want <= near and len(want) >= 10 and len(near) < 100
+    df = spark.createDataFrame([(k,) for k in keys if k], "fkey string")
+    got = {(r.a, r.b) for r in dedup.candidate_pairs(df, df.limit(0)).collect()}
+    assert want <= got and len(got) < 100
