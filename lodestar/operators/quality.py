@@ -3,10 +3,15 @@ referential checks (Q1–Q7, P4–P6, J6, J7)."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestar.constants import (EDUCATION_LEVELS, LOG_STATUSES, RUN_STATUSES, SCAM_RISK_LEVELS,
                                 STATUSES, TYPES, VERIFICATION_LEVELS)
@@ -85,25 +90,66 @@ def terms(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+"), lambda t: t != "")
 
 
-def _tagged(col: str, weight: str) -> Column:
-    return F.transform(terms(F.col(col)), lambda t: F.struct(t.alias("term"), F.lit(weight).alias("weight")))
-
-
-def weighted_postings(opps: DataFrame) -> DataFrame:
+WEIGHTS = {"title": "A", "description": "B", "organization": "C"}
+RUN_BYTES = 1 << 22     # bytes of text grouped at a time; one longer row is one run
+
+
+def spaced_terms(text: Column) -> Column:
+    """The ``terms`` of a text as one string, a space between and maybe around them."""
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+", " ")
+
+
+def token_runs(batch: pa.RecordBatch, columns: list[str], words: Callable[[list[str]], list[str]] | None = None):
+    """Tokens of ``spaced_terms`` columns without empty ones and stop words,
+    for runs of rows: (row, word number, column number) as arrays, and the
+    words by number.  ``words`` maps the distinct words of a run."""
+    n, lo = len(batch), 0
+    size = np.cumsum([0, *sum(pc.binary_length(batch.column(c)).to_numpy().astype(np.int64) for c in columns)])
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(size, size[lo] + RUN_BYTES, side="right")) - 1)
+        lists = [pc.split_pattern(batch.column(c).slice(lo, hi - lo), " ") for c in columns]
+        count = [pc.list_value_length(x).to_numpy() for x in lists]
+        values = pa.concat_arrays([x.flatten() for x in lists])
+        row = np.concatenate([np.repeat(np.arange(lo, hi), k) for k in count])
+        field = np.repeat(np.arange(len(columns)), [k.sum() for k in count])
+        coded = values.dictionary_encode()
+        code, known = coded.indices.to_numpy(), coded.dictionary
+        dropped = pc.is_in(known, pa.array(["", *STOP_WORDS], known.type)).to_numpy(zero_copy_only=False)
+        kept = ~dropped[code] if len(known) else np.zeros(0, bool)
+        if words is not None:
+            mapped = pa.array(words(known.to_pylist()), known.type).dictionary_encode()
+            code, known = mapped.indices.to_numpy()[code], mapped.dictionary
+        yield row[kept], code[kept].astype(np.int64), field[kept], known
+        lo = hi
+
+
+def _postings(words: Callable[[list[str]], list[str]] | None):
+    weights = pa.array(list(WEIGHTS.values()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, code, field, known in token_runs(batch, list(WEIGHTS), words):
+                m = max(len(known), 1)
+                key = np.sort((row * m + code) * len(weights) + field)      # equal terms of a row in order of weight
+                pair, field = np.divmod(key, len(weights))
+                first = np.flatnonzero(np.diff(pair, prepend=-1))
+                tf = np.diff(first, append=len(pair))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").take(pa.array(pair[first] // m)), known.take(pa.array(pair[first] % m)),
+                     weights.take(pa.array(field[first])), pa.array(tf, pa.int64())], names=["id", "term", "weight", "tf"])
+    return run
+
+
+def weighted_postings(opps: DataFrame, words: Callable[[list[str]], list[str]] | None = None) -> DataFrame:
     """Q5: (id, term, weight, tf): title = A, description = B, organization = C;
-    a term keeps its best weight; stop words are dropped.
-
-    ``id`` is unique, so a posting never spans rows: each row sorts its tagged
-    tokens, and every run of equal terms is one posting.  No shuffle."""
-    tagged = F.concat(_tagged("title", "A"), _tagged("description", "B"), _tagged("organization", "C"))
-    tokens = F.array_sort(F.filter(tagged, lambda t: ~t["term"].isin(*STOP_WORDS)))
-    t = F.col("_t")
-    starts = F.filter(F.sequence(F.lit(0), F.size(t) - 1), lambda i: (i == 0) | (t[i]["term"] != t[i - 1]["term"]))
-    ends = F.concat(F.slice("_s", F.lit(2), F.size("_s")), F.array(F.size(t)))
-    runs = F.transform(F.arrays_zip(F.col("_s").alias("s"), F.col("_e").alias("e")), lambda z: F.struct(
-        t[z["s"]]["term"].alias("term"), t[z["s"]]["weight"].alias("weight"), (z["e"] - z["s"]).cast("long").alias("tf")))
-    return (opps.select("id", F.explode(F.array(tokens)).alias("_t")).where(F.size("_t") > 0)
-            .withColumn("_s", starts).withColumn("_e", ends).select("id", F.inline(runs)))
+    a term keeps its best weight; stop words are dropped.  ``words`` maps
+    distinct words to terms, each once for many rows.
+
+    A posting never spans rows: Spark cuts the texts, and a task groups the
+    tokens of a run of rows by sorting numbers.  No shuffle."""
+    schema = T.StructType([T.StructField("id", opps.schema["id"].dataType), T.StructField("term", T.StringType()),
+                           T.StructField("weight", T.StringType()), T.StructField("tf", T.LongType())])
+    return opps.select("id", *[spaced_terms(F.col(c)).alias(c) for c in WEIGHTS]).mapInArrow(_postings(words), schema)
 
 
 def text_search(opps: DataFrame, query: str) -> DataFrame:
