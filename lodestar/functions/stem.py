@@ -4,10 +4,14 @@ Every step reads the column ``w`` and the region starts ``p1`` and ``p2`` and
 gives the next ``w``.  The expressions use only what Spark SQL and ANSI-like
 dialects share, so the same rules run as a chain of Spark projections
 (``stemmed``) and as a chain of common table expressions (``stem_ctes``).
+``stem_word`` says them once more for tasks that stem each distinct word of
+many rows; the tests hold the three together.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -111,6 +115,69 @@ def steps(dialect: str) -> list[dict[str, str]]:
     ]
 
 
+_FIRST = re.compile(f"{'|'.join(LONG_PREFIXES)}|.*?{_V}{_C}")
+_REST = re.compile(f".*?{_V}{_C}")
+_LETTERS, _VOWEL, _PLURAL = re.compile("[a-z]+"), re.compile(_V), re.compile(f"{_V}.+s$")
+_SHORT_END, _LAST_Y = re.compile(_SHORT), re.compile(f"{_C}[yY]$")
+_BY_LENGTH = {id(rules): sorted(rules, key=lambda x: (-len(x), x)) for rules in (DERIVED, ADJECTIVAL)}
+_DROPPED = sorted(DROPPED, key=lambda x: (-len(x), x))
+
+
+def _ending(w: str, suffixes: list[str]) -> str | None:
+    return next((s for s in suffixes if w.endswith(s)), None)
+
+
+def stem_word(word: str) -> str:
+    """The stem of a lower-case word, by the rules of ``steps``."""
+    if word in WHOLE_WORDS:
+        return WHOLE_WORDS[word]
+    if len(word) < 3 or not _LETTERS.fullmatch(word):
+        return word
+    w = "Y" + word[1:] if word[0] == "y" else word
+    for v in VOWELS:
+        w = w.replace(v + "y", v + "Y")
+    m = _FIRST.match(w)
+    p1 = m.end() if m else len(w)
+    m = _REST.match(w[p1:])
+    p2 = p1 + m.end() if m else len(w)
+    if w.endswith("sses"):
+        w = w[:-2]
+    elif w.endswith(("ied", "ies")):
+        w = w[:-2] if len(w) > 4 else w[:-1]
+    elif not w.endswith(("us", "ss")) and _PLURAL.search(w):
+        w = w[:-1]
+    fixed = w in KEPT_AFTER_PLURAL
+    if not fixed:
+        verb = _ending(w, ["eedly", "eed", "ingly", "edly", "ing", "ed"])
+        if verb in ("eedly", "eed"):
+            if len(w) - len(verb) >= p1:
+                w = w[:-3] if verb == "eedly" else w[:-1]
+        elif verb and _VOWEL.search(w[:-len(verb)]):
+            w = w[:-len(verb)]
+            if w.endswith(("at", "bl", "iz")):
+                w += "e"
+            elif w[-2:] in DOUBLES:
+                w = w[:-1]
+            elif p1 >= len(w) and _SHORT_END.search(w):
+                w += "e"
+        if len(w) > 2 and _LAST_Y.search(w):
+            w = w[:-1] + "i"
+        for rules, extra in ((DERIVED, {"ogi": "l", "li": LI_ENDINGS}), (ADJECTIVAL, {})):
+            s = _ending(w, _BY_LENGTH[id(rules)])
+            if s and len(w) - len(s) >= p1 and (s != "ative" or len(w) - 5 >= p2):
+                if s not in extra or len(w) > len(s) and w[-len(s) - 1] in extra[s]:
+                    w = w[:-len(s)] + rules[s]
+        s = _ending(w, _DROPPED)
+        if s and len(w) - len(s) >= p2 and (s != "ion" or len(w) > 3 and w[-4] in "st"):
+            w = w[:-len(s)]
+        if w.endswith("e"):
+            if len(w) - 1 >= p2 or len(w) - 1 >= p1 and not _SHORT_END.search(w[:-1]):
+                w = w[:-1]
+        elif w.endswith("ll") and len(w) - 1 >= p2:
+            w = w[:-1]
+    return w.replace("Y", "y")
+
+
 def stemmed(words: DataFrame, column: str, out: str) -> DataFrame:
     """Add ``out``, the stem of the lower-case word in ``column``: one
     projection per step, no shuffle and no Python.  Words with other signs

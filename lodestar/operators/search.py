@@ -11,29 +11,71 @@ a half-written segment is never found.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from lodestar.functions.stem import stemmed
-from lodestar.operators.quality import STOP_WORDS, terms, weighted_postings
+from lodestar.functions.stem import stem_word, stemmed
+from lodestar.operators.quality import STOP_WORDS, spaced_terms, terms, token_runs, weighted_postings
+from lodestar.session import checkpoint_dir
 
 SEARCHED = ["title", "description", "organization"]
 BUCKETS = 64            # folders of terms
 BLOCK_BITS = 16         # documents of a block, as a power of two
 
 
+KNOWN_MAX = 500_000     # stems remembered per worker
+_KNOWN: dict[str, str] = {}
+
+
+def _stems(words: list[str]) -> list[str]:
+    """The stems of words; a worker remembers up to ``KNOWN_MAX`` of them."""
+    if len(_KNOWN) > KNOWN_MAX:
+        _KNOWN.clear()
+    for w in words:
+        if w not in _KNOWN:
+            _KNOWN[w] = stem_word(w)
+    return [_KNOWN[w] for w in words]
+
+
 def stemmed_postings(opps: DataFrame) -> DataFrame:
     """Q5 with English stems: (id, term, weight, tf) per document and stem; a
     stem keeps its words' best weight and the sum of their counts.  Stop words
-    are dropped before stemming.  All words of a row are in one task, so the
-    partial aggregate has one row a stem before the shuffle."""
-    words = stemmed(weighted_postings(opps), "term", "stem")
-    return words.groupBy("id", F.col("stem").alias("term")).agg(F.min("weight").alias("weight"), F.sum("tf").alias("tf"))
+    are dropped before stemming.  A task gives one row a document and stem, so
+    only rows that share an id need a shuffle to meet."""
+    rows = weighted_postings(opps, _stems)
+    n = opps.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("distinct")).first()
+    if n["rows"] == n["distinct"]:      # ids name the documents
+        return rows
+    # a weight as a number keeps the aggregate a hash aggregate
+    return (rows.groupBy("id", "term").agg(F.min(F.ascii("weight")).alias("weight"), F.sum("tf").alias("tf"))
+            .withColumn("weight", F.char("weight")))
+
+
+def _lists(bits: int):
+    """Per run of documents, (term, block, at): the stem's documents in a block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docno = batch.column("docno").to_numpy()
+            for row, code, _, known in token_runs(batch, SEARCHED, _stems):
+                code, row = np.divmod(np.unique(code * len(batch) + row), len(batch))
+                order = np.lexsort((docno[row], code))
+                code, no = code[order], docno[row[order]]
+                block = no >> bits
+                new = np.ones(len(code), bool)
+                new[1:] = (np.diff(code) != 0) | (np.diff(block) != 0)
+                first = np.flatnonzero(new)
+                at = pa.ListArray.from_arrays(pa.array(np.append(first, len(code)), pa.int32()),
+                                              pa.array(no & ((1 << bits) - 1), pa.int32()))
+                yield pa.RecordBatch.from_arrays([known.take(pa.array(code[first])), pa.array(block[first]), at],
+                                                 names=["term", "block", "at"])
+    return run
 
 
 def _bucket():
@@ -44,15 +86,13 @@ def add_to_index(opps: DataFrame, path: str) -> str:
     """Index a batch of documents as a new segment; returns its name.  Empty
     texts have no postings; ``id`` is unique over all segments."""
     segment = uuid.uuid4().hex
-    distinct = F.array_distinct(F.flatten(F.array(*[terms(F.col(c)) for c in SEARCHED])))
     # numbered once and kept, as both tables rest on the same numbers
-    docs = opps.select("id", F.monotonically_increasing_id().alias("docno"),
-                       F.array_except(distinct, F.array(*[F.lit(w) for w in STOP_WORDS])).alias("words")).checkpoint()
-    rows = stemmed(docs.select("docno", F.explode("words").alias("word")), "word", "term")
-    block = F.shiftright("docno", BLOCK_BITS)
-    offset = F.col("docno").bitwiseAND((1 << BLOCK_BITS) - 1).cast("int")
-    lists = (rows.groupBy("term", block.alias("block"))
-             .agg(F.sort_array(F.collect_set(offset)).alias("at")))       # at most 2^BLOCK_BITS numbers
+    kept = f"{checkpoint_dir(opps.sparkSession).rstrip('/')}/lodestar-index-documents/{segment}"
+    (opps.select("id", F.monotonically_increasing_id().alias("docno"), *[spaced_terms(F.col(c)).alias(c) for c in SEARCHED])
+     .write.parquet(kept))
+    docs = opps.sparkSession.read.parquet(kept)
+    lists = (docs.drop("id").mapInArrow(_lists(BLOCK_BITS), "term string, block long, at array<int>").groupBy("term", "block")
+             .agg(F.sort_array(F.flatten(F.collect_list("at"))).alias("at")))       # at most 2^BLOCK_BITS numbers
     gaps = F.transform("at", lambda x, i: F.when(i == 0, x).otherwise(x - F.get("at", i - 1)))
     (lists.select(_bucket().alias("bucket"), "term", "block", F.size("at").alias("n"), gaps.alias("gaps"))
      .repartitionByRange("bucket", "term", "block").sortWithinPartitions("bucket", "term", "block")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import duckdb
 from pyspark.sql import functions as F
 
+from lodestar.functions import stem
 from lodestar.functions.stem import stem_ctes, stemmed
 from lodestar.operators import search
 
@@ -44,6 +45,16 @@ def test_other_words_stay(spark):
     assert [r["stem"] for r in rows] == ["src1", "größes", "2024s", "", None]
 
 
+def test_one_word_at_a_time_gives_the_same(spark):
+    roots = ["gener", "hop", "yell", "syzyg", "arsen", "cri", "tr", "beauty", "toll", "log", "vis", "fee", "ay", "b"]
+    ends = ["", "s", "ies", "ied", "sses", "us", "eedly", "eed", "ingly", "edly", "ing", "ed", "y", "e", "ll",
+            *stem.DERIVED, *stem.ADJECTIVAL, *stem.DROPPED, "sion", "tion", "geli", "leli", "atively", "izations"]
+    given = {*PAIRS, *stem.WHOLE_WORDS, *stem.KEPT_AFTER_PLURAL, "src1", "größes", "2024s", "", "ab",
+             *(r + e for r in roots for e in ends), *(r + a + b for r in roots[:5] for a in stem.DROPPED for b in ("ly", "s", "ed", "ness"))}
+    rows = stemmed(spark.createDataFrame([(w,) for w in given], "word string"), "word", "stem").collect()
+    assert {r["word"]: stem.stem_word(r["word"]) for r in rows} == {r["word"]: r["stem"] for r in rows}
+
+
 SCHEMA = "id string, title string, description string, organization string"
 ROWS = [("a", "Studies of rivers", "the river studied", "Acme"), ("b", "River study", None, None),
         ("c", "Studying", "mountains and hills", "River Fund"), ("d", None, "", None),
@@ -61,6 +72,30 @@ def test_postings_by_stem(spark):
     assert not any(k[1] in ("the", "of", "and") for k in got) and not any(k[0] == "d" for k in got)
 
 
+def test_postings_of_repeated_ids_meet_by_stem(spark):
+    rows = [("a", None, "studies", "River"), ("a", "study", "rivers", None), (None, "study", None, None), (None, None, "studies", None)]
+    got = sorted(tuple(r) for r in search.stemmed_postings(spark.createDataFrame(rows, SCHEMA)).where("id is not null").collect())
+    assert got == [("a", "river", "B", 2), ("a", "studi", "A", 2)]
+    none = search.stemmed_postings(spark.createDataFrame(rows, SCHEMA)).where("id is null").collect()
+    assert [tuple(r) for r in none] == [(None, "studi", "A", 2)]
+
+
+def test_postings_of_unique_ids_need_no_shuffle_and_no_stem_a_posting(spark):
+    plan = search.stemmed_postings(spark.createDataFrame(ROWS, SCHEMA))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "ational" not in plan
+
+
+def test_postings_in_short_runs(spark):
+    from lodestar.operators import quality
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pydict({"id": ["a", "b", "c"], "title": ["x y x", "", " the "], "description": ["y z" * 3, "z  z", ""], "organization": ["", "q", ""]})
+    run = quality._postings(None)
+    whole = sorted(tuple(r.values()) for b in run(iter([batch])) for r in b.to_pylist())
+    parts = sorted(tuple(r.values()) for i in range(3) for b in run(iter([batch.slice(i, 1)])) for r in b.to_pylist())
+    assert whole == parts and ("a", "x", "A", 2) in whole and ("a", "y", "A", 2) in whole and ("b", "z", "B", 2) in whole
+    assert not any(r[0] == "c" for r in whole)
+
+
 def test_search_over_segments(spark, tmp_path):
     path = str(tmp_path / "index")
     search.add_to_index(spark.createDataFrame(ROWS[:3], SCHEMA), path)
