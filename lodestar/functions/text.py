@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from lodestar.constants import FILLER_WORDS
 
+# The characters of ECMAScript \s.
+JS_SPACES = ("\t\n\x0B\f\r \u00A0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+             + "\u2028\u2029\u202F\u205F\u3000\uFEFF")
 # ECMAScript \s minus the plain space (which is already a space).
 JS_SPACE = r"[\t\n\x0B\f\r\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
 _W = "A-Za-z0-9_"
@@ -30,9 +33,9 @@ def js_spaces(c) -> Column:
 
 
 def js_trim(c) -> Column:
-    """ECMAScript ``trim()``: strips every ECMAScript whitespace character."""
-    cls = JS_SPACE[:-1] + " ]"
-    return F.regexp_replace(_col(c), f"^{cls}+|{cls}+$", "")
+    """ECMAScript ``trim()``: strips every ECMAScript whitespace character at
+    both ends; what lies between is not searched."""
+    return F.btrim(_col(c), F.lit(JS_SPACES))
 
 
 def norm_hash(c) -> Column:

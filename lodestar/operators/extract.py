@@ -34,7 +34,10 @@ def prompt(title="title", url="url", html="content", limit: int = PROMPT_HTML_MA
 def strip_fence(raw="raw_response") -> Column:
     """Trimmed text; an opening fence (optional 'json', newline) and a
     closing fence are removed when the text starts with three backticks."""
-    t = js_trim(F.col(raw))
+    return _unfenced(js_trim(F.col(raw)))
+
+
+def _unfenced(t: Column) -> Column:
     inner = F.regexp_replace(F.regexp_replace(t, r"^```(?:json)?\n?", ""), r"\n?```$", "")
     return F.when(t.startswith(FENCE), inner).otherwise(t)
 
@@ -97,12 +100,16 @@ def validate(df: DataFrame, raw: str = "raw_response") -> DataFrame:
     object that breaks a rule, are validation failures that name every issue.
     """
     # Each generator is a barrier: what is above reads its one result and
-    # can't repeat the parse or the field reads.
-    d = df.withColumn("_raw", js_trim(F.col(raw)))
-    d = d.select("*", F.explode(F.array(F.try_parse_json(strip_fence(raw)))).alias("_v"))
+    # can't repeat the trim, the parse, the map or the field reads.  A
+    # generator's own expression has no common parts taken out, so whatever
+    # is used more than once has a generator of its own.
+    once = lambda d, c, name: d.select("*", F.explode(F.array(c)).alias(name))
+    d = once(df, js_trim(F.col(raw)), "_raw")
+    d = once(d, F.try_parse_json(_unfenced(F.col("_raw"))), "_v")
     v = F.col("_v")
-    d = d.withColumn("_kind", F.schema_of_variant(v))
-    d = d.select("*", F.explode(F.array(_fields(F.try_variant_get(v, "$", "map<string,variant>")))).alias("_f"))
+    d = d.withColumns({"_kind": F.schema_of_variant(v), "_raw": F.substring("_raw", 1, 200)})
+    d = once(d, F.try_variant_get(v, "$", "map<string,variant>"), "_m")
+    d = once(d, _fields(F.col("_m")), "_f")
     f = lambda k: F.col(f"_f.{k}")
 
     single = []
@@ -146,11 +153,11 @@ def validate(df: DataFrame, raw: str = "raw_response") -> DataFrame:
         F.when(app_ok, app).alias("application_url"))
     failed = lambda m: F.concat(F.lit("Validation failed: "), m)
     d = d.select("*", F.explode(F.array(issues)).alias("_issues"))
-    err = (F.when(v.isNull(), F.concat(F.lit("JSON parse failed. Raw: "), F.substring(F.coalesce("_raw", F.lit("")), 1, 200)))
+    err = (F.when(F.col("_kind").isNull(), F.concat(F.lit("JSON parse failed. Raw: "), F.coalesce("_raw", F.lit(""))))
            .when(~F.col("_kind").startswith("OBJECT"), failed(F.concat(F.lit("Expected object, received "), _received(F.col("_kind")))))
            .when(F.size("_issues") > 0, failed(F.array_join("_issues", "; "))))
     return (d.withColumn("error", err).withColumn("extraction", F.when(F.col("error").isNull(), extraction))
-            .drop("_v", "_raw", "_kind", "_f", "_issues"))
+            .drop("_v", "_raw", "_kind", "_m", "_f", "_issues"))
 
 
 def split_results(validated: DataFrame, url: str = "url", as_of: str = AS_OF) -> tuple[DataFrame, DataFrame]:

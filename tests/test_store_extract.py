@@ -113,3 +113,28 @@ def test_every_element_and_every_kind_is_checked(spark):
     assert out[5].error == "Validation failed: regions: Expected array, received string"
     assert out[6].error.startswith("JSON parse failed") and out[7].error.startswith("JSON parse failed")
     assert out[8].error is None and out[8].extraction.regions == []
+
+
+def test_validate_reads_the_object_once(spark):
+    """The map of the object is one generator's result, not one cast a key."""
+    from lodestar.operators import extract as X
+    d = spark.createDataFrame([("{}",)], "raw_response string")
+    plan = X.validate(d)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapType(StringType,VariantType") == 1
+
+
+def test_trim_looks_at_the_ends_only(spark):
+    from lodestar.functions.text import js_trim
+    rows = [(" a b\t", "a b"), ("\ufeff\u3000x\u2028\r\n", "x"), ("", ""), (" \u00a0", ""), ("\u200ba", "\u200ba"),
+            ("a \u0085", "a \u0085"), (None, None)]
+    d = spark.createDataFrame(rows, "given string, wanted string")
+    assert d.where(~js_trim("given").eqNullSafe(d["wanted"])).count() == 0
+    assert "regexp_replace" not in d.select(js_trim("given"))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_failed_parse_names_the_trimmed_beginning(spark):
+    from lodestar.operators import extract as X
+    rows = [(" \n no json" + "x" * 300,), (None,), ("null",), ("```json\n[1]\n``` ",)]
+    got = [r["error"] for r in X.validate(spark.createDataFrame(rows, "raw_response string")).select("error").collect()]
+    assert got == ["JSON parse failed. Raw: " + ("no json" + "x" * 300)[:200], "JSON parse failed. Raw: ",
+                   "Validation failed: Expected object, received null", "Validation failed: Expected object, received array"]
