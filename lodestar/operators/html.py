@@ -5,14 +5,18 @@ URLs are detail pages, and which selectors hold the title and the content.
 Link extraction of the plain ``a[href]`` form, URL canonicalisation, the
 same-site and detail-path rules, first-occurrence and the per-index cap are
 native expressions; selector-based title/content/link forms run in one
-``mapInPandas`` pass per page (no group is ever gathered).
+``mapInPandas`` or ``mapInArrow`` pass per page (no group is ever gathered).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from urllib.parse import urljoin, urlsplit
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -315,6 +319,9 @@ def selector_links(pages: DataFrame, profiles: DataFrame) -> DataFrame:
 _CONTENT = ["title_scope", "title_selectors", "content_selectors", "strip_selectors", "fallback_selectors", "fallback_strip"]
 
 
+RUN_BYTES = 1 << 22     # of markup read at a time; of the other pages of a batch a worker holds the Arrow bytes only
+
+
 def _content_pass(isolate: bool):
     def read(html, arg, scope, title, content, strip, fallback, fallback_strip):
         from lodestar.functions import htmlparse as hp
@@ -325,18 +332,25 @@ def _content_pass(isolate: bool):
         return (hp.page_title(page, list(title), scope),
                 hp.main_content(page, list(content), list(strip), list(fallback), list(fallback_strip)), page.error, None)
 
-    def run(it):
-        for pdf in it:
-            rows = []
-            for args in zip(pdf["html"], pdf["link_arg"], *[pdf[c] for c in _CONTENT]):
-                try:
-                    rows.append(read(*args))
-                except Exception as e:
-                    if not isolate:
-                        raise
-                    rows.append((None, None, None, f"{type(e).__name__}: {e}"))
-            out = pd.DataFrame(rows, columns=["title", "content", "parse_error", "failure"], dtype=object)
-            yield pd.concat([pdf[["page_id", "url"]], out], axis=1)
+    def one(args):
+        try:
+            return read(*args)
+        except Exception as e:
+            if not isolate:
+                raise
+            return None, None, None, f"{type(e).__name__}: {e}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("html")), 0).to_numpy().astype(np.int64))
+            lo = 0
+            while lo < len(batch):
+                hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + RUN_BYTES, side="right")))
+                part = batch.slice(lo, hi - lo)
+                rows = [one(args) for args in zip(*[part.column(c).to_pylist() for c in ("html", "link_arg", *_CONTENT)])]
+                yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), *[pa.array(c, pa.string()) for c in zip(*rows)]],
+                                                 names=["page_id", "url", "title", "content", "parse_error", "failure"])
+                lo = hi
     return run
 
 
@@ -354,7 +368,7 @@ def page_content(pages: DataFrame, profiles: DataFrame | None = None, isolate: b
     cols = [*_CONTENT, "link_arg"]
     if profiles is not None:
         p = p.join(profiles.select("source_site", *[c for c in cols if c in profiles.columns]), "source_site", "left")
-    out = p.select("page_id", "url", "html", *_defaulted(p, cols)).mapInPandas(
+    out = p.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", *_defaulted(p, cols)).mapInArrow(
         _content_pass(isolate), "page_id long, url string, title string, content string, parse_error string, failure string")
     return out if isolate else out.drop("failure")
 

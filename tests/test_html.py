@@ -187,3 +187,22 @@ def test_selectors_of_other_kinds_are_rejected():
     for bad in ("div > p", "#a", "p[class]", "div, p:first-child", "*"):
         with pytest.raises(htmlparse.UnknownSelector):
             page.select(bad)
+
+
+def test_content_is_given_back_in_short_runs():
+    """A worker's texts are bounded by bytes, whatever the batch holds; null pages and ids are rows."""
+    import pyarrow as pa
+    from lodestar.operators import html as H
+    n = 40
+    page = "<html><body><article><h1>t</h1>" + "x" * 300_000 + "</article></body></html>"
+    texts = pa.list_(pa.string())
+    lists = {"title_selectors": ["h1"], "content_selectors": ["article"], "strip_selectors": [], "fallback_selectors": ["body"], "fallback_strip": []}
+    html = [page] * (n - 1) + [None]
+    batch = pa.RecordBatch.from_pydict({
+        "page_id": pa.array([*range(n - 1), None], pa.int64()), "url": pa.array(["u"] * n), "html": pa.array(html),
+        "link_arg": pa.nulls(n, pa.string()), "title_scope": pa.nulls(n, pa.string()), **{k: pa.array([v] * n, texts) for k, v in lists.items()}})
+    got = list(H._content_pass(False)(iter([batch])))
+    assert len(got) > 1 and max(b.column("content").nbytes for b in got) < 2 * H.RUN_BYTES
+    rows = [r for b in got for r in b.to_pylist()]
+    assert [r["page_id"] for r in rows] == [*range(n - 1), None]
+    assert {r["title"] for r in rows[:-1]} == {"t"} and all(len(r["content"]) > 300_000 for r in rows[:-1]) and rows[-1]["title"] is None
