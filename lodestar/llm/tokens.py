@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -81,6 +82,12 @@ def _lead_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return s, np.append(s[1:], n)
 
 
+def _gather(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The spans of ``pool`` that begin at ``start``, end to end."""
+    end = np.cumsum(size)
+    return pool[np.repeat(start - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
+
+
 class PieceCache:
     """Ids of texts from the ids of their distinct pieces; a worker remembers
     up to ``KNOWN_MAX`` of them.  Subclasses say where texts are cut and how
@@ -90,31 +97,29 @@ class PieceCache:
         self._forget()
 
     def _forget(self):
-        self.known: dict[int, int] = {}
-        self.start, self.size, self.met = (np.zeros(4096, np.int64) for _ in range(3))
+        self.known = np.zeros(0, np.uint64)      # hashes in order; the arrays below go with them
+        self.start, self.size, self.met = (np.zeros(0, np.int64) for _ in range(3))
         self.pool, self.used = np.zeros(16384, np.uint32), 0
 
     def _shrink(self):
         """Keep the pieces that most runs have met, at most half of them."""
         n = len(self.known)
-        least = max(2, int(np.partition(self.met[:n], n // 2)[n // 2]) + 1)
-        keep = self.met[:n] >= least
-        known, start, size, pool = self.known, self.start, self.size, self.pool
+        keep = self.met >= max(2, int(np.partition(self.met, n // 2)[n // 2]) + 1)
+        known, size = self.known[keep], self.size[keep]
+        ids = _gather(self.pool, self.start[keep], size)
         self._forget()
-        for h, slot in known.items():
-            if keep[slot]:
-                self._put(h, pool[start[slot]:start[slot] + size[slot]])
-
-    def _put(self, h: int, ids):
-        slot = len(self.known)
-        if slot == len(self.start):
-            self.start, self.size, self.met = (np.concatenate([x, np.zeros(slot, np.int64)]) for x in (self.start, self.size, self.met))
+        self._put(known, np.zeros(len(known), np.int64), size, ids)
+
+    def _put(self, hashes: np.ndarray, at: np.ndarray, size: np.ndarray, ids: np.ndarray):
+        """Remember pieces: their hashes in order, the places of these among
+        the known ones, numbers of ids, and ids end to end."""
         while self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), np.uint32)])
-        self.start[slot], self.size[slot] = self.used, len(ids)
         self.pool[self.used:self.used + len(ids)] = ids
+        start = self.used + np.cumsum(size) - size
         self.used += len(ids)
-        self.known[h] = slot
+        self.known, self.start, self.size, self.met = (np.insert(x, at, v) for x, v in (
+            (self.known, hashes), (self.start, start), (self.size, size), (self.met, 0)))
 
     def _prepare(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return raw, off
@@ -136,18 +141,21 @@ class PieceCache:
             uniq, first, inv = np.unique(word_hashes(data, s, e), return_index=True, return_inverse=True)
             if len(self.known) > KNOWN_MAX:
                 self._shrink()
-            keys, known = uniq.tolist(), self.known
-            new = [i for i, h in enumerate(keys) if h not in known]
-            buf = data.tobytes()
-            for i, ids in zip(new, self._encode([buf[s[j]:e[j]] for j in first[new].tolist()])):
-                self._put(keys[i], ids)
-            slot = np.fromiter((known[h] for h in keys), np.int64, len(keys))
+            slot = np.searchsorted(self.known, uniq)
+            new = np.ones(len(uniq), bool)
+            near = slot < len(self.known)
+            new[near] = self.known[slot[near]] != uniq[near]
+            if new.any():
+                buf, at = data.tobytes(), first[new]
+                got = self._encode([buf[a:b] for a, b in zip(s[at].tolist(), e[at].tolist())])
+                self._put(uniq[new], slot[new], np.fromiter(map(len, got), np.int64, len(got)),
+                          np.fromiter(chain.from_iterable(got), np.uint32))
+                slot = slot + np.cumsum(new) - new      # places after the new ones came in
             self.met[slot] += 1
             slot = slot[inv]
             size = self.size[slot]
-            end = np.cumsum(size)
-            ids = self.pool[np.repeat(self.start[slot] - (end - size), size) + np.arange(end[-1])]
-            yield lo, hi, ids, np.concatenate([[0], end])[np.searchsorted(s, off)]
+            ids = _gather(self.pool, self.start[slot], size)
+            yield lo, hi, ids, np.concatenate([[0], np.cumsum(size)])[np.searchsorted(s, off)]
 
 
 class Encoder(PieceCache):
@@ -171,12 +179,14 @@ class Encoder(PieceCache):
 
     def _encode(self, pieces):
         plain, table, tokenize, tok = _PLAIN.fullmatch, self.table, self.tok.model.tokenize, self.tok
-        out = []
+        space, out = table[32], []
         for p in pieces:
             if plain(p):        # one word of plain letters: the vocabulary's own letters for its bytes
-                if not self.lead and not p.isascii():
-                    p = p.decode().lower().encode()
-                out.append([t.id for t in tokenize(p.decode("latin-1").translate(table))])
+                if p.isascii():     # ASCII letters are their own letters, only a space has another
+                    text = space + p[1:].decode() if p[0] == 32 else p.decode()
+                else:
+                    text = (p if self.lead else p.decode().lower().encode()).decode("latin-1").translate(table)
+                out.append([t.id for t in tokenize(text)])
             else:
                 out.append(tok.encode(p.decode(), add_special_tokens=False).ids)
         return out

@@ -123,3 +123,18 @@ def test_slots_are_minimal_and_perfect():
         seed, disp, slot = tokenstore.build_slots(h)
         assert sorted(slot.tolist()) == list(range(m))
         assert (tokenstore.find_slots(h, seed, disp, m)[0] == slot).all()
+
+
+@pytest.mark.parametrize("name, lead", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_remembered_pieces_are_arrays_and_may_be_forgotten(monkeypatch, name, lead):
+    from lodestar.llm import tokens
+    monkeypatch.setattr(tokens, "KNOWN_MAX", 40)
+    enc, tok = Encoder(tokenizer_file(name), lead), Tokenizer.from_file(tokenizer_file(name))
+    tok.encode_special_tokens = True
+    for i in range(30):
+        texts = [f"Word{i} the w{i % 7}x. same again, Größe {'ab' * (i % 5)}", "", "the same again", f"日本 {i}"]
+        for lo, hi, ids, off in enc.runs(pa.array(texts)):
+            got = [ids[off[r]:off[r + 1]].tolist() for r in range(hi - lo)]
+            assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts[lo:hi]]
+        assert len(enc.known) == len(enc.start) == len(enc.size) == len(enc.met) <= 60
+        assert isinstance(enc.known, np.ndarray) and (np.diff(enc.known) > 0).all()
