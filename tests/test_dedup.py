@@ -189,3 +189,47 @@ def test_texts_of_equal_letters_do_not_reach_the_kernel(spark):
     df = spark.createDataFrame([(k,) for k in keys if k], "fkey string")
     got = {(r.a, r.b) for r in dedup.candidate_pairs(df, df.limit(0)).collect()}
     assert want <= got and len(got) < 100
+
+
+def test_a_stored_key_meets_only_what_rounds_to_100(spark, monkeypatch):
+    """A batch key that is stored scores 100 with itself, so nothing else is
+    compared with it but stored keys that round to 100 and may be earlier."""
+    long = "abcdefghi klmno " * 14
+    items = [(1, long, "u1"), (2, "Open Arts Fund", "u2"), (3, "Open Arts Funds", "u3"), (4, "Brand New Prize", "u4"), (5, "Brand New Prizes", "u5")]
+    pool = [(0, long + "x", "p0"), (1, long, "p1"), (2, "open arts fund", "p2"), (3, "open art fund", "p3")]
+    calls = []
+    real = dedup.fuzzy_edges
+    monkeypatch.setattr(dedup, "fuzzy_edges", lambda b, p, *a, **k: calls.append((b.count(), a, k)) or real(b, p, *a, **k))
+    got = {k: (v.is_unique, v.match_type, v.matched_title, v.score) for k, v in _run(spark, items, pool).items()}
+    assert got == seqref.dedup(items, [(t, u) for _, t, u in pool])
+    assert got[1] == (False, "fuzzy", long + "x", 100) and got[2][2] == "open arts fund"
+    assert calls == [(3, (), {"among": True}), (2, (100,), {"among": False})]
+    b = spark.createDataFrame(items, "item_order long, title string, source_url string")
+    p = spark.createDataFrame(pool, "pool_order long, title string, source_url string")
+    assert {r.item_order: (r.score, r.matched_title) for r in dedup.best_match(b, p).collect()} == {
+        1: (100, long + "x"), 2: (100, "open arts fund"), 3: (97, "open arts fund")}
+
+
+def test_bounds_of_long_and_short_keys_lose_nothing():
+    """Keys of one to many mask words, a few far longer in one class than the
+    rest, and letters beyond the alphabet; for both scores in use."""
+    import random
+    from lodestar.functions import fuzzy as fz
+    rnd = random.Random(11)
+    keys = []
+    for size in (3, 40, 70, 180, 190, 600, 2100):
+        for _ in range(12):
+            k = "".join(rnd.choice("aabcdeeeeefghiinnnorsttt   zé9") for _ in range(size + rnd.randrange(3)))
+            keys.append(k)
+            for edits in (1, size // 20, size // 9):
+                chars = list(k)
+                for _ in range(edits):
+                    chars[rnd.randrange(len(chars))] = rnd.choice(["", "z", "e", "zz"])
+                keys.append("".join(chars))
+        keys.append("z" * size)
+    keys = list(dict.fromkeys(keys))
+    for least in (85, 100):
+        want = {(a, b) for a in keys for b in keys if a < b and abs(len(a) - len(b)) * 200 <= 31 * (len(a) + len(b)) and fz.ratio(a, b) >= least}
+        i, j = fz.near_places(keys, keys, lambda x, ys: [keys[x] < keys[y] for y in ys], least)
+        near = {(keys[x], keys[y]) for x, y in zip(i, j)}
+        assert want and want <= near and len(near) <= len(want) + 60
